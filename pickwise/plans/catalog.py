@@ -82,3 +82,36 @@ QUERIES: dict[str, Query] = {
         ("item_similarity_events", item_similarity_events),
     ]
 }
+
+
+# ---- similarity and content (appended queries)
+from pickwise.operators import content, similarity  # noqa: E402
+
+EMBEDDING_THRESHOLD = 0.4  # random 64-d test vectors have no pair above 0.6
+
+
+def cosine_pairs_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = bindings.item_vectors(spark, sf_dir)
+    out = similarity.cosine_pairs_dense(v, "item_id", "vector", EMBEDDING_THRESHOLD,
+                                        out_cols=("item_id", "other_item_id"))
+    return out.select("item_id", "other_item_id", _r6("sim"))
+
+
+def content_recs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = content.content_similarity(bindings.products_from_part(spark, sf_dir), num_features=None)
+    return out.select("product_id", "rec_product_id", _r6("score"))
+
+
+def content_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = content.content_similarity(bindings.products_from_part(spark, sf_dir),
+                                     num_features=schemas.TF_NUM_FEATURES)
+    return out.select("product_id", "rec_product_id", _r6("score"))
+
+
+QUERIES.update({
+    name: _session_ready(fn) for name, fn in [
+        ("cosine_pairs_dense", cosine_pairs_dense),
+        ("content_recs_exact", content_recs_exact),
+        ("content_recs", content_recs),
+    ]
+})

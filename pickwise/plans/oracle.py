@@ -77,3 +77,32 @@ FROM ranked WHERE rk <= 10"""
 
 SQL["item_similarity_events"] = _with(RATINGS_EVENTS, _ITEM_SIM) + """
 SELECT p1 AS product_id, p2 AS rec_product_id, round(s, 6) AS score FROM sim WHERE s > 0.6"""
+
+SQL["cosine_pairs_dense"] = """
+WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT id, e, sqrt(list_inner_product(e, e)) AS nrm FROM v),
+p AS (
+  SELECT a.id AS item_id, b.id AS other_item_id,
+         list_inner_product(a.e, b.e) / (a.nrm * b.nrm) AS s
+  FROM u a JOIN u b ON a.id <> b.id
+  WHERE a.nrm > 0 AND b.nrm > 0)
+SELECT item_id, other_item_id, round(s, 6) AS sim FROM p WHERE s > 0.4"""
+
+SQL["content_recs_exact"] = _with(PRODUCTS) + """,
+terms AS (
+  SELECT product_id, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term
+  FROM products),
+tf AS (SELECT product_id, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+m AS (SELECT count(*) AS m FROM products),
+w AS (SELECT tf.product_id, tf.term, tf.tf * ln((m.m + 1.0) / (df.df + 1.0)) AS w
+      FROM tf JOIN df USING (term) CROSS JOIN m),
+nz AS (SELECT * FROM w WHERE w > 0),
+nrm AS (SELECT product_id, sqrt(sum(w * w)) AS n FROM nz GROUP BY 1),
+dots AS (
+  SELECT a.product_id AS p1, b.product_id AS p2, sum(a.w * b.w) AS d
+  FROM nz a JOIN nz b ON a.term = b.term AND a.product_id <> b.product_id
+  GROUP BY 1, 2)
+SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score
+FROM dots JOIN nrm n1 ON n1.product_id = p1 JOIN nrm n2 ON n2.product_id = p2
+WHERE d / (n1.n * n2.n) > 0.6"""
