@@ -115,3 +115,47 @@ QUERIES.update({
         ("content_recs", content_recs),
     ]
 })
+
+
+# ---- real-time re-ranking in batch form
+from pickwise.operators import realtime  # noqa: E402
+
+# Ratings at or after this instant (2024-01-29 00:00 UTC) are the new batch;
+# everything before is history. All events are read.
+STREAM_BATCH_START = 1706486400
+
+
+def _event_split(spark: SparkSession, sf_dir: str):
+    ratings = bindings.ratings_events(spark, sf_dir)
+    sims = item_cf.item_similarity(ratings).filter(
+        F.col("score") > schemas.SIMILARITY_THRESHOLD)
+    history = ratings.filter(F.col("time_stamp") < STREAM_BATCH_START)
+    batch = ratings.filter(F.col("time_stamp") >= STREAM_BATCH_START)
+    return ratings, history, batch, sims
+
+
+def recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings, _, batch, _ = _event_split(spark, sf_dir)
+    users = batch.select("user_id").distinct()
+    return realtime.recent_ratings(ratings, users)
+
+
+def candidate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings, _, batch, sims = _event_split(spark, sf_dir)
+    out = realtime.candidate_products(realtime.latest_per_user(batch), sims, ratings)
+    return out.select("user_id", "product_id", _r6("sim"))
+
+
+def stream_recs_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, history, batch, sims = _event_split(spark, sf_dir)
+    out = realtime.stream_recs_long(history, batch, sims)
+    return out.select("user_id", "product_id", _r6("score"))
+
+
+QUERIES.update({
+    name: _session_ready(fn) for name, fn in [
+        ("recent_ratings", recent_ratings),
+        ("candidate_products", candidate_products),
+        ("stream_recs_batch", stream_recs_batch),
+    ]
+})

@@ -106,3 +106,42 @@ dots AS (
 SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score
 FROM dots JOIN nrm n1 ON n1.product_id = p1 JOIN nrm n2 ON n2.product_id = p2
 WHERE d / (n1.n * n2.n) > 0.6"""
+
+_STREAM = """
+simt AS (SELECT p1, p2, s FROM sim WHERE s > 0.6),
+batch AS (SELECT * FROM ratings WHERE time_stamp >= 1706486400),
+trig AS (
+  SELECT user_id, product_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id
+                                 ORDER BY time_stamp DESC, product_id DESC, score DESC) AS rn
+    FROM batch) WHERE rn = 1),
+recents AS (
+  SELECT user_id, product_id, score FROM (
+    SELECT r.*, row_number() OVER (PARTITION BY user_id
+                                   ORDER BY time_stamp DESC, product_id DESC, score DESC) AS rn
+    FROM ratings r WHERE user_id IN (SELECT user_id FROM trig)) WHERE rn <= 20),
+cand AS (
+  SELECT user_id, product_id, s FROM (
+    SELECT t.user_id, st.p2 AS product_id, st.s,
+           row_number() OVER (PARTITION BY t.user_id ORDER BY st.s DESC, st.p2) AS rn
+    FROM trig t JOIN simt st ON st.p1 = t.product_id
+    WHERE NOT EXISTS (SELECT 1 FROM ratings r
+                      WHERE r.user_id = t.user_id AND r.product_id = st.p2)) WHERE rn <= 20)"""
+
+SQL["recent_ratings"] = _with(RATINGS_EVENTS, _ITEM_SIM, _STREAM) + """
+SELECT user_id, product_id, score FROM recents"""
+
+SQL["candidate_products"] = _with(RATINGS_EVENTS, _ITEM_SIM, _STREAM) + """
+SELECT user_id, product_id, round(s, 6) AS sim FROM cand"""
+
+SQL["stream_recs_batch"] = _with(RATINGS_EVENTS, _ITEM_SIM, _STREAM) + """,
+sc AS (
+  SELECT c.user_id, c.product_id, avg(st.s * r.score) AS base,
+         count(*) FILTER (WHERE r.score > 3) AS incr,
+         count(*) FILTER (WHERE NOT (r.score > 3)) AS decr
+  FROM cand c JOIN recents r ON r.user_id = c.user_id
+  JOIN simt st ON st.p1 = r.product_id AND st.p2 = c.product_id
+  GROUP BY 1, 2)
+SELECT user_id, product_id,
+       round(base + log10(greatest(1, incr)) - log10(greatest(1, decr)), 6) AS score
+FROM sc"""
