@@ -159,3 +159,42 @@ QUERIES.update({
         ("stream_recs_batch", stream_recs_batch),
     ]
 })
+
+
+# ---- ALS (no SQL form: the driver checks rows only)
+from pickwise.operators import als  # noqa: E402
+
+ALS_SEED = 42  # the reference sets no seed; a fixed one makes runs repeatable
+
+
+def als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.train_als(bindings.ratings_orders(spark, sf_dir), seed=ALS_SEED)
+    out = als.als_user_recs(model, schemas.USER_MAX_RECOMMENDATION)
+    return out.select("user_id", "product_id", _r6("score"), "rank")
+
+
+def als_product_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.train_als(bindings.ratings_orders(spark, sf_dir), seed=ALS_SEED)
+    out = als.als_product_recs(model, schemas.SIMILARITY_THRESHOLD)
+    return out.select("product_id", "rec_product_id", _r6("score"))
+
+
+def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = bindings.ratings_orders(spark, sf_dir)
+    train, test = ratings.randomSplit(list(schemas.ALS_SPLIT), schemas.ALS_SPLIT_SEED)
+    model = als.train_als(train, seed=ALS_SEED)
+    return als.als_rmse(model, test)
+
+
+def als_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return als.als_tune(bindings.ratings_orders(spark, sf_dir))
+
+
+QUERIES.update({
+    name: _session_ready(fn) for name, fn in [
+        ("als_user_recs", als_user_recs),
+        ("als_product_recs", als_product_recs),
+        ("als_rmse", als_rmse),
+        ("als_tune", als_tune),
+    ]
+})
