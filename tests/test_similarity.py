@@ -1,0 +1,58 @@
+import numpy as np
+
+from pickwise.operators import similarity
+
+
+def _brute_dense(ids, m, t):
+    n = np.linalg.norm(m, axis=1)
+    keep = n > 0
+    u = m[keep] / n[keep, None]
+    kid = np.array(ids)[keep]
+    s = u @ u.T
+    out = {}
+    for i in range(len(kid)):
+        for j in range(len(kid)):
+            if i != j and s[i, j] > t:
+                out[(int(kid[i]), int(kid[j]))] = s[i, j]
+    return out
+
+
+def test_blocked_dense_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(120, 8))
+    m[7] = 0.0  # zero vector: cosine NaN, never a pair
+    m[9] = m[3] * 2.5  # parallel to 3: similarity 1
+    ids = list(range(1000, 1120))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, m)], "id int, vector array<double>")
+    want = _brute_dense(ids, m, 0.3)
+    for blocks in (1, 4):
+        got = {(r.id, r.other_id): r.sim
+               for r in similarity.cosine_pairs_dense(df, threshold=0.3, num_blocks=blocks).collect()}
+        assert got.keys() == want.keys(), blocks
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert (1009, 1003) in want and all(1007 not in k for k in want)
+
+
+def test_sparse_prefix_filter_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    n_docs, n_dims = 150, 30
+    dense = np.zeros((n_docs, n_dims))
+    for d in range(n_docs):
+        # skewed dimension frequencies: dim 0 is in most vectors
+        dims = rng.choice(n_dims, size=rng.integers(1, 6), replace=False,
+                          p=np.linspace(3, 0.2, n_dims) / np.linspace(3, 0.2, n_dims).sum())
+        dense[d, dims] = rng.integers(1, 4, size=len(dims)) * rng.random(len(dims))
+    dense[0] = 0.0
+    rows = [(d, int(j), float(dense[d, j])) for d in range(n_docs) for j in range(n_dims) if dense[d, j] > 0]
+    df = spark.createDataFrame(rows, "id int, dim int, w double")
+    for t in (0.3, 0.6, 0.9):
+        want = _brute_dense(list(range(n_docs)), dense, t)
+        got = {(r.id, r.other_id): r.sim for r in similarity.cosine_pairs_sparse(df, threshold=t).collect()}
+        assert got.keys() == want.keys(), t
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_choose_blocks_bounds_block_bytes():
+    assert similarity.choose_blocks(100, 64) == 1
+    b = similarity.choose_blocks(10_000_000, 50, target_bytes=32 << 20)
+    assert 2 * 10_000_000 * 50 * 8 / b <= 32 << 20

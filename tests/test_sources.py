@@ -1,0 +1,50 @@
+from pickwise import schemas
+from pickwise.sources import text
+
+
+def test_parse_product_lines_keeps_fields_0_1_4_5_6(spark):
+    lines = spark.createDataFrame([
+        ("3982^Fuhlen 富勒 M8 \"鼠标\" ^1057,439,736^B009EJN4T2^https://x/a,b.jpg^外设产品|鼠标^富勒|鼠标|好用",),
+        ("x^bad id^1^2^u^c^t",),
+        ("17^too^few",),
+        ("18^name^^^^cat^",),
+    ], "value string")
+    rows = {r.product_id: r for r in text.parse_product_lines(lines).collect()}
+    assert set(rows) == {3982, 18}
+    r = rows[3982]
+    assert r.product_name == 'Fuhlen 富勒 M8 "鼠标"'
+    assert r.image_url == "https://x/a,b.jpg"
+    assert r.categories == "外设产品|鼠标"
+    assert r.tags == "富勒|鼠标|好用"
+    assert rows[18].tags == ""  # a trailing empty field is kept
+
+
+def test_parse_rating_lines_and_csv(spark, tmp_dir):
+    lines = spark.createDataFrame([("4867,457976,5.0,1395676800",), ("1,2,x,3",)], "value string")
+    got = text.parse_rating_lines(lines).collect()
+    assert [tuple(r) for r in got] == [(4867, 457976, 5.0, 1395676800)]
+    path = f"{tmp_dir}/ratings.csv"
+    with open(path, "w") as f:
+        f.write("4867,457976,5.0,1395676800\n1,2,3.5,10\nbroken line\n")
+    got = text.read_ratings(spark, path).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, 3.5, 10), (4867, 457976, 5.0, 1395676800)]
+    assert text.read_ratings(spark, path).schema == schemas.RATING
+
+
+def test_format_then_parse_is_identity(spark):
+    from pickwise.sources import bindings
+    from tests.conftest import SF_SMALL
+    p = bindings.products_from_part(spark, SF_SMALL)
+    back = text.parse_product_lines(text.format_product_lines(p))
+    assert p.exceptAll(back).count() == 0 and back.exceptAll(p).count() == 0
+    r = bindings.ratings_orders(spark, SF_SMALL)
+    back = text.parse_rating_lines(text.format_rating_lines(r))
+    assert r.exceptAll(back).count() == 0 and back.count() == r.count()
+
+
+def test_tables_roundtrip_typed(spark, tmp_dir):
+    from pickwise.sources import read_table, write_table
+    df = spark.createDataFrame([(1, 2, 3.0, 4)], schemas.RATING)
+    write_table(df, tmp_dir, "Rating")
+    back = read_table(spark, tmp_dir, "Rating", schemas.RATING)
+    assert back.schema == schemas.RATING and back.collect() == df.collect()
