@@ -43,13 +43,17 @@ def test_sparse_prefix_filter_equals_brute_force(spark):
                           p=np.linspace(3, 0.2, n_dims) / np.linspace(3, 0.2, n_dims).sum())
         dense[d, dims] = rng.integers(1, 4, size=len(dims)) * rng.random(len(dims))
     dense[0] = 0.0
+    dense[20:60] = dense[5]  # a large group of identical copies
+    dense[61] = dense[6]
     rows = [(d, int(j), float(dense[d, j])) for d in range(n_docs) for j in range(n_dims) if dense[d, j] > 0]
     df = spark.createDataFrame(rows, "id int, dim int, w double")
     for t in (0.3, 0.6, 0.9):
         want = _brute_dense(list(range(n_docs)), dense, t)
-        got = {(r.id, r.other_id): r.sim for r in similarity.cosine_pairs_sparse(df, threshold=t).collect()}
-        assert got.keys() == want.keys(), t
-        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        for collapse in (True, False):
+            got = {(r.id, r.other_id): r.sim for r in similarity.cosine_pairs_sparse(
+                df, threshold=t, collapse_identical=collapse).collect()}
+            assert got.keys() == want.keys(), (t, collapse)
+            assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
 def test_choose_blocks_bounds_block_bytes():
