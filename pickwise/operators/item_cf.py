@@ -8,6 +8,8 @@ ratings are not deduplicated: a user who rated p1 twice and p2 three times adds
 Plan:
 1. Pre-aggregate ratings to (user, product, m = multiplicity): a partial
    aggregation before any shuffle, so a user's repeats never travel twice.
+   The result is checkpointed once; product counts, user degrees and the
+   self-join all read that copy.
 2. Attach n (per-product rating count) to each row before the self-join, so
    the pairs never need another join.
 3. Split heavy users: a user with d distinct products is cut into ceil(d / T)
@@ -27,8 +29,23 @@ from pyspark.sql import functions as F
 from pickwise import schemas
 from pickwise.functions.columns import cooccurrence_sim
 from pickwise.operators.topk import top_k
+from pickwise.session import materialize
 
 HEAVY_USER_PRODUCTS = 2000
+_OFFSET = 1 << 31
+
+
+def _pack(hi: str, lo: str):
+    # OR, not +: the low half lies in [0, 2^32), and an addition could be
+    # re-associated by the optimizer into an overflowing intermediate.
+    low = F.col(lo).cast("int").cast("long") + _OFFSET
+    return F.shiftleft(F.col(hi).cast("int").cast("long"), 32).bitwiseOR(low)
+
+
+def _unpack(c: str):
+    hi = F.shiftright(F.col(c), 32).cast("int")
+    lo = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) - _OFFSET).cast("int")
+    return hi, lo
 
 
 def user_product_counts(ratings: DataFrame) -> DataFrame:
@@ -38,7 +55,7 @@ def user_product_counts(ratings: DataFrame) -> DataFrame:
 
 def cooccurrence_counts(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
     """(p1, p2, n12, n1, n2) for every co-rated pair with p1 < p2."""
-    um = user_product_counts(ratings)
+    um = materialize(user_product_counts(ratings))  # feeds three branches
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
     heavy = (um.groupBy("user_id").agg(F.count("*").alias("d"))
              .filter(F.col("d") > heavy_user_products)
@@ -55,8 +72,16 @@ def cooccurrence_counts(ratings: DataFrame, heavy_user_products: int = HEAVY_USE
         F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
         F.col("product_id").alias("p2"), F.col("m").alias("m2"), F.col("n").alias("n2"))
     pairs = left.join(right, ["user_id", "salt"]).where(F.col("p1") < F.col("p2"))
-    return (pairs.groupBy("p1", "p2", "n1", "n2")
-            .agg(F.sum(F.col("m1") * F.col("m2")).alias("n12")))
+    # Group on two packed longs instead of four columns: (p1, p2) and (n1, n2).
+    # The low half carries an offset of 2^31 so negative ids decode exactly;
+    # counts are cast to int (ANSI: fails rather than wraps past 2^31).
+    packed = pairs.select(_pack("p1", "p2").alias("pp"), _pack("n1", "n2").alias("nn"),
+                          (F.col("m1") * F.col("m2")).alias("mm"))
+    co = packed.groupBy("pp", "nn").agg(F.sum("mm").alias("n12"))
+    p1, p2 = _unpack("pp")
+    n1, n2 = _unpack("nn")
+    return co.select(p1.alias("p1"), p2.alias("p2"), n1.cast("long").alias("n1"),
+                     n2.cast("long").alias("n2"), "n12")
 
 
 def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle-partition count and memory are left to
 # the cluster: on a real cluster they come from spark-submit, in tests from the
@@ -64,3 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the checkpoint root for tables written mid-job."""
     root = checkpoint_root(spark)
     return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+
+    Used where one intermediate feeds several branches of a plan: each branch
+    then scans the written copy instead of recomputing the input, and the
+    lineage is cut, so losing an executor later costs a re-read, not a
+    recompute from the source tables.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -56,3 +56,12 @@ def test_matches_brute_force_with_and_without_heavy_user_split(spark):
         for row in sorted(got, key=lambda x: (x.product_id, x.rank)):
             by[row.product_id].append(row.rec_product_id)
         assert dict(by) == want, heavy
+
+
+def test_negative_and_extreme_ids(spark):
+    big, neg = 2_147_483_647, -2_147_483_648
+    r = _ratings(spark, [(1, big), (1, neg), (1, -5), (2, big), (2, -5)])
+    s = _sims(item_cf.item_similarity(r))
+    assert set(s) == {(big, neg), (neg, big), (big, -5), (-5, big), (neg, -5), (-5, neg)}
+    assert math.isclose(s[(big, -5)], 2 / math.sqrt(4))
+    assert math.isclose(s[(neg, -5)], 1 / math.sqrt(2))
