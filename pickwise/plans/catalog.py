@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.operators import item_cf, statistics
-from pickwise.session import apply_runtime_defaults
+from pickwise.session import apply_runtime_defaults, materialize
 from pickwise.sources import bindings, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,8 +127,8 @@ STREAM_BATCH_START = 1706486400
 
 def _event_split(spark: SparkSession, sf_dir: str):
     ratings = bindings.ratings_events(spark, sf_dir)
-    sims = item_cf.item_similarity(ratings).filter(
-        F.col("score") > schemas.SIMILARITY_THRESHOLD)
+    sims = materialize(item_cf.item_similarity(ratings).filter(
+        F.col("score") > schemas.SIMILARITY_THRESHOLD))
     history = ratings.filter(F.col("time_stamp") < STREAM_BATCH_START)
     batch = ratings.filter(F.col("time_stamp") >= STREAM_BATCH_START)
     return ratings, history, batch, sims
@@ -180,7 +180,7 @@ def als_product_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = bindings.ratings_orders(spark, sf_dir)
+    ratings = materialize(bindings.ratings_orders(spark, sf_dir), "ratings")
     train, test = ratings.randomSplit(list(schemas.ALS_SPLIT), schemas.ALS_SPLIT_SEED)
     model = als.train_als(train, seed=ALS_SEED)
     return als.als_rmse(model, test)

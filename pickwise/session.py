@@ -66,13 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder; read it back.
 
     Used where one intermediate feeds several branches of a plan: each branch
-    then scans the written copy instead of recomputing the input, and the
-    lineage is cut, so losing an executor later costs a re-read, not a
-    recompute from the source tables.
+    then scans the written copy (with column pruning) instead of recomputing
+    the input, and the lineage is cut, so losing an executor later costs a
+    re-read, not a recompute from the source tables. (A reliable
+    ``checkpoint()`` of an unpersisted DataFrame would compute it twice.)
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -60,3 +60,5 @@ def test_choose_blocks_bounds_block_bytes():
     assert similarity.choose_blocks(100, 64) == 1
     b = similarity.choose_blocks(10_000_000, 50, target_bytes=32 << 20)
     assert 2 * 10_000_000 * 50 * 8 / b <= 32 << 20
+    b = similarity.choose_blocks(20_000, 50, parallelism=8)
+    assert b * (b + 1) // 2 >= 16
