@@ -72,16 +72,17 @@ def cooccurrence_counts(ratings: DataFrame, heavy_user_products: int = HEAVY_USE
         F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
         F.col("product_id").alias("p2"), F.col("m").alias("m2"), F.col("n").alias("n2"))
     pairs = left.join(right, ["user_id", "salt"]).where(F.col("p1") < F.col("p2"))
-    # Group on two packed longs instead of four columns: (p1, p2) and (n1, n2).
-    # The low half carries an offset of 2^31 so negative ids decode exactly;
-    # counts are cast to int (ANSI: fails rather than wraps past 2^31).
-    packed = pairs.select(_pack("p1", "p2").alias("pp"), _pack("n1", "n2").alias("nn"),
+    # Group on (p1, p2, nn) with the two product counts packed into one long
+    # (they are functions of p1 and p2). The ids stay separate int keys: the
+    # aggregation hash map hashes a long as hi ^ lo, so packing the ids too
+    # would pile most pairs into a few buckets. The low half carries an
+    # offset of 2^31 so any int decodes exactly; counts are cast to int
+    # (ANSI: fails rather than wraps past 2^31).
+    packed = pairs.select("p1", "p2", _pack("n1", "n2").alias("nn"),
                           (F.col("m1") * F.col("m2")).alias("mm"))
-    co = packed.groupBy("pp", "nn").agg(F.sum("mm").alias("n12"))
-    p1, p2 = _unpack("pp")
+    co = packed.groupBy("p1", "p2", "nn").agg(F.sum("mm").alias("n12"))
     n1, n2 = _unpack("nn")
-    return co.select(p1.alias("p1"), p2.alias("p2"), n1.cast("long").alias("n1"),
-                     n2.cast("long").alias("n2"), "n12")
+    return co.select("p1", "p2", n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "n12")
 
 
 def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:

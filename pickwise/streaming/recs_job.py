@@ -1,45 +1,66 @@
 """Streaming re-ranker: rating messages -> StreamRecs, one upsert per micro-batch.
 
 ``foreachBatch`` runs the batch function of :mod:`pickwise.operators.realtime`
-on the whole micro-batch. State lives in tables under ``state_dir`` (a shared
-folder), both partitioned by ``batch_id``:
-
-* ``ratings_log``: the valid ratings of each batch. Batch N reads the base
-  rating table plus log partitions < N (partition pruning), so a replayed
-  batch sees the same history and overwrites only its own partition.
-* ``stream_recs``: (user_id, recs) written per batch. The current StreamRecs
-  table is the newest row per user (:func:`read_stream_recs`); an empty
-  ``recs`` replaces older recommendations, as an upsert would.
-
-Writes are O(batch), never a rewrite of the whole table. Malformed messages are dropped and counted
-through an observed metric, so counting costs no extra pass.
+on the whole micro-batch. State lives in parquet tables under ``state_dir`` (a
+shared folder):
+
+* ``history``: the rating table as of the start, written once, partitioned by
+  ``user_bucket = pmod(xxhash64(user_id), B)``;
+* ``ratings_log``: the valid ratings of each batch, partitioned by
+  ``batch_id`` and ``user_bucket``;
+* ``similarity``: the ProductRecs table, written once, partitioned by
+  ``product_bucket``;
+* ``stream_recs``: (user_id, recs) per batch, partitioned by ``batch_id``.
+
+A micro-batch reads only the history and log partitions of the user buckets it
+touches, and only the similarity partitions of the products it needs, so its
+I/O grows with the batch, not with the whole history. The bucket ids of a
+batch are at most B integers, the only data brought to the driver.
+
+Batch N reads log partitions < N and overwrites only its own partitions
+(dynamic partition overwrite), so a replayed batch sees the same history and
+writes the same rows. The current StreamRecs table is the newest row per user
+(:func:`read_stream_recs`); an empty ``recs`` replaces older recommendations,
+as an upsert would. Malformed messages are dropped and counted through an
+observed metric, so counting costs no extra pass.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from pickwise import schemas
 from pickwise.operators import realtime
 from pickwise.streaming.source import parse_messages
 
 _RATING_COLS = [f.name for f in schemas.RATING.fields]
+DEFAULT_BUCKETS = 256
 
 
-def _write_partition(df: DataFrame, path: str) -> None:
+def bucket_of(col: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def _write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy(*by).parquet(path))
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing written yet
+        return None
 
 
 def read_stream_recs(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current StreamRecs: for each user the recs of the newest batch that touched it."""
-    path = os.path.join(state_dir, "stream_recs")
-    recs = spark.read.parquet(path)
-    return (recs.groupBy("user_id")
-            .agg(F.max_by("recs", "batch_id").alias("recs")))
+    recs = spark.read.parquet(os.path.join(state_dir, "stream_recs"))
+    return recs.groupBy("user_id").agg(F.max_by("recs", "batch_id").alias("recs"))
 
 
 class StreamRecsJob:
@@ -48,44 +69,78 @@ class StreamRecsJob:
     def __init__(self, spark: SparkSession, state_dir: str, base_ratings: DataFrame,
                  sims: DataFrame, recent_k: int = schemas.MAX_USER_RATINGS_NUM,
                  candidate_k: int = schemas.MAX_SIM_PRODUCTS_NUM,
-                 threshold: float = schemas.SIMILARITY_THRESHOLD):
+                 threshold: float = schemas.SIMILARITY_THRESHOLD,
+                 buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
         self.state_dir = state_dir
-        self.base_ratings = base_ratings.select(_RATING_COLS)
-        self.sims = sims.select("product_id", "rec_product_id", "score")
         self.recent_k, self.candidate_k, self.threshold = recent_k, candidate_k, threshold
+        self.buckets = buckets
+        self.history_path = os.path.join(state_dir, "history")
+        self.sims_path = os.path.join(state_dir, "similarity")
         self.log_path = os.path.join(state_dir, "ratings_log")
         self.recs_path = os.path.join(state_dir, "stream_recs")
         self.malformed: dict[int, int] = {}
-
-    def _history(self, batch_id: int) -> DataFrame:
-        try:
-            log = self.spark.read.parquet(self.log_path)
-        except Exception:  # no batch written yet
-            return self.base_ratings
-        older = log.filter(F.col("batch_id") < batch_id).select(_RATING_COLS)
-        return self.base_ratings.unionByName(older)
+        self._base_ratings = base_ratings.select(_RATING_COLS)
+        self._sims = sims.select("product_id", "rec_product_id", "score")
+
+    def prepare(self) -> None:
+        """Write the bucketed history and similarity tables once (kept across restarts)."""
+        if _read_or_none(self.spark, self.history_path) is None:
+            (self._base_ratings.withColumn("user_bucket", bucket_of("user_id", self.buckets))
+             .repartition("user_bucket").sortWithinPartitions("user_id")
+             .write.mode("overwrite").partitionBy("user_bucket").parquet(self.history_path))
+        if _read_or_none(self.spark, self.sims_path) is None:
+            (self._sims.withColumn("product_bucket", bucket_of("product_id", self.buckets))
+             .repartition("product_bucket").sortWithinPartitions("product_id")
+             .write.mode("overwrite").partitionBy("product_bucket").parquet(self.sims_path))
+
+    def _bucket_ids(self, df: DataFrame, col: str) -> list[int]:
+        rows = df.select(bucket_of(col, self.buckets).alias("b")).distinct().collect()
+        return sorted(r.b for r in rows)  # at most `buckets` values
+
+    def _history(self, batch_id: int, user_buckets: list[int]) -> DataFrame:
+        hist = (self.spark.read.parquet(self.history_path)
+                .filter(F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS))
+        log = _read_or_none(self.spark, self.log_path)
+        if log is None:
+            return hist
+        older = log.filter((F.col("batch_id") < batch_id)
+                           & F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS)
+        return hist.unionByName(older)
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
+        self.prepare()
         parsed = parse_messages(messages)
         obs = Observation(f"malformed_{batch_id}")
         parsed = parsed.observe(obs, F.count_if(~F.col("valid")).alias("malformed"))
         batch = parsed.filter("valid").select(_RATING_COLS)
-        _write_partition(batch.withColumn("batch_id", F.lit(batch_id)), self.log_path)
+        _write_partitions(batch.withColumn("batch_id", F.lit(batch_id))
+                          .withColumn("user_bucket", bucket_of("user_id", self.buckets)),
+                          self.log_path, ["batch_id", "user_bucket"])
         self.malformed[batch_id] = int(obs.get.get("malformed", 0) or 0)
 
-        try:
-            written = (self.spark.read.parquet(self.log_path)
-                       .filter(F.col("batch_id") == batch_id).select(_RATING_COLS))
-        except Exception:  # nothing valid has been logged yet
+        log = _read_or_none(self.spark, self.log_path)
+        if log is None:
+            return
+        written = log.filter(F.col("batch_id") == batch_id).select(_RATING_COLS)
+        user_buckets = self._bucket_ids(written, "user_id")
+        if not user_buckets:
             return
-        recs = realtime.stream_recs(self._history(batch_id), written, self.sims,
-                                    recent_k=self.recent_k, candidate_k=self.candidate_k,
-                                    threshold=self.threshold)
-        _write_partition(recs.withColumn("batch_id", F.lit(batch_id)), self.recs_path)
+        history = self._history(batch_id, user_buckets)
+        # similarities are needed for the triggers' lists and for the users'
+        # recent products: both lie in the rated products of these users
+        rated = history.select("product_id").unionByName(written.select("product_id"))
+        product_buckets = self._bucket_ids(rated, "product_id")
+        sims = (self.spark.read.parquet(self.sims_path)
+                .filter(F.col("product_bucket").isin(product_buckets))
+                .select("product_id", "rec_product_id", "score"))
+        recs = realtime.stream_recs(history, written, sims, recent_k=self.recent_k,
+                                    candidate_k=self.candidate_k, threshold=self.threshold)
+        _write_partitions(recs.withColumn("batch_id", F.lit(batch_id)), self.recs_path, ["batch_id"])
 
     def start(self, messages: DataFrame, checkpoint_location: str,
               processing_time: str | None = "2 seconds", available_now: bool = False):
+        self.prepare()
         writer = (messages.writeStream.foreachBatch(self.process)
                   .option("checkpointLocation", checkpoint_location))
         if available_now:

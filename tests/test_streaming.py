@@ -57,3 +57,15 @@ def test_replayed_batch_changes_nothing_and_later_batch_wins(spark, tmp_dir):
     expected = {**want1, **want2}
     assert first == expected
     assert set(want1) & set(want2)  # some user is in both batches
+
+
+def test_batch_reads_only_touched_user_buckets(spark, tmp_dir):
+    history, batch, sims = _inputs(spark)
+    job = StreamRecsJob(spark, f"{tmp_dir}/state", history, sims, buckets=16)
+    job.prepare()
+    plan = job._history(0, [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [user_bucket" in plan and "IN (3,5)" in plan
+    got = {r.user_id for r in job._history(0, [3, 5]).select("user_id").distinct().collect()}
+    want = {r.user_id for r in history.select("user_id").distinct().collect()
+            if r.user_id is not None}
+    assert got and got < want
