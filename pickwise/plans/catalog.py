@@ -198,3 +198,33 @@ QUERIES.update({
         ("als_tune", als_tune),
     ]
 })
+
+
+# ---- the streaming job itself, run to completion over the event messages
+from pickwise.session import scratch_path  # noqa: E402
+from pickwise.streaming import StreamRecsJob, read_stream_recs, text_messages  # noqa: E402
+
+
+def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New events as ``user|product|score|ts`` messages through the streaming job.
+
+    The messages are written by Spark to the shared scratch folder, read by a
+    file stream with ``availableNow`` and handled by ``foreachBatch``; the
+    result is the StreamRecs table in long form.
+    """
+    _, history, batch, sims = _event_split(spark, sf_dir)
+    root = scratch_path(spark, "stream-recs")
+    text.format_rating_lines(batch, sep=schemas.STREAM_FIELD_SEPARATOR).write.text(f"{root}/messages")
+    job = StreamRecsJob(spark, f"{root}/state", history, sims)
+    query = job.start(text_messages(spark, f"{root}/messages"), f"{root}/checkpoint",
+                      available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    recs = read_stream_recs(spark, f"{root}/state")
+    return (recs.select("user_id", F.explode("recs").alias("r"))
+            .select("user_id", F.col("r.product_id").alias("product_id"),
+                    F.round(F.col("r.score"), 6).alias("score")))
+
+
+QUERIES["stream_recs"] = _session_ready(stream_recs)

@@ -145,3 +145,6 @@ sc AS (
 SELECT user_id, product_id,
        round(base + log10(greatest(1, incr)) - log10(greatest(1, decr)), 6) AS score
 FROM sc"""
+
+# One micro-batch of the streaming job equals the batch function.
+SQL["stream_recs"] = SQL["stream_recs_batch"]
