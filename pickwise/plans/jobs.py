@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, statistics
-from pickwise.session import get_session
+from pickwise.session import get_session, input_bytes, size_shuffle_partitions
+from pickwise.sources.tables import table_path
 from pickwise.sources.tables import read_table, write_table
 from pickwise.sources.text import read_products, read_ratings
 
@@ -91,6 +92,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoint")
     a = ap.parse_args(argv)
     spark = get_session(f"pickwise-{a.job}")
+    inputs = ([a.products, a.ratings] if a.job == "load"
+              else [table_path(a.base, PRODUCT if a.job == "content" else RATING)])
+    size_shuffle_partitions(spark, input_bytes(spark, [p for p in inputs if p]))
     if a.job == "load":
         load_job(spark, a.base, a.products, a.ratings)
     elif a.job == "statistics":

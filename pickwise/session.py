@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -79,3 +80,30 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, in_bytes: int, expansion: float = 4.0,
+                            target_bytes: int = 128 << 20) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle partition holds ~target_bytes.
+
+    Parquet input inflates several times once decoded into shuffle rows
+    (``expansion``); AQE coalesces small partitions afterwards but cannot
+    split large ones (except skewed join sides), so the count is set from
+    the input size before planning and never lowered.
+    """
+    want = max(1, math.ceil(in_bytes * expansion / target_bytes))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(current, want)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

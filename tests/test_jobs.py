@@ -22,3 +22,15 @@ def test_jobs_write_named_tables(spark, tmp_dir):
     assert top["count"] >= 1
     assert read_table(spark, base, jobs.ITEM_CF_RECS).count() > 0
     assert read_table(spark, base, jobs.CONTENT_RECS, schemas.SIMILARITY).count() > 0
+
+
+def test_shuffle_partitions_follow_input_size(spark):
+    from pickwise.session import input_bytes, size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet"])
+        assert n > 0
+        assert size_shuffle_partitions(spark, 100 << 30) == 3200  # 100 GiB * 4 / 128 MiB
+        assert size_shuffle_partitions(spark, 1) == 3200  # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
