@@ -6,23 +6,31 @@ ratings are not deduplicated: a user who rated p1 twice and p2 three times adds
 6 to n12, exactly as a self-join of the raw rating rows would.
 
 Plan:
-1. Pre-aggregate ratings to (user, product, m = multiplicity): a partial
-   aggregation before any shuffle, so a user's repeats never travel twice.
-   The result is checkpointed once; product counts, user degrees and the
-   self-join all read that copy.
-2. Attach n (per-product rating count) to each row before the self-join, so
-   the pairs never need another join.
-3. Split heavy users: a user with d distinct products is cut into ceil(d / T)
-   slices by a hash of product id on one side; the other side is replicated per
-   slice. Each task then meets at most T x d pairs of that user; the small
-   table of heavy users is broadcast only if Spark measures it as small.
-4. Emit each unordered pair once (p1 < p2), aggregate with map-side combine,
-   compute the similarity, mirror with a two-row explode (one pass), and keep
-   the top k per product with a window group limit.
+1. Pre-aggregate ratings to (user, product, m = multiplicity), with map-side
+   partial aggregation; the result is written once and read by every branch.
+2. Light users (at most T distinct products) contribute their product pairs
+   through a self-join on user, each unordered pair once (p1 < p2), grouped
+   with map-side combine. A light user emits at most T^2 / 2 pairs.
+3. Heavy users (more than T products) never form pairs. Their contribution to
+   n12 over two products is the dot product of the products' columns in the
+   heavy users x products matrix, so it is computed as dense block products
+   X_I X_J^T per pair of product blocks (``applyInPandas``), with the light
+   counts of those pairs added in the same task. Each block task scores its
+   pairs exactly and emits only the top k per product, so a user who rated a
+   third of everything costs matrix products, not rows per pair.
+4. Pairs outside the heavy users' products are scored directly, mirrored with
+   a two-row explode, and the final top k per product is a window group limit.
+
+The top k of a product is exact: a pair in the final top k is also in the top
+k of its block row, and every other pair is scored in full.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +41,7 @@ from pickwise.session import materialize
 
 HEAVY_USER_PRODUCTS = 2000
 _OFFSET = 1 << 31
+_TARGET_BLOCK_BYTES = 32 << 20
 
 
 def _pack(hi: str, lo: str):
@@ -53,41 +62,47 @@ def user_product_counts(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id", "product_id").agg(F.count("*").alias("m"))
 
 
-def cooccurrence_counts(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
-    """(p1, p2, n12, n1, n2) for every co-rated pair with p1 < p2."""
-    um = materialize(user_product_counts(ratings))  # feeds three branches
+def _prepare(ratings: DataFrame, heavy_user_products: int):
+    """(rows, heavy_rows): user-product rows with n and a heavy-product flag."""
+    um = materialize(user_product_counts(ratings), "user-product")
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
-    heavy = (um.groupBy("user_id").agg(F.count("*").alias("d"))
-             .filter(F.col("d") > heavy_user_products)
-             .select("user_id", F.ceil(F.col("d") / heavy_user_products).cast("int").alias("splits")))
+    deg = um.groupBy("user_id").agg(F.count("*").alias("d"))
+    heavy_users = deg.filter(F.col("d") > heavy_user_products).select("user_id")
+    heavy_rows = um.join(heavy_users, "user_id", "left_semi")
+    heavy_products = heavy_rows.select("product_id").distinct().withColumn("hp", F.lit(True))
     rows = (um.join(n, "product_id")
-            .join(heavy, "user_id", "left")
-            .withColumn("splits", F.coalesce(F.col("splits"), F.lit(1))))
-    left = rows.select(
-        "user_id",
-        F.pmod(F.xxhash64("product_id"), F.col("splits")).cast("int").alias("salt"),
-        F.col("product_id").alias("p1"), F.col("m").alias("m1"), F.col("n").alias("n1"))
-    right = rows.select(
-        "user_id",
-        F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"),
-        F.col("product_id").alias("p2"), F.col("m").alias("m2"), F.col("n").alias("n2"))
-    pairs = left.join(right, ["user_id", "salt"]).where(F.col("p1") < F.col("p2"))
-    # Group on (p1, p2, nn) with the two product counts packed into one long
-    # (they are functions of p1 and p2). The ids stay separate int keys: the
-    # aggregation hash map hashes a long as hi ^ lo, so packing the ids too
-    # would pile most pairs into a few buckets. The low half carries an
-    # offset of 2^31 so any int decodes exactly; counts are cast to int
-    # (ANSI: fails rather than wraps past 2^31).
-    packed = pairs.select("p1", "p2", _pack("n1", "n2").alias("nn"),
+            .join(heavy_users.withColumn("hu", F.lit(True)), "user_id", "left")
+            .join(heavy_products, "product_id", "left")
+            .select("user_id", "product_id", "m", "n",
+                    F.coalesce("hu", F.lit(False)).alias("hu"),
+                    F.coalesce("hp", F.lit(False)).alias("hp")))
+    return materialize(rows, "user-product-flags")
+
+
+def _light_pairs(rows: DataFrame) -> DataFrame:
+    """(p1, p2, n1, n2, n12, both_heavy) from light users, p1 < p2."""
+    light = rows.filter(~F.col("hu"))
+    # per product: count and heavy flag in one int, 2n + flag (n < 2^30)
+    nh = (F.col("n") * 2 + F.col("hp").cast("int")).cast("int")
+    left = light.select("user_id", F.col("product_id").alias("p1"), F.col("m").alias("m1"),
+                        nh.alias("nh1"))
+    right = light.select("user_id", F.col("product_id").alias("p2"), F.col("m").alias("m2"),
+                         nh.alias("nh2"))
+    pairs = left.join(right, "user_id").where(F.col("p1") < F.col("p2"))
+    # Group on (p1, p2, nn) with the two per-product values packed into one
+    # long (they are functions of p1 and p2). The ids stay separate int keys:
+    # the aggregation hash map hashes a long as hi ^ lo, so packing the ids
+    # too would pile most pairs into a few buckets.
+    packed = pairs.select("p1", "p2", _pack("nh1", "nh2").alias("nn"),
                           (F.col("m1") * F.col("m2")).alias("mm"))
     co = packed.groupBy("p1", "p2", "nn").agg(F.sum("mm").alias("n12"))
-    n1, n2 = _unpack("nn")
-    return co.select("p1", "p2", n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "n12")
+    nh1, nh2 = _unpack("nn")
+    return co.select("p1", "p2", F.shiftright(nh1, 1).cast("long").alias("n1"),
+                     F.shiftright(nh2, 1).cast("long").alias("n2"), "n12",
+                     ((nh1.bitwiseAND(F.lit(1)) == 1) & (nh2.bitwiseAND(F.lit(1)) == 1)).alias("hh"))
 
 
-def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
-    """Long-form co-occurrence similarity, both directions, self-pairs excluded."""
-    co = cooccurrence_counts(ratings, heavy_user_products)
+def _mirror_scored(co: DataFrame) -> DataFrame:
     sim = cooccurrence_sim("n12", "n1", "n2")
     both = F.explode(F.array(
         F.struct(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id")),
@@ -95,8 +110,111 @@ def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PR
     return co.select(both.alias("e"), sim.alias("score")).select("e.*", "score")
 
 
+def _block_topk(k: int):
+    def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
+        out_a, out_b, out_s = [], [], []
+        for i in range(score.shape[0]):
+            s = score[i]
+            ok = np.flatnonzero(s > 0)
+            if ok.size > k:
+                kth = np.partition(s[ok], ok.size - k)[ok.size - k]
+                ok = ok[s[ok] >= kth]  # ties at the k-th score are all kept
+            order = np.lexsort((col_ids[ok], -s[ok]))[:k]
+            sel = ok[order]
+            out_a.append(np.full(sel.size, row_ids[i]))
+            out_b.append(col_ids[sel])
+            out_s.append(s[sel])
+        return out_a, out_b, out_s
+
+    def run(key, pdf):
+        bi, bj = int(key[0]), int(key[1])
+        v = pdf[pdf["kind"] == 0]
+        a = pdf[pdf["kind"] == 1]
+        vi = v[v["block"] == bi]
+        vj = vi if bi == bj else v[v["block"] == bj]
+        if vi.empty or vj.empty:
+            return pd.DataFrame({"product_id": [], "rec_product_id": [], "score": []})
+        users, uidx = np.unique(v["user_id"].to_numpy(), return_inverse=True)
+        uidx = pd.Series(uidx, index=v.index)
+
+        def dense(part):
+            ids, pidx = np.unique(part["product_id"].to_numpy(), return_inverse=True)
+            x = np.zeros((ids.size, users.size))
+            x[pidx, uidx[part.index].to_numpy()] = part["m"].to_numpy(dtype=np.float64)
+            nn = part.groupby("product_id")["n"].first().reindex(ids).to_numpy(dtype=np.float64)
+            return ids, x, nn
+
+        ids_i, xi, ni = dense(vi)
+        ids_j, xj, nj = (ids_i, xi, ni) if bi == bj else dense(vj)
+        n12 = xi @ xj.T  # heavy users' co-rating counts (exact integers)
+        if not a.empty:
+            pos_i = {p: r for r, p in enumerate(ids_i)}
+            pos_j = {p: r for r, p in enumerate(ids_j)}
+            for p1, p2, c in zip(a["product_id"].to_numpy(), a["p2"].to_numpy(), a["m"].to_numpy()):
+                if p1 in pos_i and p2 in pos_j:
+                    n12[pos_i[p1], pos_j[p2]] += c
+                if p2 in pos_i and p1 in pos_j and (bi == bj or not (p1 in pos_i and p2 in pos_j)):
+                    n12[pos_i[p2], pos_j[p1]] += c
+        score = np.where(n12 > 0, n12 / np.sqrt(ni[:, None] * nj[None, :]), 0.0)
+        if bi == bj:
+            np.fill_diagonal(score, 0.0)
+        parts = [row_topk(score, ids_i, ids_j)]
+        if bi != bj:
+            parts.append(row_topk(score.T, ids_j, ids_i))
+        a_, b_, s_ = ([x for p in parts for x in p[t]] for t in range(3))
+        if not a_:
+            return pd.DataFrame({"product_id": [], "rec_product_id": [], "score": []})
+        return pd.DataFrame({"product_id": np.concatenate(a_), "rec_product_id": np.concatenate(b_),
+                             "score": np.concatenate(s_)})
+    return run
+
+
+def _heavy_topk(rows: DataFrame, light: DataFrame, k: int) -> DataFrame:
+    """Top-k per product over pairs of heavy users' products, scored in full."""
+    hp = rows.filter("hp")
+    stats = hp.agg(F.countDistinct("product_id").alias("p"),
+                   F.countDistinct(F.when(F.col("hu"), F.col("user_id"))).alias("u")).first()
+    n_products, n_users = int(stats["p"] or 0), int(stats["u"] or 0)
+    # a block row (products x heavy users) and a block of scores stay near the target
+    by_rows = math.ceil(16 * n_products * max(n_users, 1) / _TARGET_BLOCK_BYTES)
+    by_scores = math.ceil(n_products * math.sqrt(8 / _TARGET_BLOCK_BYTES))
+    by_cores = math.ceil((math.sqrt(1 + 16 * rows.sparkSession.sparkContext.defaultParallelism) - 1) / 2)
+    nb = max(1, by_rows, by_scores, by_cores if n_products > 1000 else 1)
+
+    def block(c):
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(nb)).cast("int")
+
+    other = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    vec = (hp.filter("hu").select("user_id", "product_id", "m", "n", block("product_id").alias("block"))
+           .select("*", other.alias("o"))
+           .select(F.lit(0).alias("kind"), "user_id", "product_id", "m", "n", "block",
+                   F.lit(None).cast("int").alias("p2"),
+                   F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj")))
+    both = light.filter("hh").select(
+        F.lit(1).alias("kind"), F.lit(None).cast("int").alias("user_id"),
+        F.col("p1").alias("product_id"), F.col("n12").alias("m"), F.lit(None).cast("long").alias("n"),
+        F.lit(None).cast("int").alias("block"), "p2",
+        F.least(block("p1"), block("p2")).alias("bi"), F.greatest(block("p1"), block("p2")).alias("bj"))
+    return (vec.unionByName(both).groupBy("bi", "bj")
+            .applyInPandas(_block_topk(k), "product_id int, rec_product_id int, score double"))
+
+
+def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
+    """Long-form co-occurrence similarity of every co-rated pair, both directions.
+
+    Enumerates all co-rated pairs, so it is meant for thresholded or small
+    outputs; ``item_cf_recs`` keeps only the top k and handles heavy users.
+    """
+    rows = _prepare(ratings, heavy_user_products=1 << 62)
+    return _mirror_scored(_light_pairs(rows))
+
+
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
                  heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
     """Top-k co-rated products per product: (product_id, rec_product_id, score, rank)."""
-    sims = item_similarity(ratings, heavy_user_products)
-    return top_k(sims, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)
+    rows = _prepare(ratings, heavy_user_products)
+    light = _light_pairs(rows)
+    direct = _mirror_scored(light.filter(~F.col("hh")))
+    has_heavy = rows.filter("hu").limit(1).count() > 0
+    scored = direct.unionByName(_heavy_topk(rows, light, k)) if has_heavy else direct
+    return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)
