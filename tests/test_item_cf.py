@@ -65,3 +65,19 @@ def test_negative_and_extreme_ids(spark):
     assert set(s) == {(big, neg), (neg, big), (big, -5), (-5, big), (neg, -5), (-5, neg)}
     assert math.isclose(s[(big, -5)], 2 / math.sqrt(4))
     assert math.isclose(s[(neg, -5)], 1 / math.sqrt(2))
+
+
+def test_hot_user_with_a_third_of_all_rows(spark):
+    import random
+    rnd = random.Random(7)
+    pairs = [(u, rnd.randrange(120)) for u in range(1, 60) for _ in range(rnd.randrange(1, 6))]
+    hot = [(0, p) for p in range(120)] + [(0, p) for p in range(0, 120, 3)]  # repeats too
+    pairs += hot
+    assert len(hot) * 3 >= len(pairs) * 0.9
+    r = _ratings(spark, pairs)
+    want = _brute(pairs, 10)
+    got = item_cf.item_cf_recs(r, k=10, heavy_user_products=50).collect()
+    by = defaultdict(list)
+    for row in sorted(got, key=lambda x: (x.product_id, x.rank)):
+        by[row.product_id].append(row.rec_product_id)
+    assert dict(by) == want
