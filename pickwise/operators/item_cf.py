@@ -110,8 +110,12 @@ def _mirror_scored(co: DataFrame) -> DataFrame:
     return co.select(both.alias("e"), sim.alias("score")).select("e.*", "score")
 
 
-def _block_topk(k: int):
+def _block_pairs(k: int | None, threshold: float | None):
+    """Group function: exact scores of a block pair; emits top k per row or all > threshold."""
     def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
+        if threshold is not None:
+            r, c = np.nonzero(score > threshold)
+            return [row_ids[r]], [col_ids[c]], [score[r, c]]
         out_a, out_b, out_s = [], [], []
         for i in range(score.shape[0]):
             s = score[i]
@@ -169,8 +173,9 @@ def _block_topk(k: int):
     return run
 
 
-def _heavy_topk(rows: DataFrame, light: DataFrame, k: int) -> DataFrame:
-    """Top-k per product over pairs of heavy users' products, scored in full."""
+def _heavy_pairs(rows: DataFrame, light: DataFrame, k: int | None = None,
+                 threshold: float | None = None) -> DataFrame:
+    """Pairs of heavy users' products, scored in full: top k per product or all > threshold."""
     hp = rows.filter("hp")
     stats = hp.agg(F.countDistinct("product_id").alias("p"),
                    F.countDistinct(F.when(F.col("hu"), F.col("user_id"))).alias("u")).first()
@@ -196,17 +201,28 @@ def _heavy_topk(rows: DataFrame, light: DataFrame, k: int) -> DataFrame:
         F.lit(None).cast("int").alias("block"), "p2",
         F.least(block("p1"), block("p2")).alias("bi"), F.greatest(block("p1"), block("p2")).alias("bj"))
     return (vec.unionByName(both).groupBy("bi", "bj")
-            .applyInPandas(_block_topk(k), "product_id int, rec_product_id int, score double"))
+            .applyInPandas(_block_pairs(k, threshold), "product_id int, rec_product_id int, score double"))
 
 
-def item_similarity(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
-    """Long-form co-occurrence similarity of every co-rated pair, both directions.
+def item_similarity(ratings: DataFrame, threshold: float | None = None,
+                    heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
+    """Long-form co-occurrence similarity, both directions, self-pairs excluded.
 
-    Enumerates all co-rated pairs, so it is meant for thresholded or small
-    outputs; ``item_cf_recs`` keeps only the top k and handles heavy users.
+    With ``threshold``, only pairs with similarity > threshold are returned,
+    and heavy users' products are scored in dense blocks that emit only the
+    passing pairs. Without it, every co-rated pair is listed (the full table
+    has a row per pair by definition), so every user's pairs are enumerated.
     """
-    rows = _prepare(ratings, heavy_user_products=1 << 62)
-    return _mirror_scored(_light_pairs(rows))
+    if threshold is None:
+        rows = _prepare(ratings, heavy_user_products=1 << 62)
+        return _mirror_scored(_light_pairs(rows))
+    t = float(threshold)
+    rows = _prepare(ratings, heavy_user_products)
+    light = _light_pairs(rows)
+    direct = _mirror_scored(light.filter(~F.col("hh"))).filter(F.col("score") > t)
+    if rows.filter("hu").limit(1).count() == 0:
+        return direct
+    return direct.unionByName(_heavy_pairs(rows, light, threshold=t))
 
 
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
@@ -216,5 +232,5 @@ def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION
     light = _light_pairs(rows)
     direct = _mirror_scored(light.filter(~F.col("hh")))
     has_heavy = rows.filter("hu").limit(1).count() > 0
-    scored = direct.unionByName(_heavy_topk(rows, light, k)) if has_heavy else direct
+    scored = direct.unionByName(_heavy_pairs(rows, light, k=k)) if has_heavy else direct
     return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)

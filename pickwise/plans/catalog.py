@@ -57,8 +57,8 @@ def item_cf_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_similarity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thresholded co-occurrence similarity on event ratings (the stream's ProductRecs)."""
-    sims = item_cf.item_similarity(bindings.ratings_events(spark, sf_dir))
-    out = sims.filter(F.col("score") > schemas.SIMILARITY_THRESHOLD)
+    out = item_cf.item_similarity(bindings.ratings_events(spark, sf_dir),
+                                  threshold=schemas.SIMILARITY_THRESHOLD)
     return out.select("product_id", "rec_product_id", _r6("score"))
 
 
@@ -127,8 +127,7 @@ STREAM_BATCH_START = 1706486400
 
 def _event_split(spark: SparkSession, sf_dir: str):
     ratings = bindings.ratings_events(spark, sf_dir)
-    sims = materialize(item_cf.item_similarity(ratings).filter(
-        F.col("score") > schemas.SIMILARITY_THRESHOLD))
+    sims = materialize(item_cf.item_similarity(ratings, threshold=schemas.SIMILARITY_THRESHOLD))
     history = ratings.filter(F.col("time_stamp") < STREAM_BATCH_START)
     batch = ratings.filter(F.col("time_stamp") >= STREAM_BATCH_START)
     return ratings, history, batch, sims

@@ -81,3 +81,16 @@ def test_hot_user_with_a_third_of_all_rows(spark):
     for row in sorted(got, key=lambda x: (x.product_id, x.rank)):
         by[row.product_id].append(row.rec_product_id)
     assert dict(by) == want
+
+
+def test_thresholded_similarity_with_heavy_users_equals_full_table(spark):
+    import random
+    rnd = random.Random(11)
+    pairs = [(u, rnd.randrange(40)) for u in range(1, 80) for _ in range(rnd.randrange(1, 5))]
+    pairs += [(0, p) for p in range(0, 40, 2)] + [(90, p) for p in range(25)]
+    r = _ratings(spark, pairs)
+    full = {k: v for k, v in _sims(item_cf.item_similarity(r)).items() if v > 0.3}
+    for heavy in (2000, 10):
+        got = _sims(item_cf.item_similarity(r, threshold=0.3, heavy_user_products=heavy))
+        assert got.keys() == full.keys(), heavy
+        assert all(math.isclose(got[k], full[k]) for k in full)
