@@ -5,7 +5,8 @@ on the whole micro-batch. State lives in parquet tables under ``state_dir`` (a
 shared folder):
 
 * ``history``: the rating table as of the start, written once, partitioned by
-  ``user_bucket = pmod(xxhash64(user_id), B)``;
+  ``user_bucket = pmod(xxhash64(user_id), B)``, B about one bucket per million
+  ratings (recorded in ``layout`` so a restart reuses it);
 * ``ratings_log``: the valid ratings of each batch, partitioned by
   ``batch_id`` and ``user_bucket``;
 * ``similarity``: the ProductRecs table, written once, partitioned by
@@ -38,7 +39,8 @@ from pickwise.operators import realtime
 from pickwise.streaming.source import parse_messages
 
 _RATING_COLS = [f.name for f in schemas.RATING.fields]
-DEFAULT_BUCKETS = 256
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 4096
 
 
 def bucket_of(col: str, buckets: int) -> Column:
@@ -70,11 +72,12 @@ class StreamRecsJob:
                  sims: DataFrame, recent_k: int = schemas.MAX_USER_RATINGS_NUM,
                  candidate_k: int = schemas.MAX_SIM_PRODUCTS_NUM,
                  threshold: float = schemas.SIMILARITY_THRESHOLD,
-                 buckets: int = DEFAULT_BUCKETS):
+                 buckets: int | None = None):
         self.spark = spark
         self.state_dir = state_dir
         self.recent_k, self.candidate_k, self.threshold = recent_k, candidate_k, threshold
         self.buckets = buckets
+        self.layout_path = os.path.join(state_dir, "layout")
         self.history_path = os.path.join(state_dir, "history")
         self.sims_path = os.path.join(state_dir, "similarity")
         self.log_path = os.path.join(state_dir, "ratings_log")
@@ -83,8 +86,21 @@ class StreamRecsJob:
         self._base_ratings = base_ratings.select(_RATING_COLS)
         self._sims = sims.select("product_id", "rec_product_id", "score")
 
+    def _layout(self) -> int:
+        """Bucket count of the state tables: recorded once, reused after a restart."""
+        saved = _read_or_none(self.spark, self.layout_path)
+        if saved is not None:
+            return int(saved.first()["buckets"])
+        if self.buckets is None:
+            rows = self._base_ratings.count()
+            self.buckets = max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
+        self.spark.createDataFrame([(int(self.buckets),)], "buckets int").write.mode(
+            "overwrite").parquet(self.layout_path)
+        return int(self.buckets)
+
     def prepare(self) -> None:
         """Write the bucketed history and similarity tables once (kept across restarts)."""
+        self.buckets = self._layout()
         if _read_or_none(self.spark, self.history_path) is None:
             (self._base_ratings.withColumn("user_bucket", bucket_of("user_id", self.buckets))
              .repartition("user_bucket").sortWithinPartitions("user_id")
