@@ -3,6 +3,10 @@
 Table names follow the reference application (Product, Rating, RateMoreProducts,
 RateMoreRecentlyProducts, AverageProducts, UserRecs, ProductRecs, CommenRecs,
 ItemCFRecs, StreamRecs). Tables are parquet folders under one base folder.
+Bounded lists (UserRecs: top 20, ItemCFRecs: top 10) are stored nested as
+(key, recs array<struct<product_id, score>>); the uncapped similarity tables
+(ProductRecs, CommenRecs) stay in long form (product_id, rec_product_id, score)
+so that no row holds an unbounded list.
 
     python -m pickwise.plans.jobs load --base /data/reco --products p.csv --ratings r.csv
     python -m pickwise.plans.jobs statistics --base /data/reco
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, statistics
+from pickwise.operators.topk import to_recs
 from pickwise.session import get_session, input_bytes, size_shuffle_partitions
 from pickwise.sources.tables import table_path
 from pickwise.sources.tables import read_table, write_table
@@ -52,7 +57,7 @@ def statistics_job(spark: SparkSession, base: str) -> None:
 
 def offline_job(spark: SparkSession, base: str, seed: int | None = None) -> None:
     model = als.train_als(_ratings(spark, base), seed=seed)
-    write_table(als.als_user_recs(model), base, USER_RECS)
+    write_table(to_recs(als.als_user_recs(model), "user_id", item="product_id"), base, USER_RECS)
     write_table(als.als_product_recs(model), base, PRODUCT_RECS)
 
 
@@ -68,7 +73,7 @@ def content_job(spark: SparkSession, base: str, num_features: int | None = schem
 
 
 def item_cf_job(spark: SparkSession, base: str) -> None:
-    write_table(item_cf.item_cf_recs(_ratings(spark, base)), base, ITEM_CF_RECS)
+    write_table(to_recs(item_cf.item_cf_recs(_ratings(spark, base)), "product_id"), base, ITEM_CF_RECS)
 
 
 def stream_job(spark: SparkSession, base: str, servers: str, topic: str, state_dir: str,

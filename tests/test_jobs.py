@@ -20,7 +20,9 @@ def test_jobs_write_named_tables(spark, tmp_dir):
     jobs.content_job(spark, base)
     top = read_table(spark, base, jobs.RATE_MORE_PRODUCTS).first()
     assert top["count"] >= 1
-    assert read_table(spark, base, jobs.ITEM_CF_RECS).count() > 0
+    nested = read_table(spark, base, jobs.ITEM_CF_RECS, schemas.PRODUCT_RECS)
+    assert nested.count() > 0
+    assert all(1 <= len(r.recs) <= 10 for r in nested.collect())
     assert read_table(spark, base, jobs.CONTENT_RECS, schemas.SIMILARITY).count() > 0
 
 
@@ -34,3 +36,16 @@ def test_shuffle_partitions_follow_input_size(spark):
         assert size_shuffle_partitions(spark, 1) == 3200  # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_to_recs_and_back(spark):
+    from pickwise.operators.topk import from_recs, to_recs
+    long = spark.createDataFrame([(1, 7, 0.5, 2), (1, 9, 0.9, 1), (2, 3, 0.1, 1)],
+                                 "product_id int, rec_product_id int, score double, rank int")
+    nested = to_recs(long, "product_id")
+    got = {r.product_id: [(x.product_id, x.score) for x in r.recs] for r in nested.collect()}
+    assert got == {1: [(9, 0.9), (7, 0.5)], 2: [(3, 0.1)]}
+    back = from_recs(nested, "product_id")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
+    by_score = to_recs(long.drop("rank"), "product_id", rank_col=None)
+    assert {r.product_id: [x.product_id for x in r.recs] for r in by_score.collect()} == {1: [9, 7], 2: [3]}
