@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.functions.columns import above, log10_count
-from pickwise.operators.topk import top_k
+from pickwise.operators.topk import to_recs, top_k
 
 # Newest first; ties on the second broken by product id then score (both
 # descending) so that the order is total.
@@ -91,11 +91,8 @@ def stream_recs_long(history: DataFrame, batch: DataFrame, sims: DataFrame,
 def stream_recs(history: DataFrame, batch: DataFrame, sims: DataFrame, **kw) -> DataFrame:
     """UserRecs for every user of the batch: (user_id, recs), recs best first, maybe empty."""
     scores = stream_recs_long(history, batch, sims, **kw)
-    entry = F.struct((-F.col("score")).alias("o"), F.col("product_id").alias("p"),
-                     F.struct(F.col("product_id").alias("product_id"),
-                              F.col("score").alias("score")).alias("r"))
-    nested = scores.groupBy("user_id").agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["r"]).alias("recs"))
+    # at most candidate_k entries per user, so the nested list is bounded
+    nested = to_recs(scores, "user_id", item="product_id", rank_col=None)
     users = batch.select("user_id").distinct()
     empty = F.array().cast(schemas.RECS)
     return users.join(nested, "user_id", "left").select(
