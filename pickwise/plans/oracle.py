@@ -148,3 +148,76 @@ FROM sc"""
 
 # One micro-batch of the streaming job equals the batch function.
 SQL["stream_recs"] = SQL["stream_recs_batch"]
+
+
+# ---- HashingTF buckets in SQL: Murmur3 x86_32 (seed 42) of the term's UTF-8
+# bytes, non-negative mod the width. 32-bit words are BIGINT masked to 32
+# bits; products go through HUGEINT. Fixed values of the hash:
+# c1 = 0xcc9e2d51, c2 = 0x1b873593, body add 0xe6546b64, fmix multipliers
+# 0x85ebca6b and 0xc2b2ae35, rotations 15 and 13, fmix shifts 16, 13, 16.
+_M32 = 1 << 32
+
+
+def _mul32(a: str, c: int) -> str:
+    return f"(CAST((CAST({a} AS HUGEINT) * {c}) % {_M32} AS BIGINT))"
+
+
+def _rotl32(x: str, r: int) -> str:
+    return f"(((({x}) << {r}) | (({x}) >> {32 - r})) & {_M32 - 1})"
+
+
+def _mix32(k: str) -> str:
+    return f"({_mul32(_rotl32(_mul32(k, 0xcc9e2d51), 15), 0x1b873593)})"
+
+
+def hashed_terms_sql(width: int) -> str:
+    """CTEs ending in hashed(term, dim) over the distinct terms of ``terms``."""
+    nib = "strpos('0123456789ABCDEF', substr(hx, {p}, 1)) - 1"
+    byte = f"({nib.format(p='2 * i + 1')}) * 16 + {nib.format(p='2 * i + 2')}"
+    return f"""
+vocab AS (SELECT DISTINCT term, hex(encode(term)) AS hx FROM terms),
+hb AS (SELECT term, length(hx) // 2 AS n,
+              list_transform(range(0, length(hx) // 2), lambda i: CAST({byte} AS BIGINT)) AS b
+       FROM vocab),
+hk AS (SELECT term, b, n, n // 4 AS nb,
+              list_transform(range(0, n // 4), lambda i: b[4 * i + 1] + b[4 * i + 2] * 256
+                                                         + b[4 * i + 3] * 65536
+                                                         + b[4 * i + 4] * 16777216) AS ks
+       FROM hb),
+hbody AS (
+  SELECT term, n,
+         list_reduce(list_concat([CAST(42 AS BIGINT)], list_transform(ks, lambda kk: {_mix32('kk')})),
+                     lambda h, m: ({_rotl32('xor(h, m)', 13)} * 5 + {0xe6546b64}) % {_M32}) AS h,
+         list_reduce(list_concat([CAST(0 AS BIGINT)],
+                                 list_transform(range(0, n % 4),
+                                                lambda j: b[4 * nb + j + 1] << (8 * j))),
+                     lambda acc, x: acc | x) AS tk
+  FROM hk),
+hf AS (SELECT term, xor(xor(h, {_mix32('tk')}), n) AS h FROM hbody),
+hf2 AS (SELECT term, {_mul32('xor(h, h >> 16)', 0x85ebca6b)} AS h FROM hf),
+hf3 AS (SELECT term, {_mul32('xor(h, h >> 13)', 0xc2b2ae35)} AS h FROM hf2),
+hs AS (SELECT term, xor(h, h >> 16) AS h FROM hf3),
+hashed AS (
+  SELECT term, CAST(((CASE WHEN h >= {1 << 31} THEN h - {_M32} ELSE h END) % {width} + {width})
+                    % {width} AS INTEGER) AS dim
+  FROM hs)"""
+
+
+SQL["content_recs"] = _with(PRODUCTS) + """,
+terms AS (
+  SELECT product_id, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term
+  FROM products),""" + hashed_terms_sql(800) + """,
+tf AS (SELECT t.product_id, h.dim, count(*) AS tf FROM terms t JOIN hashed h USING (term) GROUP BY 1, 2),
+df AS (SELECT dim, count(*) AS df FROM tf GROUP BY 1),
+m AS (SELECT count(*) AS m FROM products),
+w AS (SELECT tf.product_id, tf.dim, tf.tf * ln((m.m + 1.0) / (df.df + 1.0)) AS w
+      FROM tf JOIN df USING (dim) CROSS JOIN m),
+nz AS (SELECT * FROM w WHERE w > 0),
+nrm AS (SELECT product_id, sqrt(sum(w * w)) AS n FROM nz GROUP BY 1),
+dots AS (
+  SELECT a.product_id AS p1, b.product_id AS p2, sum(a.w * b.w) AS d
+  FROM nz a JOIN nz b ON a.dim = b.dim AND a.product_id <> b.product_id
+  GROUP BY 1, 2)
+SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score
+FROM dots JOIN nrm n1 ON n1.product_id = p1 JOIN nrm n2 ON n2.product_id = p2
+WHERE d / (n1.n * n2.n) > 0.6"""
