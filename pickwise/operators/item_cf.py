@@ -63,7 +63,8 @@ def user_product_counts(ratings: DataFrame) -> DataFrame:
 
 
 def _prepare(ratings: DataFrame, heavy_user_products: int):
-    """(rows, heavy_rows): user-product rows with n and a heavy-product flag."""
+    """(user_id, product_id, m, n, hu, hp): multiplicity, product count, heavy-user
+    flag and heavy-product flag (the product is rated by some heavy user)."""
     um = materialize(user_product_counts(ratings), "user-product")
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
     deg = um.groupBy("user_id").agg(F.count("*").alias("d"))
@@ -110,6 +111,14 @@ def _mirror_scored(co: DataFrame) -> DataFrame:
     return co.select(both.alias("e"), sim.alias("score")).select("e.*", "score")
 
 
+def _positions(sorted_ids: np.ndarray, values: np.ndarray):
+    """Index of each value in ``sorted_ids`` and whether it is there."""
+    pos = np.searchsorted(sorted_ids, values)
+    clipped = np.minimum(pos, max(sorted_ids.size - 1, 0))
+    found = (pos < sorted_ids.size) & (sorted_ids[clipped] == values)
+    return clipped, found
+
+
 def _block_pairs(k: int | None, threshold: float | None):
     """Group function: exact scores of a block pair; emits top k per row or all > threshold."""
     def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
@@ -151,14 +160,18 @@ def _block_pairs(k: int | None, threshold: float | None):
         ids_i, xi, ni = dense(vi)
         ids_j, xj, nj = (ids_i, xi, ni) if bi == bj else dense(vj)
         n12 = xi @ xj.T  # heavy users' co-rating counts (exact integers)
-        if not a.empty:
-            pos_i = {p: r for r, p in enumerate(ids_i)}
-            pos_j = {p: r for r, p in enumerate(ids_j)}
-            for p1, p2, c in zip(a["product_id"].to_numpy(), a["p2"].to_numpy(), a["m"].to_numpy()):
-                if p1 in pos_i and p2 in pos_j:
-                    n12[pos_i[p1], pos_j[p2]] += c
-                if p2 in pos_i and p1 in pos_j and (bi == bj or not (p1 in pos_i and p2 in pos_j)):
-                    n12[pos_i[p2], pos_j[p1]] += c
+        if not a.empty:  # light counts of these product pairs, added in place
+            a1 = a["product_id"].to_numpy()
+            a2 = a["p2"].to_numpy()
+            c = a["m"].to_numpy(dtype=np.float64)
+            i1, in_i1 = _positions(ids_i, a1)
+            j2, in_j2 = _positions(ids_j, a2)
+            fwd = in_i1 & in_j2
+            np.add.at(n12, (i1[fwd], j2[fwd]), c[fwd])
+            i2, in_i2 = _positions(ids_i, a2)
+            j1, in_j1 = _positions(ids_j, a1)
+            back = in_i2 & in_j1 if bi == bj else in_i2 & in_j1 & ~fwd
+            np.add.at(n12, (i2[back], j1[back]), c[back])
         score = np.where(n12 > 0, n12 / np.sqrt(ni[:, None] * nj[None, :]), 0.0)
         if bi == bj:
             np.fill_diagonal(score, 0.0)
