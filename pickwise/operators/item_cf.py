@@ -62,22 +62,30 @@ def user_product_counts(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id", "product_id").agg(F.count("*").alias("m"))
 
 
-def _prepare(ratings: DataFrame, heavy_user_products: int):
-    """(user_id, product_id, m, n, hu, hp): multiplicity, product count, heavy-user
-    flag and heavy-product flag (the product is rated by some heavy user)."""
+def _prepare(ratings: DataFrame, heavy_user_products: int) -> tuple[DataFrame, bool]:
+    """(user_id, product_id, m, n, hu, hp) and whether any heavy user exists.
+
+    m is the multiplicity, n the product's rating count, hu flags heavy users
+    and hp heavy products (rated by some heavy user).
+    """
     um = materialize(user_product_counts(ratings), "user-product")
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
     deg = um.groupBy("user_id").agg(F.count("*").alias("d"))
     heavy_users = deg.filter(F.col("d") > heavy_user_products).select("user_id")
+    with_n = um.join(n, "product_id")
+    if heavy_users.limit(1).count() == 0:  # the usual case: no flag joins
+        rows = with_n.select("user_id", "product_id", "m", "n",
+                             F.lit(False).alias("hu"), F.lit(False).alias("hp"))
+        return rows, False
     heavy_rows = um.join(heavy_users, "user_id", "left_semi")
     heavy_products = heavy_rows.select("product_id").distinct().withColumn("hp", F.lit(True))
-    rows = (um.join(n, "product_id")
+    rows = (with_n
             .join(heavy_users.withColumn("hu", F.lit(True)), "user_id", "left")
             .join(heavy_products, "product_id", "left")
             .select("user_id", "product_id", "m", "n",
                     F.coalesce("hu", F.lit(False)).alias("hu"),
                     F.coalesce("hp", F.lit(False)).alias("hp")))
-    return materialize(rows, "user-product-flags")
+    return materialize(rows, "user-product-flags"), True
 
 
 def _light_pairs(rows: DataFrame) -> DataFrame:
@@ -227,13 +235,13 @@ def item_similarity(ratings: DataFrame, threshold: float | None = None,
     has a row per pair by definition), so every user's pairs are enumerated.
     """
     if threshold is None:
-        rows = _prepare(ratings, heavy_user_products=1 << 62)
+        rows, _ = _prepare(ratings, heavy_user_products=1 << 62)
         return _mirror_scored(_light_pairs(rows))
     t = float(threshold)
-    rows = _prepare(ratings, heavy_user_products)
+    rows, has_heavy = _prepare(ratings, heavy_user_products)
     light = _light_pairs(rows)
     direct = _mirror_scored(light.filter(~F.col("hh"))).filter(F.col("score") > t)
-    if rows.filter("hu").limit(1).count() == 0:
+    if not has_heavy:
         return direct
     return direct.unionByName(_heavy_pairs(rows, light, threshold=t))
 
@@ -241,9 +249,8 @@ def item_similarity(ratings: DataFrame, threshold: float | None = None,
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
                  heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
     """Top-k co-rated products per product: (product_id, rec_product_id, score, rank)."""
-    rows = _prepare(ratings, heavy_user_products)
+    rows, has_heavy = _prepare(ratings, heavy_user_products)
     light = _light_pairs(rows)
     direct = _mirror_scored(light.filter(~F.col("hh")))
-    has_heavy = rows.filter("hu").limit(1).count() > 0
     scored = direct.unionByName(_heavy_pairs(rows, light, k=k)) if has_heavy else direct
     return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)
