@@ -83,6 +83,7 @@ class StreamRecsJob:
         self.log_path = os.path.join(state_dir, "ratings_log")
         self.recs_path = os.path.join(state_dir, "stream_recs")
         self.malformed: dict[int, int] = {}
+        self._prepared = False
         self._base_ratings = base_ratings.select(_RATING_COLS)
         self._sims = sims.select("product_id", "rec_product_id", "score")
 
@@ -100,6 +101,8 @@ class StreamRecsJob:
 
     def prepare(self) -> None:
         """Write the bucketed history and similarity tables once (kept across restarts)."""
+        if self._prepared:
+            return
         self.buckets = self._layout()
         if _read_or_none(self.spark, self.history_path) is None:
             (self._base_ratings.withColumn("user_bucket", bucket_of("user_id", self.buckets))
@@ -109,6 +112,7 @@ class StreamRecsJob:
             (self._sims.withColumn("product_bucket", bucket_of("product_id", self.buckets))
              .repartition("product_bucket").sortWithinPartitions("product_id")
              .write.mode("overwrite").partitionBy("product_bucket").parquet(self.sims_path))
+        self._prepared = True
 
     def _bucket_ids(self, df: DataFrame, col: str) -> list[int]:
         rows = df.select(bucket_of(col, self.buckets).alias("b")).distinct().collect()
