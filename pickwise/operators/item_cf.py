@@ -119,16 +119,19 @@ def _mirror_scored(co: DataFrame) -> DataFrame:
     return co.select(both.alias("e"), sim.alias("score")).select("e.*", "score")
 
 
-def _positions(sorted_ids: np.ndarray, values: np.ndarray):
-    """Index of each value in ``sorted_ids`` and whether it is there."""
-    pos = np.searchsorted(sorted_ids, values)
-    clipped = np.minimum(pos, max(sorted_ids.size - 1, 0))
-    found = (pos < sorted_ids.size) & (sorted_ids[clipped] == values)
-    return clipped, found
+def _block_pairs(k: int | None, threshold: float | None):
+    """Group function: exact scores of a block pair; emits top k per row or all > threshold.
 
+    Everything the function uses is defined inside it, so it is shipped to
+    the Python workers by value and needs no import of this package there.
+    """
+    def _positions(sorted_ids: np.ndarray, values: np.ndarray):
+        """Index of each value in ``sorted_ids`` and whether it is there."""
+        pos = np.searchsorted(sorted_ids, values)
+        clipped = np.minimum(pos, max(sorted_ids.size - 1, 0))
+        found = (pos < sorted_ids.size) & (sorted_ids[clipped] == values)
+        return clipped, found
 
-def _block_pairs(k: int | None, threshold: float | None):
-    """Group function: exact scores of a block pair; emits top k per row or all > threshold."""
     def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
         if threshold is not None:
             r, c = np.nonzero(score > threshold)
