@@ -61,7 +61,9 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def read_stream_recs(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current StreamRecs: for each user the recs of the newest batch that touched it."""
-    recs = spark.read.parquet(os.path.join(state_dir, "stream_recs"))
+    recs = _read_or_none(spark, os.path.join(state_dir, "stream_recs"))
+    if recs is None:  # no batch has produced recommendations yet
+        return spark.createDataFrame([], schemas.USER_RECS)
     return recs.groupBy("user_id").agg(F.max_by("recs", "batch_id").alias("recs"))
 
 

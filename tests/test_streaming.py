@@ -69,3 +69,11 @@ def test_batch_reads_only_touched_user_buckets(spark, tmp_dir):
     want = {r.user_id for r in history.select("user_id").distinct().collect()
             if r.user_id is not None}
     assert got and got < want
+
+
+def test_only_malformed_messages_give_empty_recs(spark, tmp_dir):
+    history, _, sims = _inputs(spark)
+    job = StreamRecsJob(spark, f"{tmp_dir}/state", history, sims, buckets=4)
+    job.process(spark.createDataFrame([("x|1|5.0|0",), ("1|2",)], "value string"), 0)
+    assert job.malformed[0] == 2
+    assert read_stream_recs(spark, f"{tmp_dir}/state").count() == 0
