@@ -52,3 +52,51 @@ def test_recent_ratings_keeps_newest_k(spark):
     users = spark.createDataFrame([(1,)], "user_id int")
     got = [r.product_id for r in realtime.recent_ratings(log, users, 5).collect()]
     assert sorted(got) == [25, 26, 27, 28, 29]
+
+
+def _brute_stream(history, batch, sims, k_recent, k_cand, t=0.6):
+    """Per-user reading of the re-ranker semantics, one user at a time."""
+    sim = {(a, b): s for a, b, s in sims}
+    log = history + batch
+    out = {}
+    for u in {r[0] for r in batch}:
+        mine = [r for r in batch if r[0] == u]
+        trig = max(mine, key=lambda r: (r[3], r[1], r[2]))[1]
+        rated = {r[1] for r in log if r[0] == u}
+        recents = sorted((r for r in log if r[0] == u), key=lambda r: (r[3], r[1], r[2]), reverse=True)[:k_recent]
+        cands = sorted(((s, b) for (a, b), s in sim.items() if a == trig and b not in rated),
+                       key=lambda x: (-x[0], x[1]))[:k_cand]
+        for _, c in cands:
+            hits = [(sim[(r[1], c)], r[2]) for r in recents if sim.get((r[1], c), 0.0) > t]
+            if not hits:
+                continue
+            incr = sum(1 for _, sc in hits if sc > 3)
+            decr = len(hits) - incr
+            out[(u, c)] = (sum(s * sc for s, sc in hits) / len(hits)
+                           + math.log10(max(1, incr)) - math.log10(max(1, decr)))
+    return out
+
+
+def test_batch_recs_equal_brute_force_with_hot_triggers(spark):
+    import random
+    rnd = random.Random(5)
+    products = list(range(1, 16))
+    history = [(u, rnd.choice(products), float(rnd.randint(1, 5)), rnd.randint(0, 100))
+               for u in range(1, 40) for _ in range(rnd.randint(0, 12))]
+    history += [(1, 3, 4.0, 50)] * 3  # repeat ratings
+    batch = [(u, 7 if u % 2 else rnd.choice(products), float(rnd.randint(1, 5)), 200 + rnd.randint(0, 5))
+             for u in range(1, 40) for _ in range(rnd.randint(1, 3))]
+    sims = []
+    for a in products:
+        for b in products:
+            if a < b and rnd.random() < 0.6:
+                s = round(rnd.uniform(0.5, 1.0), 3)
+                sims += [(a, b, s), (b, a, s)]
+    h = spark.createDataFrame(history, schemas.RATING)
+    b = spark.createDataFrame(batch, schemas.RATING)
+    s = spark.createDataFrame(sims, schemas.SIMILARITY)
+    got = {(r.user_id, r.product_id): r.score
+           for r in realtime.stream_recs_long(h, b, s, recent_k=5, candidate_k=4).collect()}
+    want = _brute_stream(history, batch, sims, 5, 4)
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-12) for k in want)
