@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise import schemas
-from pickwise.operators import item_cf, statistics
-from pickwise.session import apply_runtime_defaults, materialize
+from pickwise.operators import als, content, item_cf, realtime, similarity, statistics
+from pickwise.session import apply_runtime_defaults, materialize, scratch_path
 from pickwise.sources import bindings, text
+from pickwise.streaming import StreamRecsJob, read_stream_recs, text_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,21 +72,7 @@ def _session_ready(fn: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {
-    name: _session_ready(fn) for name, fn in [
-        ("rate_more_products", rate_more_products),
-        ("rate_more_recently_products", rate_more_recently_products),
-        ("average_products", average_products),
-        ("load_products", load_products),
-        ("load_ratings", load_ratings),
-        ("item_cf_recs", item_cf_recs),
-        ("item_similarity_events", item_similarity_events),
-    ]
-}
-
-
-# ---- similarity and content (appended queries)
-from pickwise.operators import content, similarity  # noqa: E402
+# ---- similarity and content
 
 EMBEDDING_THRESHOLD = 0.4  # random 64-d test vectors have no pair above 0.6
 
@@ -108,17 +95,7 @@ def content_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("product_id", "rec_product_id", _r6("score"))
 
 
-QUERIES.update({
-    name: _session_ready(fn) for name, fn in [
-        ("cosine_pairs_dense", cosine_pairs_dense),
-        ("content_recs_exact", content_recs_exact),
-        ("content_recs", content_recs),
-    ]
-})
-
-
 # ---- real-time re-ranking in batch form
-from pickwise.operators import realtime  # noqa: E402
 
 # Ratings at or after this instant (2024-01-29 00:00 UTC) are the new batch;
 # everything before is history. All events are read.
@@ -151,17 +128,7 @@ def stream_recs_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "product_id", _r6("score"))
 
 
-QUERIES.update({
-    name: _session_ready(fn) for name, fn in [
-        ("recent_ratings", recent_ratings),
-        ("candidate_products", candidate_products),
-        ("stream_recs_batch", stream_recs_batch),
-    ]
-})
-
-
 # ---- ALS (no SQL form: the driver checks rows only)
-from pickwise.operators import als  # noqa: E402
 
 ALS_SEED = 42  # the reference sets no seed; a fixed one makes runs repeatable
 
@@ -189,19 +156,7 @@ def als_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als.als_tune(bindings.ratings_orders(spark, sf_dir))
 
 
-QUERIES.update({
-    name: _session_ready(fn) for name, fn in [
-        ("als_user_recs", als_user_recs),
-        ("als_product_recs", als_product_recs),
-        ("als_rmse", als_rmse),
-        ("als_tune", als_tune),
-    ]
-})
-
-
 # ---- the streaming job itself, run to completion over the event messages
-from pickwise.session import scratch_path  # noqa: E402
-from pickwise.streaming import StreamRecsJob, read_stream_recs, text_messages  # noqa: E402
 
 
 def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,4 +181,23 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.col("r.score"), 6).alias("score")))
 
 
-QUERIES["stream_recs"] = _session_ready(stream_recs)
+QUERIES: dict[str, Query] = {fn.__name__: _session_ready(fn) for fn in (
+    rate_more_products,
+    rate_more_recently_products,
+    average_products,
+    load_products,
+    load_ratings,
+    item_cf_recs,
+    item_similarity_events,
+    cosine_pairs_dense,
+    content_recs_exact,
+    content_recs,
+    recent_ratings,
+    candidate_products,
+    stream_recs_batch,
+    als_user_recs,
+    als_product_recs,
+    als_rmse,
+    als_tune,
+    stream_recs,
+)}
