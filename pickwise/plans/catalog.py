@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, realtime, similarity, statistics
-from pickwise.session import apply_runtime_defaults, materialize, scratch_path
+from pickwise.session import apply_runtime_defaults, delete_on_exit, materialize, scratch_path
 from pickwise.sources import bindings, text
 from pickwise.streaming import StreamRecsJob, read_stream_recs, text_messages
 
@@ -169,6 +169,7 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, history, batch, sims = _event_split(spark, sf_dir)
     root = scratch_path(spark, "stream-recs")
     text.format_rating_lines(batch, sep=schemas.STREAM_FIELD_SEPARATOR).write.text(f"{root}/messages")
+    delete_on_exit(spark, root)
     job = StreamRecsJob(spark, f"{root}/state", history, sims)
     query = job.start(text_messages(spark, f"{root}/messages"), f"{root}/checkpoint",
                       available_now=True)

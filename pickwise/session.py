@@ -67,6 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove a written scratch path when the application ends (Hadoop deleteOnExit)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder; read it back.
 
@@ -79,6 +86,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    delete_on_exit(spark, path)  # scratch lives as long as the application
     return spark.read.parquet(path)
 
 
