@@ -49,3 +49,14 @@ def test_to_recs_and_back(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect()))
     by_score = to_recs(long.drop("rank"), "product_id", rank_col=None)
     assert {r.product_id: [x.product_id for x in r.recs] for r in by_score.collect()} == {1: [9, 7], 2: [3]}
+
+
+def test_materialize_writes_under_the_configured_checkpoint_dir(spark):
+    from pickwise.session import checkpoint_root, materialize
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = checkpoint_root(spark)
+    assert configured and root.replace("file:", "").startswith(configured)
+    df = materialize(spark.range(5), "probe")
+    files = df.inputFiles()
+    assert files and all(f.replace("file:", "").startswith(configured) for f in files)
+    assert df.count() == 5
