@@ -189,35 +189,37 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         parts.append(rows.mapInArrow(run, schema))
     out = parts[0]
     if len(parts) > 1:
-        out = _merge(parts)
+        out = _merge(parts, schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return (out.drop("mark").withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words")))
             .withColumnRenamed("id", id_col))
 
 
-def _merge(parts: list[DataFrame]) -> DataFrame:
+def _merge(parts: list[DataFrame], schema: str) -> DataFrame:
     """Spans and items of the shards per document; equal rows stay as many as they were."""
-    first = parts[0].groupBy("id", "mark").agg(F.count("*").alias("copies"))
     found = parts[0]
     for p in parts[1:]:
         found = found.union(p)
     merged = found.groupBy("id", "mark").agg(
         F.first("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    joined = F.aggregate(
-        "s", F.array().cast("array<struct<start:int,end:int>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(acc, F.array(x))))
-    keys = (merged["id"].eqNullSafe(first["id"])) & (merged["mark"] == first["mark"])
-    return (merged.join(first, keys).select(
-        merged["id"], "n_words", joined.alias("spans"), "items", merged["mark"],
-        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_one")).drop("_one"))
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        (F.count("*") / len(parts)).cast("int").alias("copies"))
+
+    def join(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                spans: list[dict] = []
+                for s in row["spans"]:
+                    if spans and s["start"] <= spans[-1]["end"]:
+                        spans[-1]["end"] = max(spans[-1]["end"], s["end"])
+                    else:
+                        spans.append(s)
+                out += [{**row, "spans": spans}] * row.pop("copies")
+            yield pa.RecordBatch.from_pylist(out, schema=SCANNED)
+    return merged.mapInArrow(join, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

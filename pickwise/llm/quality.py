@@ -1,8 +1,8 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
 Terms of a document are its words, their written shape (case, digits, the
-punctuation behind them), immediate repetitions and the marks within its lines,
-hashed into ``FEATURES`` columns. Log counts weighted by inverse document
+marks behind them), and the levels of immediate repetition and of variety that
+it reaches, hashed into ``FEATURES`` columns. Log counts weighted by inverse document
 frequency are projected on the leading singular vectors of a bounded, seeded
 sample of labelled training rows. Every document is compared with all sample
 vectors by exact cosine products, block by block; the labels of the ``k``
@@ -22,10 +22,9 @@ table gives no rows; other columns pass through.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,22 +40,25 @@ CACHE_WORDS = 400_000
 EMPTY = np.zeros(0, np.int64)
 
 
+# levels of immediate repetition and of word variety that become terms of their own
+REPEATED = (0.02, 0.05, 0.1, 0.2, 0.4)
+VARIETY = (0.5, 0.3, 0.15)
+_MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
 class _Codes(dict):
-    """word -> (hash of the bare word, hash of its shape) in one integer."""
+    """word -> (hash of the bare word, hash of its shape) in one integer.
 
-    _shape = [(re.compile(p), r) for p, r in ((rb"[0-9]+", b"9"), (rb"[A-Z][A-Z]+", b"AA"), (rb"[a-z\x80-\xff]+", b"a"))]
+    The shape is the case of the word and the first marks behind it.
+    """
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
         if len(self) >= CACHE_WORDS:
             self.clear()
-        bare = re.sub(rb"[^0-9a-z\x80-\xff]+", b"", word.lower())
-        shape = word
-        for pattern, mark in self._shape:
-            shape = pattern.sub(mark, shape)
-        shape = re.sub(rb"(.)\1\1+", rb"\1\1\1", shape)
-        code = (xxhash.xxh3_64_intdigest(bare) >> 24) << 20 | xxhash.xxh3_64_intdigest(shape) % SHAPES
-        self[word] = code
+        core = word.rstrip(_MARKS)
+        kind = 3 if core.isdigit() else 2 if core.isupper() else 1 if core[:1].isupper() else 0
+        shape = xxhash.xxh32_intdigest(word[len(core):len(core) + 3], kind) % SHAPES
+        self[word] = code = (xxhash.xxh3_64_intdigest(core.lower()) >> 24) << 20 | shape
         return code
 
     def of(self, text: bytes) -> np.ndarray:
@@ -67,16 +69,19 @@ class _Codes(dict):
 def term_counts(text: bytes, codes: _Codes) -> tuple[np.ndarray, np.ndarray]:
     """(columns, log counts) of one text."""
     c = codes.of(text)
-    if not len(c):
+    n = len(c)
+    if not n:
         return EMPTY, EMPTY.astype(np.float32)
     bare, shape = c >> 20, c & 0xFFFFF
     counts = np.bincount(bare % WORDS, minlength=FEATURES)
-    counts[WORDS:WORDS + SHAPES] += np.bincount(shape, minlength=SHAPES)[:SHAPES]
-    counts[FEATURES - 1] = int((bare[1:] == bare[:-1]).sum())
-    counts[FEATURES - 2] = text.count(b"\n")
+    counts[WORDS:WORDS + SHAPES] += np.bincount(shape, minlength=SHAPES)
+    repeated = int((bare[1:] == bare[:-1]).sum()) / n
+    variety = len(np.unique(bare)) / n if n >= 20 else 1.0
+    levels = [repeated >= x for x in REPEATED] + [variety <= x for x in VARIETY]
+    counts[FEATURES - len(levels):] = np.array(levels) * n
     at = np.flatnonzero(counts)
     # relative log counts: the length of a text alone moves it little
-    return at, np.log1p(counts[at] * (256.0 / (len(c) + 32.0))).astype(np.float32)
+    return at, np.log1p(counts[at] * (256.0 / (n + 32.0))).astype(np.float32)
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> dict:

@@ -1,0 +1,55 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from pickwise.llm import quality
+from pickwise.llm.queries import op1_quality
+
+LARGER = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    scored = op1_quality(spark, LARGER).join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id") \
+        .filter("held_out").select("score", "predicted", "quality").toPandas()
+    positive = scored.score[scored.quality == 1].to_numpy()
+    negative = scored.score[scored.quality == 0].to_numpy()
+    auc = np.mean((positive[:, None] > negative[None, :]) + 0.5 * (positive[:, None] == negative[None, :]))
+    assert auc > 0.95, auc
+    assert (scored.predicted == scored.quality).mean() > 0.93
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    rows = [(i, "good prose of words " * 3 if i % 2 else "BAD!! $$$ ### " * 4) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    flipped = labels.withColumn("quality", F.when(quality.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.score(docs, quality.train(docs, x)).orderBy("doc_id").collect() for x in (labels, flipped))
+    assert a == b
+    assert all((r["score"] >= 0.5) == (r["doc_id"] % 2 == 1) for r in a)
+
+
+def test_nulls_empty_long_repeated_and_missing(spark):
+    rows = [(1, "some words here", 9), (2, None, 9), (3, "", 9), (3, "", 9), (4, "w " * 60_000, 9), (None, "some words", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(2, 1), (3, None), (3, 0), (3, 1), (5, 1), (None, 1)], "doc_id long, quality int")
+    out = quality.score(docs, quality.train(docs, labels)).collect()
+    assert len(out) == 6 and all(0 <= r["score"] <= 1 for r in out)
+    none = quality.score(docs, quality.train(docs, labels.limit(0))).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert quality.score(docs.limit(0), quality.train(docs.limit(0), labels)).count() == 0
+
+
+def test_cosine_votes_equal_brute_force():
+    rng = np.random.default_rng(3)
+    codes = quality._Codes()
+    texts = [" ".join(rng.choice(["a", "B!", "cc", "d#", "ee"], 20)).encode() for _ in range(200)]
+    terms = [quality.term_counts(t, codes) for t in texts]
+    model = quality.fit([(*t, i % 2) for i, t in enumerate(terms[:120])])
+    got = quality.vote(model, terms)
+    for (at, x), score in zip(terms, got):
+        v = x @ model["projection"][at]
+        cosine = model["vectors"] @ (v / np.linalg.norm(v))
+        order = np.argsort(-cosine, kind="stable")[:quality.NEIGHBOURS]
+        if abs(np.sort(cosine)[-quality.NEIGHBOURS] - np.sort(cosine)[-quality.NEIGHBOURS - 1]) < 1e-6:
+            continue  # a tie at the edge may fall either way
+        w = np.maximum(cosine[order], 1e-6).astype(float) ** quality.SHARPNESS
+        assert abs((w * model["labels"][order]).sum() / w.sum() - score) < 1e-4
