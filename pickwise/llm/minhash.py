@@ -12,8 +12,10 @@ never spells out its pairs:
 1. every member of a band bucket is compared with the bucket's smallest id, and
    the confirmed links are joined into components;
 2. only members of one bucket that lie in different components are compared
-   with each other, by their signatures, in blocks of bounded size; what passes
-   is confirmed on the full sets and the components are joined again.
+   with each other, in blocks of bounded size: by their signatures first, then
+   the members of the pairs that pass on their full sets. A block returns its
+   members or a spanning forest of its links, never its pairs; the components
+   are joined again.
 
 After the second pass every candidate pair has been confirmed, refuted, or lies
 within one component, which is all that the result depends on.
@@ -48,7 +50,7 @@ from pickwise.llm.words import WordHashes, blank_words, shingle_set
 
 BANDS, ROWS, SHINGLE = 36, 6, 5
 CHUNK_SHINGLES = 32_768
-BLOCK_ROWS = 1024  # members of one bucket compared with as many others in one task
+BLOCK_ROWS = 256  # members of one bucket compared with as many others at once
 SIGNATURE_LEAST = 0.65 / 0.85  # of the threshold
 
 _rng = np.random.default_rng(7_2024)
@@ -132,29 +134,99 @@ def _confirm(threshold: tuple[int, int]):
     return run
 
 
-def _signature_blocks(least: float):
-    """Units of bucket members -> pairs in different components with similar signatures."""
+def _suspects(unit: pa.Table, least: float):
+    """(ids, components, x, y) of a unit: rows of the pairs to confirm.
+
+    They lie in different components, their signatures agree enough, and the
+    unit's band is the first that they share, so each pair is met once.
+    """
+    ids, comps, blocks = (unit.column(c).to_numpy() for c in ("id", "comp", "block"))
+    none = np.empty(0, np.int64)
+    if len(ids) < 2 or (comps == comps[0]).all():
+        return ids, comps, none, none
+    signatures = np.frombuffer(b"".join(unit.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+    bands = unit.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    key, need = unit.column("key")[0].as_py(), math.ceil(least * signatures.shape[1])
+    a, b, same = sides(blocks)
+    xs, ys = [none], [none]
+    step = max(1, (32 << 20) // (len(b) * signatures.shape[1]))
+    for s in range(0, len(a), step):
+        part = a[s:s + step]
+        hit = comps[part][:, None] != comps[b][None, :]
+        if same:
+            hit &= part[:, None] < b[None, :]
+        hit &= (signatures[part][:, None, :] == signatures[b][None, :, :]).sum(axis=2, dtype=np.int32) >= need
+        x, y = np.nonzero(hit)
+        x, y = part[x], b[y]
+        first = (bands[x] == bands[y]).argmax(axis=1)
+        mine = bands[x, first] == key
+        xs.append(x[mine])
+        ys.append(y[mine])
+    return ids, comps, np.concatenate(xs), np.concatenate(ys)
+
+
+def _flag(least: float):
+    """Units -> (band, id) of the members of any pair to confirm."""
     def run(batches):
         for unit in units(batches):
-            ids, comps, blocks = (unit.column(c).to_numpy() for c in ("id", "comp", "block"))
-            if len(ids) < 2 or (comps == comps[0]).all():
+            ids, _, x, y = _suspects(unit, least)
+            if len(x):
+                found = np.unique(ids[np.concatenate((x, y))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(unit.column("key")[0], len(found)), pa.array(found)], names=["band", "id"])
+    return run
+
+
+def shared_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (x, y), by products of 0/1 matrices."""
+    if len(x) <= 64:
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(x, y)], np.int64)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    often = times[column] > 1
+    owner, column = owner[often], (np.cumsum(times > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 16_384):
+        lo, hi = np.searchsorted(column, (start, start + 16_384))
+        held = np.zeros((len(sets), 16_384), np.float32)
+        held[owner[lo:hi], column[lo:hi] - start] = 1
+        both += held @ held.T
+    return both[x, y].astype(np.int64)
+
+
+def _confirm_units(least: float, threshold: tuple[int, int]):
+    """Units with texts -> links between components, a spanning forest of them per unit."""
+    p, q = threshold
+
+    def run(batches):
+        hashes = WordHashes()
+        for unit in units(batches):
+            ids, comps, x, y = _suspects(unit, least)
+            if not len(x):
                 continue
-            signatures = np.frombuffer(b"".join(unit.column("signature").to_pylist()), np.uint8)
-            signatures = signatures.reshape(len(ids), -1)
-            a, b, same = sides(blocks)
-            need = math.ceil(least * signatures.shape[1])
-            step = max(1, (32 << 20) // (len(b) * signatures.shape[1]))
-            for s in range(0, len(a), step):
-                part = a[s:s + step]
-                agree = (signatures[part][:, None, :] == signatures[b][None, :, :]).sum(axis=2, dtype=np.int32)
-                hit = (agree >= need) & (comps[part][:, None] != comps[b][None, :])
-                if same:
-                    hit &= ids[part][:, None] < ids[b][None, :]
-                x, y = np.nonzero(hit)
-                if len(x):
-                    u, v = ids[part][x], ids[b][y]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
-                                                     names=["u", "v"])
+            used, at = np.unique(np.concatenate((x, y)), return_inverse=True)
+            texts = unit.column("text").take(pa.array(used)).to_pylist()
+            sets = [shingle_set(hashes.of(blank_words(t)), SHINGLE) for t in texts]
+            sizes = np.array([len(s) for s in sets])
+            x, y = at[:len(x)], at[len(x):]
+            both = shared_counts(sets, x, y)
+            linked = p * both >= q * (sizes[x] + sizes[y] - both)
+            up = {}
+
+            def root(c):
+                while up.get(c, c) != c:
+                    c = up[c]
+                return c
+            for u, v in zip(comps[used[x[linked]]].tolist(), comps[used[y[linked]]].tolist()):
+                u, v = sorted((root(u), root(v)))
+                if u != v:
+                    up[v] = u
+            if up:
+                yield pa.RecordBatch.from_arrays([pa.array(list(up.values()), pa.int64()),
+                                                  pa.array(list(up), pa.int64())], names=["u", "v"])
     return run
 
 
@@ -191,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .filter(F.col("pivot") < F.col("top")).select("band", "pivot", "n"))
     members = stored(rows.join(stored(buckets, "minhash-buckets"), "band"), "minhash-members")
     ids = stored(members.select("id").distinct(), "minhash-ids")
-    signatures = stored(signed_reps.select("id", "signature").join(ids, "id", "left_semi").dropDuplicates(["id"]),
+    signatures = stored(signed_reps.select("id", "signature", "bands").join(ids, "id", "left_semi").dropDuplicates(["id"]),
                         "minhash-signatures")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
@@ -213,10 +285,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .select("band", "id", "n", F.coalesce("component", "id").alias("comp")), "minhash-placed")
     mixed = stored(placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                    .filter(F.col("low") < F.col("high")).select("band"), "minhash-mixed")
-    suspects = placed.join(mixed, "band", "left_semi").join(signatures, "id")
-    close = (block_pairs(suspects, "band", "n", BLOCK_ROWS, ["comp", "signature"])
-             .mapInArrow(_signature_blocks(least), "u long, v long").distinct())
-    second = confirm(close, "minhash-second")
+    carried = ["comp", "signature", "bands"]
+    suspects = placed.join(mixed, "band", "left_semi")
+    flagged = stored(block_pairs(suspects.join(signatures, "id"), "band", "n", BLOCK_ROWS, carried)
+                     .mapInArrow(_flag(least), "band long, id long").distinct(), "minhash-flagged")
+    wanted = stored(flagged.select("id").distinct(), "minhash-second-ids")
+    held = stored(texts.join(wanted, "id", "left_semi"), "minhash-second-texts")
+    closer = suspects.join(flagged, ["band", "id"], "left_semi").join(signatures, "id").join(held, "id")
+    second = (block_pairs(closer, "band", "n", BLOCK_ROWS, [*carried, "text"])
+              .mapInArrow(_confirm_units(least, threshold), "u long, v long").distinct())
     edges = first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second)
     comps = connected_components(edges)
 
