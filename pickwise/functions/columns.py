@@ -22,8 +22,8 @@ def epoch_seconds(ts: str | Column) -> Column:
 
 
 def cooccurrence_sim(n12: str | Column, n1: str | Column, n2: str | Column) -> Column:
-    """n12 / sqrt(n1 * n2): one multiply, one sqrt, one divide, so exact across engines."""
-    return _col(n12).cast("double") / F.sqrt((_col(n1) * _col(n2)).cast("double"))
+    """n12 / sqrt(n1 * n2) in doubles: one multiply, one sqrt, one divide, and no overflow."""
+    return _col(n12).cast("double") / F.sqrt(_col(n1).cast("double") * _col(n2).cast("double"))
 
 
 def above(value: str | Column, threshold: float) -> Column:

@@ -40,23 +40,9 @@ from pickwise.operators.topk import top_k
 from pickwise.session import materialize
 
 HEAVY_USER_PRODUCTS = 2000
-_OFFSET = 1 << 31
 _TARGET_BLOCK_BYTES = 32 << 20
 
 
-def _pack(hi: str, lo: str):
-    # OR, not +: the low half lies in [0, 2^32), and an addition could be
-    # re-associated by the optimizer into an overflowing intermediate.
-    low = F.col(lo).cast("int").cast("long") + _OFFSET
-    return F.shiftleft(F.col(hi).cast("int").cast("long"), 32).bitwiseOR(low)
-
-
-def _unpack(c: str):
-    hi = F.shiftright(F.col(c), 32).cast("int")
-    lo = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) - _OFFSET).cast("int")
-    return hi, lo
-
-
 def user_product_counts(ratings: DataFrame) -> DataFrame:
     """(user_id, product_id, m): how often each user rated each product."""
     return ratings.groupBy("user_id", "product_id").agg(F.count("*").alias("m"))
@@ -91,24 +77,18 @@ def _prepare(ratings: DataFrame, heavy_user_products: int) -> tuple[DataFrame, b
 def _light_pairs(rows: DataFrame) -> DataFrame:
     """(p1, p2, n1, n2, n12, both_heavy) from light users, p1 < p2."""
     light = rows.filter(~F.col("hu"))
-    # per product: count and heavy flag in one int, 2n + flag (n < 2^30)
-    nh = (F.col("n") * 2 + F.col("hp").cast("int")).cast("int")
+    # per product: count and heavy flag in one long, 2n + flag
+    nh = F.col("n") * 2 + F.col("hp").cast("long")
     left = light.select("user_id", F.col("product_id").alias("p1"), F.col("m").alias("m1"),
                         nh.alias("nh1"))
     right = light.select("user_id", F.col("product_id").alias("p2"), F.col("m").alias("m2"),
                          nh.alias("nh2"))
     pairs = left.join(right, "user_id").where(F.col("p1") < F.col("p2"))
-    # Group on (p1, p2, nn) with the two per-product values packed into one
-    # long (they are functions of p1 and p2). The ids stay separate int keys:
-    # the aggregation hash map hashes a long as hi ^ lo, so packing the ids
-    # too would pile most pairs into a few buckets.
-    packed = pairs.select("p1", "p2", _pack("nh1", "nh2").alias("nn"),
-                          (F.col("m1") * F.col("m2")).alias("mm"))
-    co = packed.groupBy("p1", "p2", "nn").agg(F.sum("mm").alias("n12"))
-    nh1, nh2 = _unpack("nn")
-    return co.select("p1", "p2", F.shiftright(nh1, 1).cast("long").alias("n1"),
-                     F.shiftright(nh2, 1).cast("long").alias("n2"), "n12",
-                     ((nh1.bitwiseAND(F.lit(1)) == 1) & (nh2.bitwiseAND(F.lit(1)) == 1)).alias("hh"))
+    # nh1 and nh2 are constant per (p1, p2): any of them will do
+    co = pairs.groupBy("p1", "p2").agg(F.sum(F.col("m1") * F.col("m2")).alias("n12"),
+                                       F.max("nh1").alias("nh1"), F.max("nh2").alias("nh2"))
+    return co.select("p1", "p2", F.shiftright("nh1", 1).alias("n1"), F.shiftright("nh2", 1).alias("n2"), "n12",
+                     ((F.col("nh1") % 2 == 1) & (F.col("nh2") % 2 == 1)).alias("hh"))
 
 
 def _mirror_scored(co: DataFrame) -> DataFrame:
@@ -134,7 +114,7 @@ def _block_pairs(k: int | None, threshold: float | None):
 
     def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
         if threshold is not None:
-            r, c = np.nonzero(score > threshold)
+            r, c = np.nonzero((score > threshold) & (score > 0))  # co-rated pairs only
             return [row_ids[r]], [col_ids[c]], [score[r, c]]
         out_a, out_b, out_s = [], [], []
         for i in range(score.shape[0]):

@@ -4,7 +4,7 @@ For each user in the batch, the newest rating is the trigger. Then:
 1. recents: the user's newest k ratings from the rating log (history plus
    this batch, so the trigger is among them);
 2. candidates: products similar to the trigger product, minus every product
-   the user has rated, best k by similarity;
+   the user had rated before the batch and the trigger, best k by similarity;
 3. score of candidate c: mean over recents r with sim(r, c) > t of
    sim(r, c) * score(r), plus log10(#bonus) minus log10(#penalty), where a
    recent with score > 3 is a bonus and otherwise a penalty; a missing count
@@ -44,16 +44,21 @@ def recent_ratings(log: DataFrame, users: DataFrame,
     return top_k(mine, ["user_id"], _newest_first(), k).select("user_id", "product_id", "score")
 
 
-def candidate_products(triggers: DataFrame, sims: DataFrame, log: DataFrame,
+def candidate_products(triggers: DataFrame, sims: DataFrame, history: DataFrame,
                        k: int = schemas.MAX_SIM_PRODUCTS_NUM) -> DataFrame:
-    """Top-k unrated products similar to each trigger: (user_id, product_id, sim)."""
+    """Top-k products similar to each trigger: (user_id, product_id, sim).
+
+    Left out are the products the user had rated before this batch, and the
+    trigger itself.
+    """
     similar = (triggers.select("user_id", F.col("product_id").alias("trigger"))
                .join(sims.select(F.col("product_id").alias("trigger"),
                                  F.col("rec_product_id").alias("product_id"),
                                  F.col("score").alias("sim")), "trigger")
                .drop("trigger"))
     pairs = similar.select("user_id", "product_id")
-    rated = log.select("user_id", "product_id").join(pairs, ["user_id", "product_id"], "left_semi")
+    own = history.select("user_id", "product_id").unionByName(triggers.select("user_id", "product_id"))
+    rated = own.join(pairs, ["user_id", "product_id"], "left_semi")
     unrated = similar.join(rated, ["user_id", "product_id"], "left_anti")
     return top_k(unrated, ["user_id"], [F.desc("sim"), F.asc("product_id")], k).drop("rank")
 
@@ -84,7 +89,7 @@ def stream_recs_long(history: DataFrame, batch: DataFrame, sims: DataFrame,
     log = history.select(cols).unionByName(batch.select(cols))
     triggers = latest_per_user(batch.select(cols))
     recents = recent_ratings(log, triggers, recent_k)
-    cands = candidate_products(triggers, sims, log, candidate_k)
+    cands = candidate_products(triggers, sims, history, candidate_k)
     return score_candidates(recents, cands, sims, threshold)
 
 

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, realtime, similarity, statistics
+from pickwise.operators.topk import top_k
 from pickwise.session import apply_runtime_defaults, delete_on_exit, materialize, scratch_path
 from pickwise.sources import bindings, text
+from pickwise.sources.tables import read_table, write_table
 from pickwise.streaming import StreamRecsJob, read_stream_recs, text_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,27 +106,30 @@ STREAM_BATCH_START = 1706486400
 
 def _event_split(spark: SparkSession, sf_dir: str):
     ratings = bindings.ratings_events(spark, sf_dir)
-    sims = materialize(item_cf.item_similarity(ratings, threshold=schemas.SIMILARITY_THRESHOLD))
     history = ratings.filter(F.col("time_stamp") < STREAM_BATCH_START)
     batch = ratings.filter(F.col("time_stamp") >= STREAM_BATCH_START)
-    return ratings, history, batch, sims
+    return ratings, history, batch
+
+
+def _event_sims(ratings: DataFrame) -> DataFrame:
+    return materialize(item_cf.item_similarity(ratings, threshold=schemas.SIMILARITY_THRESHOLD))
 
 
 def recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings, _, batch, _ = _event_split(spark, sf_dir)
+    ratings, _, batch = _event_split(spark, sf_dir)
     users = batch.select("user_id").distinct()
     return realtime.recent_ratings(ratings, users)
 
 
 def candidate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings, _, batch, sims = _event_split(spark, sf_dir)
-    out = realtime.candidate_products(realtime.latest_per_user(batch), sims, ratings)
+    ratings, history, batch = _event_split(spark, sf_dir)
+    out = realtime.candidate_products(realtime.latest_per_user(batch), _event_sims(ratings), history)
     return out.select("user_id", "product_id", _r6("sim"))
 
 
 def stream_recs_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, history, batch, sims = _event_split(spark, sf_dir)
-    out = realtime.stream_recs_long(history, batch, sims)
+    ratings, history, batch = _event_split(spark, sf_dir)
+    out = realtime.stream_recs_long(history, batch, _event_sims(ratings))
     return out.select("user_id", "product_id", _r6("score"))
 
 
@@ -145,6 +150,54 @@ def als_product_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("product_id", "rec_product_id", _r6("score"))
 
 
+def als_user_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user: length of the list, and whether it is ranked, positive and scored by the factors."""
+    model = als.train_als(bindings.ratings_orders(spark, sf_dir), seed=ALS_SEED)
+    recs = materialize(als.als_user_recs(model, schemas.USER_MAX_RECOMMENDATION), "als-recs")
+    u = model.userFactors.toDF("user_id", "uf")
+    v = model.itemFactors.toDF("product_id", "vf")
+    dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    by_rank = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda r: r["score"])
+    return (recs.join(u, "user_id").join(v, "product_id")
+            .groupBy("user_id").agg(
+                F.count("*").cast("int").alias("n_recs"),
+                ((F.max("rank") == F.count("*")) & (F.countDistinct("rank") == F.count("*"))
+                 & (by_rank == F.reverse(F.array_sort(F.collect_list("score"))))).alias("ranked"),
+                F.bool_and(F.col("score") > 0).alias("positive"),
+                F.bool_and(F.abs(F.col("score") - dot) < 1e-3).alias("scored")))
+
+
+def als_product_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per rated product: whether its list is symmetric, above the threshold, without itself, and true cosines."""
+    ratings = bindings.ratings_orders(spark, sf_dir)
+    model = als.train_als(ratings, seed=ALS_SEED)
+    sims = materialize(als.als_product_recs(model, schemas.SIMILARITY_THRESHOLD), "als-sims")
+    f = model.itemFactors.select("id", F.transform("features", lambda x: x.cast("double")).alias("f"))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    f = f.withColumn("n", F.sqrt(dot("f", "f")))
+    back = sims.select(F.col("rec_product_id").alias("product_id"), F.col("product_id").alias("rec_product_id"),
+                       F.col("score").alias("back"))
+    checked = (sims.join(back, ["product_id", "rec_product_id"], "left")
+               .join(f.toDF("product_id", "f1", "n1"), "product_id").join(f.toDF("rec_product_id", "f2", "n2"), "rec_product_id")
+               .groupBy("product_id").agg(
+                   F.bool_and(F.coalesce(F.abs(F.col("back") - F.col("score")) < 1e-9, F.lit(False))).alias("symmetric"),
+                   F.bool_and(F.col("score") > schemas.SIMILARITY_THRESHOLD).alias("above"),
+                   F.bool_and(F.col("product_id") != F.col("rec_product_id")).alias("no_self"),
+                   F.bool_and(F.abs(F.col("score") - dot("f1", "f2") / (F.col("n1") * F.col("n2"))) < 1e-6).alias("scored")))
+    products = ratings.select("product_id").distinct()  # a product without any similar one passes
+    return products.join(checked, "product_id", "left").select(
+        "product_id", *[F.coalesce(c, F.lit(True)).alias(c) for c in ("symmetric", "above", "no_self", "scored")])
+
+
+def rmse_product_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The RMSE operator on a deterministic prediction: the mean score of the product."""
+    ratings = bindings.ratings_orders(spark, sf_dir)
+    mean = statistics.average_products(ratings).withColumnRenamed("avg", "prediction")
+    return als.rmse(ratings.join(mean, "product_id")).select(_r6("rmse"), "n")
+
+
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = materialize(bindings.ratings_orders(spark, sf_dir), "ratings")
     train, test = ratings.randomSplit(list(schemas.ALS_SPLIT), schemas.ALS_SPLIT_SEED)
@@ -156,6 +209,53 @@ def als_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als.als_tune(bindings.ratings_orders(spark, sf_dir))
 
 
+def als_tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid points of the search, whether each was measured, and whether the best come first."""
+    grid = als.als_tune(bindings.ratings_orders(spark, sf_dir)).collect()  # one row per grid point
+    errors = [r["rmse"] for r in grid]
+    rows = [(r["rank"], r["reg"], r["rmse"] < float("inf"), errors == sorted(errors)) for r in grid]
+    return spark.createDataFrame(rows, "rank int, reg double, finite boolean, best_first boolean")
+
+
+# ---- files and tables
+
+
+def _as_file(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    lines.write.text(path)
+    delete_on_exit(spark, path)
+    return path
+
+
+def load_products_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product file, written by Spark and loaded by the shipped loader."""
+    lines = text.format_product_lines(bindings.products_from_part(spark, sf_dir))
+    return text.read_products(spark, _as_file(spark, lines, "products"))
+
+
+def load_ratings_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating file, written by Spark and loaded by the shipped loader."""
+    lines = text.format_rating_lines(bindings.ratings_orders(spark, sf_dir))
+    return text.read_ratings(spark, _as_file(spark, lines, "ratings"))
+
+
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``write_table`` twice (the second overwrites), then ``read_table``."""
+    base = scratch_path(spark, "tables")
+    counts = statistics.rate_more_products(bindings.ratings_orders(spark, sf_dir))
+    write_table(counts.limit(1), base, "RateMoreProducts")
+    write_table(counts, base, "RateMoreProducts")
+    delete_on_exit(spark, base)
+    return read_table(spark, base, "RateMoreProducts")
+
+
+def content_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 most similar products of each product by content, ranked."""
+    sims = content.content_similarity(bindings.products_from_part(spark, sf_dir), num_features=None)
+    out = top_k(sims, ["product_id"], [F.round("score", 9).desc(), F.asc("rec_product_id")], 20)
+    return out.select("product_id", "rec_product_id", _r6("score"), "rank")
+
+
 # ---- the streaming job itself, run to completion over the event messages
 
 
@@ -166,7 +266,8 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     file stream with ``availableNow`` and handled by ``foreachBatch``; the
     result is the StreamRecs table in long form.
     """
-    _, history, batch, sims = _event_split(spark, sf_dir)
+    ratings, history, batch = _event_split(spark, sf_dir)
+    sims = _event_sims(ratings)
     root = scratch_path(spark, "stream-recs")
     text.format_rating_lines(batch, sep=schemas.STREAM_FIELD_SEPARATOR).write.text(f"{root}/messages")
     delete_on_exit(spark, root)
@@ -201,4 +302,12 @@ QUERIES: dict[str, Query] = {fn.__name__: _session_ready(fn) for fn in (
     als_rmse,
     als_tune,
     stream_recs,
+    als_user_recs_check,
+    als_product_recs_check,
+    rmse_product_mean,
+    als_tune_grid,
+    load_products_file,
+    load_ratings_file,
+    table_roundtrip,
+    content_topk,
 )}

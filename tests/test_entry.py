@@ -6,7 +6,7 @@ import __spark_entry__ as entry_mod
 from scripts.oracle_check import TABLES, value_hash
 from tests.conftest import SF_SMALL
 
-SLOW = {"als_tune", "als_user_recs", "als_product_recs", "als_rmse"}
+SLOW = {"als_tune", "op1_quality", "op3_mixing", "op8_suffix_dedup", "pipeline", "als_user_recs", "als_product_recs", "als_rmse"}
 
 
 def test_entry_runs(spark):

@@ -1,0 +1,43 @@
+"""Inputs beyond the int range, and options that must not change what a pair is."""
+
+from pyspark.sql import functions as F
+
+from pickwise import schemas
+from pickwise.functions.columns import cooccurrence_sim
+from pickwise.operators import als, item_cf, similarity
+
+
+def test_cooccurrence_sim_of_huge_counts(spark):
+    row = spark.sql("select 4000000000L as n").select(cooccurrence_sim("n", "n", "n").alias("s")).first()
+    assert row.s == 1.0
+
+
+def test_counts_above_2_30(spark):
+    rows = spark.createDataFrame([(1, 1, 1, 1 << 31, False, False), (1, 2, 1, (1 << 31) + 1, False, True)],
+                                 "user_id int, product_id int, m long, n long, hu boolean, hp boolean")
+    r = item_cf._light_pairs(rows).first()
+    assert (r.n1, r.n2, r.n12, r.hh) == (1 << 31, (1 << 31) + 1, 1, False)
+
+
+def test_ids_keep_their_type(spark):
+    df = spark.createDataFrame([(1 << 40, [1.0, 0.0]), (7, [1.0, 0.1])], "id long, vector array<double>")
+    out = similarity.cosine_pairs_dense(df)
+    assert {(r.id, r.other_id) for r in out.collect()} == {(7, 1 << 40), (1 << 40, 7)}
+    assert dict(out.dtypes)["id"] == "bigint"
+
+
+def test_negative_threshold_gives_the_same_pairs_with_and_without_heavy_users(spark):
+    r = spark.createDataFrame([(1, 1, 1.0, 0), (1, 2, 1.0, 0), (1, 3, 1.0, 0), (2, 4, 1.0, 0), (2, 5, 1.0, 0), (3, 6, 1.0, 0)],
+                              schemas.RATING)
+    plain, split = (sorted(map(tuple, item_cf.item_similarity(r, threshold=-1.0, heavy_user_products=t).collect()))
+                    for t in (100, 1))
+    assert plain == split and len(plain) == 8
+
+
+def test_exclude_rated_leaves_out_own_products(spark):
+    r = spark.createDataFrame([(u, p, float(1 + (u * p) % 5), 0) for u in range(8) for p in range(12) if (u + p) % 3],
+                              schemas.RATING)
+    model = als.train_als(r, rank=3, max_iter=3, reg=0.1, seed=1)
+    recs = als.als_user_recs(model, k=3, exclude_rated=r)
+    assert recs.count() > 0 and recs.join(r, ["user_id", "product_id"]).count() == 0
+    assert recs.groupBy("user_id").count().filter(F.col("count") > 3).count() == 0

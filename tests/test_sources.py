@@ -1,3 +1,5 @@
+import pytest
+
 from pickwise import schemas
 from pickwise.sources import text
 
@@ -9,8 +11,12 @@ def test_parse_product_lines_keeps_fields_0_1_4_5_6(spark):
         ("17^too^few",),
         ("18^name^^^^cat^",),
     ], "value string")
-    rows = {r.product_id: r for r in text.parse_product_lines(lines).collect()}
+    every = text.parse_product_lines(lines, mode="mark").collect()
+    assert sorted(r.malformed for r in every if r.malformed) == ["17^too^few", "x^bad id^1^2^u^c^t"]
+    rows = {r.product_id: r for r in every if r.malformed is None}
     assert set(rows) == {3982, 18}
+    with pytest.raises(Exception, match="malformed product line: "):
+        text.parse_product_lines(lines).collect()
     r = rows[3982]
     assert r.product_name == 'Fuhlen 富勒 M8 "鼠标"'
     assert r.image_url == "https://x/a,b.jpg"
@@ -21,13 +27,18 @@ def test_parse_product_lines_keeps_fields_0_1_4_5_6(spark):
 
 def test_parse_rating_lines_and_csv(spark, tmp_dir):
     lines = spark.createDataFrame([("4867,457976,5.0,1395676800",), ("1,2,x,3",)], "value string")
-    got = text.parse_rating_lines(lines).collect()
-    assert [tuple(r) for r in got] == [(4867, 457976, 5.0, 1395676800)]
+    got = text.parse_rating_lines(lines, mode="mark").collect()
+    assert [tuple(r) for r in got] == [(4867, 457976, 5.0, 1395676800, None), (None, None, None, None, "1,2,x,3")]
     path = f"{tmp_dir}/ratings.csv"
     with open(path, "w") as f:
-        f.write("4867,457976,5.0,1395676800\n1,2,3.5,10\nbroken line\n")
+        f.write("4867,457976,5.0,1395676800\n 1,2\t,3.5,10,more\r\n")
     got = text.read_ratings(spark, path).collect()
     assert sorted(tuple(r) for r in got) == [(1, 2, 3.5, 10), (4867, 457976, 5.0, 1395676800)]
+    with open(path, "a") as f:
+        f.write("broken line\n")
+    with pytest.raises(Exception, match="malformed rating line: broken line"):
+        text.read_ratings(spark, path).collect()
+    assert [r.malformed for r in text.read_ratings(spark, path, mode="mark").collect()] == [None, None, "broken line"]
     assert text.read_ratings(spark, path).schema == schemas.RATING
 
 

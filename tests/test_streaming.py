@@ -77,3 +77,45 @@ def test_only_malformed_messages_give_empty_recs(spark, tmp_dir):
     job.process(spark.createDataFrame([("x|1|5.0|0",), ("1|2",)], "value string"), 0)
     assert job.malformed[0] == 2
     assert read_stream_recs(spark, f"{tmp_dir}/state").count() == 0
+
+
+def test_new_checkpoint_opens_a_new_epoch(spark, tmp_dir):
+    """Batch ids start again at 0; the later run still wins, and sees the earlier ratings."""
+    history, batch, sims = _inputs(spark)
+    b1 = batch.filter(F.col("time_stamp") < CUT + 43200)
+    b2 = batch.filter(F.col("time_stamp") >= CUT + 43200)
+    for n, b in enumerate((b1, b2)):
+        _write_messages(b, f"{tmp_dir}/in{n}/part-0.txt")
+        job = StreamRecsJob(spark, f"{tmp_dir}/state", history, sims)
+        job.start(text_messages(spark, f"{tmp_dir}/in{n}"), f"{tmp_dir}/ckpt{n}", available_now=True).awaitTermination(300)
+        assert job.epoch == n + 1
+    want = {**_as_dict(realtime.stream_recs(history, b1, sims)),
+            **_as_dict(realtime.stream_recs(history.unionByName(b1), b2, sims))}
+    assert _as_dict(read_stream_recs(spark, f"{tmp_dir}/state")) == want
+    again = StreamRecsJob(spark, f"{tmp_dir}/state", history, sims)
+    again._open_epoch(f"{tmp_dir}/ckpt1")  # a checkpoint with progress goes on in its epoch
+    assert again.epoch == 2
+
+
+def test_files_stay_bounded_and_results_do_not_change(spark, tmp_dir):
+    history, batch, sims = _inputs(spark)
+    rows = batch.orderBy("time_stamp", "user_id", "product_id").limit(120).collect()
+    counts, states = [], []
+    for name, every in (("plain", 10**9), ("compact", 4)):
+        job = StreamRecsJob(spark, f"{tmp_dir}/{name}", history, sims, buckets=2, compact_every=every)
+        for n in range(12):
+            part = spark.createDataFrame(rows[n * 10:n * 10 + 10], schemas.RATING)
+            job.process(text.format_rating_lines(part, sep="|"), n)
+        states.append(_as_dict(read_stream_recs(spark, f"{tmp_dir}/{name}")))
+        counts.append(sum(f.endswith(".parquet") for _, _, fs in os.walk(f"{tmp_dir}/{name}/ratings_log") for f in fs))
+    assert states[0] == states[1]
+    assert counts[1] <= counts[0] / 2  # only the batches since the last compaction are left
+
+
+def test_unfinished_history_is_written_again(spark, tmp_dir):
+    history, _, sims = _inputs(spark)
+    job = StreamRecsJob(spark, f"{tmp_dir}/state", history, sims, buckets=2)
+    job.prepare()
+    os.remove(f"{tmp_dir}/state/history/_SUCCESS")  # as after a crash in the commit
+    StreamRecsJob(spark, f"{tmp_dir}/state", history, sims, buckets=2).prepare()
+    assert os.path.exists(f"{tmp_dir}/state/history/_SUCCESS")
