@@ -95,18 +95,29 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> dict:
     for at, _, _ in rows_:
         frequency[at] += 1
     idf = (np.log((1 + len(rows_)) / (1 + frequency)) + 0.1).astype(np.float32)
-    dense = np.zeros((len(rows_), FEATURES), np.float32)
-    for i, (at, x, _) in enumerate(rows_):
-        dense[i, at] = x * idf[at]
-    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    weighted = []
+    for at, x, _ in rows_:
+        y = x * idf[at]
+        weighted.append((at, y / max(float(np.linalg.norm(y)), 1e-12)))
+
+    def dense_blocks():
+        # the sample is dense in blocks only, so that the driver never holds it whole
+        for start in range(0, len(weighted), BLOCK):
+            part = weighted[start:start + BLOCK]
+            block = np.zeros((len(part), FEATURES), np.float32)
+            for i, (at, y) in enumerate(part):
+                block[i, at] = y
+            yield block
+
     # randomised range finder with power steps, then the small problem exactly
     rank = min(RANK, len(rows_))
     basis = np.random.default_rng(SEED).standard_normal((FEATURES, rank + 16), np.float32)
     for _ in range(4):
-        basis, _ = np.linalg.qr(dense.T @ (dense @ basis))
-    _, _, right = np.linalg.svd(dense @ basis, full_matrices=False)
+        basis, _ = np.linalg.qr(sum(block.T @ (block @ basis) for block in dense_blocks()))
+    small = np.concatenate([block @ basis for block in dense_blocks()])
+    _, _, right = np.linalg.svd(small, full_matrices=False)
     projection = (basis @ right.T)[:, :rank]
-    vectors = dense @ projection
+    vectors = small @ right.T[:, :rank]
     norms = np.linalg.norm(vectors, axis=1)
     good = norms > 1e-9
     return {"prior": prior, "idf": idf, "projection": (idf[:, None] * projection).astype(np.float32),
