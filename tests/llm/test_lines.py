@@ -26,3 +26,18 @@ def test_nulls_repeats_clashing_columns_and_no_rows(spark):
     assert by[None, "e"] == (1, 0, "x") and by[1, None] == (2, 1, "y") and by[2, "a"] == (1, 1, "")
     assert by[3, "b"] == (1, 1, "") and by[4, "c"] == (0, 0, None) and by[5, "d"] == (1, 0, "")
     assert len(out) == 8 and lines.dedup_lines(df.limit(0), 4).count() == 0
+
+
+def test_equal_ids_with_other_texts_lose_only_their_own_lines(spark):
+    rows = [(1, "x\nown a", "a"), (1, "own b\nx", "b"), (1, "own b\nx", "b"), (2, "x\nown c", "c"), (3, "own d\nown e", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = sorted((r["doc_id"], r["text"]) for r in lines.dedup_lines(df, 3).collect())
+    assert out == [(1, "own b"), (1, "own b"), (1, "x\nown a"), (2, "own c"), (3, "own d\nown e")]
+
+
+def test_a_long_text_of_boilerplate_is_cut_in_linear_time(spark):
+    n = 60_000
+    long = "\n".join(f"shared {i}" for i in range(n))
+    df = spark.createDataFrame([(i, long + f"\nown {i}", f"s{i}") for i in range(3)], "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, 3).collect()}
+    assert out[0].startswith("shared 0\n") and (out[1], out[2]) == ("own 1", "own 2")
