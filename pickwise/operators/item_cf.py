@@ -9,20 +9,17 @@ Plan:
 1. Pre-aggregate ratings to (user, product, m = multiplicity), with map-side
    partial aggregation; the result is written once and read by every branch.
 2. Light users (at most T distinct products) contribute their product pairs
-   through a self-join on user, each unordered pair once (p1 < p2), grouped
-   with map-side combine. A light user emits at most T^2 / 2 pairs.
-3. Heavy users (more than T products) never form pairs. Their contribution to
-   n12 over two products is the dot product of the products' columns in the
-   heavy users x products matrix, so it is computed as dense block products
-   X_I X_J^T per pair of product blocks (``applyInPandas``), with the light
-   counts of those pairs added in the same task. Each block task scores its
-   pairs exactly and emits only the top k per product, so a user who rated a
-   third of everything costs matrix products, not rows per pair.
-4. Pairs outside the heavy users' products are scored directly, mirrored with
-   a two-row explode, and the final top k per product is a window group limit.
-
-The top k of a product is exact: a pair in the final top k is also in the top
-k of its block row, and every other pair is scored in full.
+   through a self-join on user, each unordered pair once (p1 < p2). A light
+   user emits at most T^2 / 2 pairs.
+3. Heavy users (more than T products) never form pairs. Their products are cut
+   into blocks of about ``_BLOCK_PRODUCTS`` and the users into blocks of their
+   own; a unit of work is (user block, product block, product block). It streams
+   its rows user by user into one dense product X_I^T X_J and emits a row per
+   co-rated pair: one for all users of the block instead of one per user. A
+   rating is copied once per product block, whatever the number of users.
+4. The counts of both paths are summed in one aggregation with map-side
+   combine, scored, and mirrored with a two-row explode; the final top k per
+   product is a window group limit. T moves work between the paths only.
 """
 
 from __future__ import annotations
@@ -30,8 +27,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise import schemas
@@ -40,7 +37,8 @@ from pickwise.operators.topk import top_k
 from pickwise.session import materialize
 
 HEAVY_USER_PRODUCTS = 2000
-_TARGET_BLOCK_BYTES = 32 << 20
+_BLOCK_PRODUCTS = 2048  # a unit holds counts of about 2048 x 2048 products, 32 MB
+_UNIT_ROWS = 4 << 20  # heavy rating rows aimed at in a unit
 
 
 def user_product_counts(ratings: DataFrame) -> DataFrame:
@@ -49,46 +47,167 @@ def user_product_counts(ratings: DataFrame) -> DataFrame:
 
 
 def _prepare(ratings: DataFrame, heavy_user_products: int) -> tuple[DataFrame, bool]:
-    """(user_id, product_id, m, n, hu, hp) and whether any heavy user exists.
+    """(user_id, product_id, m, n, hu) and whether any heavy user exists.
 
-    m is the multiplicity, n the product's rating count, hu flags heavy users
-    and hp heavy products (rated by some heavy user).
+    m is the multiplicity, n the product's rating count, hu flags heavy users.
     """
     um = materialize(user_product_counts(ratings), "user-product")
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
     deg = um.groupBy("user_id").agg(F.count("*").alias("d"))
     heavy_users = deg.filter(F.col("d") > heavy_user_products).select("user_id")
     with_n = um.join(n, "product_id")
-    if heavy_users.limit(1).count() == 0:  # the usual case: no flag joins
-        rows = with_n.select("user_id", "product_id", "m", "n",
-                             F.lit(False).alias("hu"), F.lit(False).alias("hp"))
-        return rows, False
-    heavy_rows = um.join(heavy_users, "user_id", "left_semi")
-    heavy_products = heavy_rows.select("product_id").distinct().withColumn("hp", F.lit(True))
-    rows = (with_n
-            .join(heavy_users.withColumn("hu", F.lit(True)), "user_id", "left")
-            .join(heavy_products, "product_id", "left")
-            .select("user_id", "product_id", "m", "n",
-                    F.coalesce("hu", F.lit(False)).alias("hu"),
-                    F.coalesce("hp", F.lit(False)).alias("hp")))
+    if heavy_users.limit(1).count() == 0:  # the usual case: no flag join
+        return with_n.select("user_id", "product_id", "m", "n", F.lit(False).alias("hu")), False
+    rows = (with_n.join(heavy_users.withColumn("hu", F.lit(True)), "user_id", "left")
+            .select("user_id", "product_id", "m", "n", F.coalesce("hu", F.lit(False)).alias("hu")))
     return materialize(rows, "user-product-flags"), True
 
 
-def _light_pairs(rows: DataFrame) -> DataFrame:
-    """(p1, p2, n1, n2, n12, both_heavy) from light users, p1 < p2."""
+def pair_rows(ratings: DataFrame, heavy_user_products: int = HEAVY_USER_PRODUCTS) -> int:
+    """Rows that the light users' self-join sends to the pair aggregation, before map-side combine."""
+    d = F.col("d")
+    deg = ratings.groupBy("user_id").agg(F.countDistinct("product_id").alias("d"))
+    return int(deg.filter(d <= heavy_user_products)
+               .agg(F.sum((d.cast("double") * (d - 1)) / 2)).first()[0] or 0)
+
+
+def _light_rows(rows: DataFrame) -> DataFrame:
+    """(p1, p2, c, n1, n2) per light user and pair of products, p1 < p2."""
     light = rows.filter(~F.col("hu"))
-    # per product: count and heavy flag in one long, 2n + flag
-    nh = F.col("n") * 2 + F.col("hp").cast("long")
-    left = light.select("user_id", F.col("product_id").alias("p1"), F.col("m").alias("m1"),
-                        nh.alias("nh1"))
-    right = light.select("user_id", F.col("product_id").alias("p2"), F.col("m").alias("m2"),
-                         nh.alias("nh2"))
+    left = light.select("user_id", F.col("product_id").alias("p1"), F.col("m").alias("m1"), F.col("n").alias("n1"))
+    right = light.select("user_id", F.col("product_id").alias("p2"), F.col("m").alias("m2"), F.col("n").alias("n2"))
     pairs = left.join(right, "user_id").where(F.col("p1") < F.col("p2"))
-    # nh1 and nh2 are constant per (p1, p2): any of them will do
-    co = pairs.groupBy("p1", "p2").agg(F.sum(F.col("m1") * F.col("m2")).alias("n12"),
-                                       F.max("nh1").alias("nh1"), F.max("nh2").alias("nh2"))
-    return co.select("p1", "p2", F.shiftright("nh1", 1).alias("n1"), F.shiftright("nh2", 1).alias("n2"), "n12",
-                     ((F.col("nh1") % 2 == 1) & (F.col("nh2") % 2 == 1)).alias("hh"))
+    return pairs.select("p1", "p2", (F.col("m1") * F.col("m2")).alias("c"), "n1", "n2")
+
+
+def _unit_pairs(pair_schema: pa.Schema, chunk_rows: int = 1 << 18, chunk_users: int = 1024):
+    """Rows (u, bi, bj, user, block, slot, product, m, n) sorted by unit and user -> (p1, p2, c, n1, n2).
+
+    Memory is bounded by the counts of a unit and one chunk of users. Everything
+    the function uses is defined inside it, so it is shipped to the Python
+    workers by value and needs no import of this package there.
+    """
+    class Side:
+        """Products of one block by slot, in arrays that grow with the slots seen."""
+
+        def __init__(self):
+            self.ids = np.zeros(0, np.int64)
+            self.n = np.zeros(0, np.int64)
+
+        def add(self, slots, ids, n):
+            room = int(slots.max()) + 1 - len(self.ids)
+            if room > 0:
+                self.ids = np.concatenate((self.ids, np.zeros(room, np.int64)))
+                self.n = np.concatenate((self.n, np.zeros(room, np.int64)))
+            self.ids[slots], self.n[slots] = ids, n
+
+    class Unit:
+        def __init__(self, key):
+            self.same = key[1] == key[2]
+            self.blocks = key[1], key[2]
+            self.sides = Side(), Side()
+            self.counts = np.zeros((0, 0))
+            self.held: list = []
+            self.n_held = 0
+
+        def add(self, columns):
+            self.held.append(columns)
+            self.n_held += len(columns[0])
+            if self.n_held >= chunk_rows:
+                self.work(last=False)
+
+        def work(self, last):
+            """Counts the held users; without ``last`` the final user may go on and is kept."""
+            user, block, slot, ids, m, n = (np.concatenate(c) for c in zip(*self.held))
+            stop = len(user) if last else int(np.searchsorted(user, user[-1]))
+            rest = [c[stop:] for c in (user, block, slot, ids, m, n)]
+            self.held, self.n_held = [rest], len(rest[0])
+            if not stop:
+                return
+            user, block, slot, ids, m, n = (c[:stop] for c in (user, block, slot, ids, m, n))
+            _, who = np.unique(user, return_inverse=True)
+            first = block == self.blocks[0]
+            for side, mine in zip(self.sides, (first, ~first)):
+                if mine.any():
+                    side.add(slot[mine], ids[mine], n[mine])
+            rows, cols = len(self.sides[0].ids), len(self.sides[0 if self.same else 1].ids)
+            grown = np.zeros((rows, cols))
+            grown[:self.counts.shape[0], :self.counts.shape[1]] = self.counts
+            self.counts = grown
+            for start in range(0, int(who[-1]) + 1, chunk_users):
+                lo, hi = np.searchsorted(who, (start, start + chunk_users))
+                w, f = who[lo:hi] - start, first[lo:hi]
+                x = np.zeros((chunk_users, rows))
+                x[w[f], slot[lo:hi][f]] = m[lo:hi][f]
+                y = x
+                if not self.same:
+                    y = np.zeros((chunk_users, cols))
+                    y[w[~f], slot[lo:hi][~f]] = m[lo:hi][~f]
+                self.counts += x.T @ y
+
+        def pairs(self):
+            self.work(last=True)
+            a, b = self.sides[0], self.sides[0 if self.same else 1]
+            for i in range(0, len(a.ids), 64):
+                x, y = np.nonzero(self.counts[i:i + 64])
+                c = self.counts[i:i + 64][x, y]
+                x = x + i
+                if self.same:
+                    once = a.ids[x] < b.ids[y]
+                    x, y, c = x[once], y[once], c[once]
+                if len(x):
+                    swap = a.ids[x] > b.ids[y]
+                    out = (np.where(swap, b.ids[y], a.ids[x]), np.where(swap, a.ids[x], b.ids[y]), c.astype(np.int64),
+                           np.where(swap, b.n[y], a.n[x]), np.where(swap, a.n[x], b.n[y]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v).cast(t.type) for v, t in zip(out, pair_schema)], schema=pair_schema)
+
+    def run(batches):
+        unit, key = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            keys = np.stack(columns[:3], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if unit is None or tuple(keys[start]) != key:
+                    if unit is not None:
+                        yield from unit.pairs()
+                    key = tuple(keys[start])
+                    unit = Unit(key)
+                unit.add([c[start:stop] for c in columns[3:]])
+        if unit is not None:
+            yield from unit.pairs()
+    return run
+
+
+def _heavy_rows(rows: DataFrame, block_products: int = _BLOCK_PRODUCTS, unit_rows: int = _UNIT_ROWS) -> DataFrame:
+    """(p1, p2, c, n1, n2) per block of heavy users and pair of their products, p1 < p2."""
+    heavy = rows.filter("hu")
+    stats = heavy.agg(F.countDistinct("product_id").alias("p"), F.count("*").alias("rows")).first()
+    nb = max(1, math.ceil(stats["p"] / block_products))
+    nu = max(1, math.ceil(2 * stats["rows"] / (nb * unit_rows)))
+    slot = Window.partitionBy("block").orderBy("product_id")  # about block_products rows each
+    products = (heavy.select("product_id").distinct()
+                .withColumn("block", F.pmod(F.xxhash64("product_id"), F.lit(nb)))
+                .withColumn("slot", F.row_number().over(slot) - 1))
+    spread = (heavy.join(products, "product_id")
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
+              .select(F.pmod(F.xxhash64("user_id"), F.lit(nu)).alias("u"),
+                      F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+                      F.col("user_id").cast("long"), "block", "slot", F.col("product_id").cast("long"), "m", "n"))
+    kind = rows.schema["product_id"].dataType.simpleString()
+    schema = f"p1 {kind}, p2 {kind}, c long, n1 long, n2 long"
+    ids = pa.int32() if kind == "int" else pa.int64()
+    arrow = pa.schema([("p1", ids), ("p2", ids), ("c", pa.int64()), ("n1", pa.int64()), ("n2", pa.int64())])
+    return (spread.repartition("u", "bi", "bj").sortWithinPartitions("u", "bi", "bj", "user_id")
+            .mapInArrow(_unit_pairs(arrow), schema))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    """Sums (p1, p2, c, n1, n2) to (p1, p2, n12, n1, n2); n1 and n2 are constant per pair."""
+    return pairs.groupBy("p1", "p2").agg(F.sum("c").alias("n12"), F.max("n1").alias("n1"), F.max("n2").alias("n2"))
 
 
 def _mirror_scored(co: DataFrame) -> DataFrame:
@@ -99,141 +218,20 @@ def _mirror_scored(co: DataFrame) -> DataFrame:
     return co.select(both.alias("e"), sim.alias("score")).select("e.*", "score")
 
 
-def _block_pairs(k: int | None, threshold: float | None):
-    """Group function: exact scores of a block pair; emits top k per row or all > threshold.
-
-    Everything the function uses is defined inside it, so it is shipped to
-    the Python workers by value and needs no import of this package there.
-    """
-    def _positions(sorted_ids: np.ndarray, values: np.ndarray):
-        """Index of each value in ``sorted_ids`` and whether it is there."""
-        pos = np.searchsorted(sorted_ids, values)
-        clipped = np.minimum(pos, max(sorted_ids.size - 1, 0))
-        found = (pos < sorted_ids.size) & (sorted_ids[clipped] == values)
-        return clipped, found
-
-    def row_topk(score: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray):
-        if threshold is not None:
-            r, c = np.nonzero((score > threshold) & (score > 0))  # co-rated pairs only
-            return [row_ids[r]], [col_ids[c]], [score[r, c]]
-        out_a, out_b, out_s = [], [], []
-        for i in range(score.shape[0]):
-            s = score[i]
-            ok = np.flatnonzero(s > 0)
-            if ok.size > k:
-                kth = np.partition(s[ok], ok.size - k)[ok.size - k]
-                ok = ok[s[ok] >= kth]  # ties at the k-th score are all kept
-            order = np.lexsort((col_ids[ok], -s[ok]))[:k]
-            sel = ok[order]
-            out_a.append(np.full(sel.size, row_ids[i]))
-            out_b.append(col_ids[sel])
-            out_s.append(s[sel])
-        return out_a, out_b, out_s
-
-    def run(key, pdf):
-        bi, bj = int(key[0]), int(key[1])
-        v = pdf[pdf["kind"] == 0]
-        a = pdf[pdf["kind"] == 1]
-        vi = v[v["block"] == bi]
-        vj = vi if bi == bj else v[v["block"] == bj]
-        if vi.empty or vj.empty:
-            return pd.DataFrame({"product_id": [], "rec_product_id": [], "score": []})
-        users, uidx = np.unique(v["user_id"].to_numpy(), return_inverse=True)
-        uidx = pd.Series(uidx, index=v.index)
-
-        def dense(part):
-            ids, pidx = np.unique(part["product_id"].to_numpy(), return_inverse=True)
-            x = np.zeros((ids.size, users.size))
-            x[pidx, uidx[part.index].to_numpy()] = part["m"].to_numpy(dtype=np.float64)
-            nn = part.groupby("product_id")["n"].first().reindex(ids).to_numpy(dtype=np.float64)
-            return ids, x, nn
-
-        ids_i, xi, ni = dense(vi)
-        ids_j, xj, nj = (ids_i, xi, ni) if bi == bj else dense(vj)
-        n12 = xi @ xj.T  # heavy users' co-rating counts (exact integers)
-        if not a.empty:  # light counts of these product pairs, added in place
-            a1 = a["product_id"].to_numpy()
-            a2 = a["p2"].to_numpy()
-            c = a["m"].to_numpy(dtype=np.float64)
-            i1, in_i1 = _positions(ids_i, a1)
-            j2, in_j2 = _positions(ids_j, a2)
-            fwd = in_i1 & in_j2
-            np.add.at(n12, (i1[fwd], j2[fwd]), c[fwd])
-            i2, in_i2 = _positions(ids_i, a2)
-            j1, in_j1 = _positions(ids_j, a1)
-            back = in_i2 & in_j1 if bi == bj else in_i2 & in_j1 & ~fwd
-            np.add.at(n12, (i2[back], j1[back]), c[back])
-        score = np.where(n12 > 0, n12 / np.sqrt(ni[:, None] * nj[None, :]), 0.0)
-        if bi == bj:
-            np.fill_diagonal(score, 0.0)
-        parts = [row_topk(score, ids_i, ids_j)]
-        if bi != bj:
-            parts.append(row_topk(score.T, ids_j, ids_i))
-        a_, b_, s_ = ([x for p in parts for x in p[t]] for t in range(3))
-        if not a_:
-            return pd.DataFrame({"product_id": [], "rec_product_id": [], "score": []})
-        return pd.DataFrame({"product_id": np.concatenate(a_), "rec_product_id": np.concatenate(b_),
-                             "score": np.concatenate(s_)})
-    return run
-
-
-def _heavy_pairs(rows: DataFrame, light: DataFrame, k: int | None = None,
-                 threshold: float | None = None) -> DataFrame:
-    """Pairs of heavy users' products, scored in full: top k per product or all > threshold."""
-    hp = rows.filter("hp")
-    stats = hp.agg(F.countDistinct("product_id").alias("p"),
-                   F.countDistinct(F.when(F.col("hu"), F.col("user_id"))).alias("u")).first()
-    n_products, n_users = int(stats["p"] or 0), int(stats["u"] or 0)
-    # a block row (products x heavy users) and a block of scores stay near the target
-    by_rows = math.ceil(16 * n_products * max(n_users, 1) / _TARGET_BLOCK_BYTES)
-    by_scores = math.ceil(n_products * math.sqrt(8 / _TARGET_BLOCK_BYTES))
-    by_cores = math.ceil((math.sqrt(1 + 16 * rows.sparkSession.sparkContext.defaultParallelism) - 1) / 2)
-    nb = max(1, by_rows, by_scores, by_cores if n_products > 1000 else 1)
-
-    def block(c):
-        return F.pmod(F.xxhash64(F.col(c)), F.lit(nb)).cast("int")
-
-    other = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    vec = (hp.filter("hu").select("user_id", "product_id", "m", "n", block("product_id").alias("block"))
-           .select("*", other.alias("o"))
-           .select(F.lit(0).alias("kind"), "user_id", "product_id", "m", "n", "block",
-                   F.lit(None).cast("int").alias("p2"),
-                   F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj")))
-    both = light.filter("hh").select(
-        F.lit(1).alias("kind"), F.lit(None).cast("int").alias("user_id"),
-        F.col("p1").alias("product_id"), F.col("n12").alias("m"), F.lit(None).cast("long").alias("n"),
-        F.lit(None).cast("int").alias("block"), "p2",
-        F.least(block("p1"), block("p2")).alias("bi"), F.greatest(block("p1"), block("p2")).alias("bj"))
-    return (vec.unionByName(both).groupBy("bi", "bj")
-            .applyInPandas(_block_pairs(k, threshold), "product_id int, rec_product_id int, score double"))
-
-
 def item_similarity(ratings: DataFrame, threshold: float | None = None,
                     heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
-    """Long-form co-occurrence similarity, both directions, self-pairs excluded.
+    """Long-form co-occurrence similarity of co-rated pairs, both directions, self-pairs excluded.
 
-    With ``threshold``, only pairs with similarity > threshold are returned,
-    and heavy users' products are scored in dense blocks that emit only the
-    passing pairs. Without it, every co-rated pair is listed (the full table
-    has a row per pair by definition), so every user's pairs are enumerated.
+    With ``threshold``, only pairs with similarity > threshold are returned.
     """
-    if threshold is None:
-        rows, _ = _prepare(ratings, heavy_user_products=1 << 62)
-        return _mirror_scored(_light_pairs(rows))
-    t = float(threshold)
     rows, has_heavy = _prepare(ratings, heavy_user_products)
-    light = _light_pairs(rows)
-    direct = _mirror_scored(light.filter(~F.col("hh"))).filter(F.col("score") > t)
-    if not has_heavy:
-        return direct
-    return direct.unionByName(_heavy_pairs(rows, light, threshold=t))
+    pairs = _light_rows(rows)
+    scored = _mirror_scored(_counted(pairs.union(_heavy_rows(rows)) if has_heavy else pairs))
+    return scored if threshold is None else scored.filter(F.col("score") > float(threshold))
 
 
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
                  heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
     """Top-k co-rated products per product: (product_id, rec_product_id, score, rank)."""
-    rows, has_heavy = _prepare(ratings, heavy_user_products)
-    light = _light_pairs(rows)
-    direct = _mirror_scored(light.filter(~F.col("hh")))
-    scored = direct.unionByName(_heavy_pairs(rows, light, k=k)) if has_heavy else direct
+    scored = item_similarity(ratings, None, heavy_user_products)
     return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)

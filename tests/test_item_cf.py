@@ -94,3 +94,29 @@ def test_thresholded_similarity_with_heavy_users_equals_full_table(spark):
         got = _sims(item_cf.item_similarity(r, threshold=0.3, heavy_user_products=heavy))
         assert got.keys() == full.keys(), heavy
         assert all(math.isclose(got[k], full[k]) for k in full)
+
+
+def test_heavy_counts_over_many_blocks_and_chunks(spark):
+    import random
+
+    import pyarrow as pa
+    rnd = random.Random(5)
+    pairs = [(u, p) for u in range(30) for p in rnd.sample(range(-20, 60), 25)] + [(3, 1), (3, 2)]
+    rows, has_heavy = item_cf._prepare(_ratings(spark, pairs), 4)
+    assert has_heavy
+    n, n12 = Counter(p for _, p in pairs), Counter()
+    by_user = defaultdict(list)
+    for u, p in pairs:
+        by_user[u].append(p)
+    for ps in by_user.values():
+        n12.update((a, b) for a, b in product(ps, ps) if a < b)
+    want = {(a, b): (c, n[a], n[b]) for (a, b), c in n12.items()}
+    got = item_cf._counted(item_cf._heavy_rows(rows, block_products=9, unit_rows=40)).collect()
+    assert {(r.p1, r.p2): (r.n12, r.n1, r.n2) for r in got} == want
+    # a unit whose users come in several chunks, its matrix growing with the slots
+    schema = pa.schema([(c, pa.int64()) for c in ("p1", "p2", "c", "n1", "n2")])
+    flat = sorted((0, 0, 0, u, 0, p + 20, p, m, n[p]) for (u, p), m in Counter(pairs).items())
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*flat[i:i + 37])], names=list("abcdefghi"))
+               for i in range(0, len(flat), 37)]
+    out = [r for b in item_cf._unit_pairs(schema, chunk_rows=50, chunk_users=2)(iter(batches)) for r in b.to_pylist()]
+    assert {(r["p1"], r["p2"]): (r["c"], r["n1"], r["n2"]) for r in out} == want

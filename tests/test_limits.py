@@ -13,10 +13,10 @@ def test_cooccurrence_sim_of_huge_counts(spark):
 
 
 def test_counts_above_2_30(spark):
-    rows = spark.createDataFrame([(1, 1, 1, 1 << 31, False, False), (1, 2, 1, (1 << 31) + 1, False, True)],
-                                 "user_id int, product_id int, m long, n long, hu boolean, hp boolean")
-    r = item_cf._light_pairs(rows).first()
-    assert (r.n1, r.n2, r.n12, r.hh) == (1 << 31, (1 << 31) + 1, 1, False)
+    rows = spark.createDataFrame([(1, 1, 1, 1 << 31, False), (1, 2, 1, (1 << 31) + 1, False)],
+                                 "user_id int, product_id int, m long, n long, hu boolean")
+    r = item_cf._counted(item_cf._light_rows(rows)).first()
+    assert (r.n1, r.n2, r.n12) == (1 << 31, (1 << 31) + 1, 1)
 
 
 def test_ids_keep_their_type(spark):
