@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, realtime, similarity, statistics
-from pickwise.operators.topk import top_k
 from pickwise.session import apply_runtime_defaults, delete_on_exit, materialize, scratch_path
 from pickwise.sources import bindings, text
 from pickwise.sources.tables import read_table, write_table
@@ -251,8 +250,7 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 most similar products of each product by content, ranked."""
-    sims = content.content_similarity(bindings.products_from_part(spark, sf_dir), num_features=None)
-    out = top_k(sims, ["product_id"], [F.round("score", 9).desc(), F.asc("rec_product_id")], 20)
+    out = content.content_similarity(bindings.products_from_part(spark, sf_dir), num_features=None, k=20)
     return out.select("product_id", "rec_product_id", _r6("score"), "rank")
 
 

@@ -67,13 +67,19 @@ def tune_job(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, ALS_GRID).orderBy("rmse").limit(1)
 
 
-def content_job(spark: SparkSession, base: str, num_features: int | None = schemas.TF_NUM_FEATURES) -> None:
+def content_job(spark: SparkSession, base: str, num_features: int | None = schemas.TF_NUM_FEATURES,
+                k: int | None = None) -> None:
+    """All similar products in long form, or with ``k`` the best k of each product as one nested list."""
     products = read_table(spark, base, PRODUCT, schemas.PRODUCT)
-    write_table(content.content_similarity(products, num_features), base, CONTENT_RECS)
+    recs = content.content_similarity(products, num_features, k=k)
+    write_table(recs if k is None else to_recs(recs, "product_id"), base, CONTENT_RECS)
 
 
 def item_cf_job(spark: SparkSession, base: str) -> None:
-    write_table(to_recs(item_cf.item_cf_recs(_ratings(spark, base)), "product_id"), base, ITEM_CF_RECS)
+    ratings = _ratings(spark, base)
+    # the pair rows of light users outgrow the input: size for them, 40 bytes each
+    size_shuffle_partitions(spark, 40 * item_cf.pair_rows(ratings), expansion=1.0)
+    write_table(to_recs(item_cf.item_cf_recs(ratings), "product_id"), base, ITEM_CF_RECS)
 
 
 def stream_job(spark: SparkSession, base: str, servers: str, topic: str, state_dir: str,
@@ -89,6 +95,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="pickwise.plans.jobs")
     ap.add_argument("job", choices=["load", "statistics", "offline", "tune", "content", "itemcf", "stream"])
     ap.add_argument("--base", required=True)
+    ap.add_argument("--k", type=int, help="content: keep the best k per product, as nested lists")
     ap.add_argument("--products")
     ap.add_argument("--ratings")
     ap.add_argument("--servers")
@@ -109,7 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "tune":
         tune_job(spark, a.base).show()
     elif a.job == "content":
-        content_job(spark, a.base)
+        content_job(spark, a.base, k=a.k)
     elif a.job == "itemcf":
         item_cf_job(spark, a.base)
     elif a.job == "stream":

@@ -24,6 +24,9 @@ def test_jobs_write_named_tables(spark, tmp_dir):
     assert nested.count() > 0
     assert all(1 <= len(r.recs) <= 10 for r in nested.collect())
     assert read_table(spark, base, jobs.CONTENT_RECS, schemas.SIMILARITY).count() > 0
+    jobs.content_job(spark, base, k=3)
+    lists = read_table(spark, base, jobs.CONTENT_RECS, schemas.PRODUCT_RECS).collect()
+    assert lists and all(1 <= len(r.recs) <= 3 for r in lists)
 
 
 def test_shuffle_partitions_follow_input_size(spark):

@@ -62,3 +62,34 @@ def test_choose_blocks_bounds_block_bytes():
     assert 2 * 10_000_000 * 50 * 8 / b <= 32 << 20
     b = similarity.choose_blocks(20_000, 50, parallelism=8)
     assert b * (b + 1) // 2 >= 16
+
+
+def test_sparse_topk_over_groups_of_equal_vectors(spark):
+    rng = np.random.default_rng(4)
+    base = rng.random((12, 5)) * (rng.random((12, 5)) < 0.6)
+    pick = [0] * 30 + [1] * 8 + list(rng.integers(0, 12, 40))  # large groups of equal vectors
+    ids = [int(x) for x in rng.permutation(len(pick))]
+    rows = [(i, d, float(w)) for i, p in zip(ids, pick) for d, w in enumerate(base[p]) if w]
+    df = spark.createDataFrame(rows, "id int, dim int, w double")
+    for k in (1, 3, 7):
+        for t in (0.3, 0.9):
+            full = {}
+            for r in similarity.cosine_pairs_sparse(df, threshold=t).collect():
+                full.setdefault(r.id, []).append((-round(r.sim, 9), r.other_id))
+            want = {i: [o for _, o in sorted(v)[:k]] for i, v in full.items()}
+            got = {}
+            for r in sorted(similarity.cosine_pairs_sparse(df, threshold=t, k=k).collect(), key=lambda r: r["rank"]):
+                got.setdefault(r.id, []).append(r.other_id)
+            assert got == want, (k, t)
+
+
+def test_dense_topk_is_the_head_of_the_full_list(spark):
+    m = np.random.default_rng(8).normal(size=(60, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, vector array<double>")
+    full = {}
+    for r in similarity.cosine_pairs_dense(df, threshold=0.2).collect():
+        full.setdefault(r.id, []).append((-r.sim, r.other_id))
+    got = {}
+    for r in sorted(similarity.cosine_pairs_dense(df, threshold=0.2, k=3).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.id, []).append(r.other_id)
+    assert got == {i: [o for _, o in sorted(v)[:3]] for i, v in full.items()}
