@@ -31,6 +31,13 @@ takes part in the search. A context that occurs often in a task is sent once,
 and its anchors stay behind, so that a passage found in every document costs
 each task one context for every anchor in it.
 
+A merge range holds all contexts of a candidate hash, so the hash must not have
+more of them than ``CROWD``. Anchors of the few that do (the edges of a passage
+that stands in very many documents, with other surroundings in each) leave the
+merge, and the 200-byte strings around them are counted by two 64-bit hashes in
+an aggregation, which no single task has to hold. Equal strings have equal
+anchors, so both places of a match are always counted in the same way.
+
 Defined cases: a null text is empty; texts under 200 bytes lose nothing; rows
 with equal ids are documents of their own, told apart by their texts; a null id
 is a value like any other; an empty table gives no rows; other columns are
@@ -52,6 +59,7 @@ LENGTH, SPREAD = 200, 152
 LEFT, LEAST_RIGHT = SPREAD - 1, LENGTH - SPREAD + 1  # 151 bytes before an anchor, 49 from it on
 RUN_CONTEXTS = 100_000  # contexts sorted at once in a task
 RANGE_CONTEXTS = 40_000  # aimed at in one range of the merge
+CROWD = 40_000  # contexts of one candidate hash that a range takes
 SMALL_GROUP = 12
 
 
@@ -243,6 +251,48 @@ def _anchor_rows(batches):
                 names=["key", "id", "place"])
 
 
+def _anchor_contexts(batches):
+    """(text) -> (key, hash of the context) of every anchor."""
+    import xxhash
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            at, key = anchors(text)
+            contexts = [xxhash.xxh3_64_intdigest(text[max(0, p - LEFT):p + LENGTH], min(p, LEFT)) for p in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.array(contexts, np.uint64).view(np.int64))],
+                                             names=["key", "context"])
+
+
+def windows(text: bytes, positions: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, hash, other hash) of the 200-byte strings with a position among their first ``SPREAD`` bytes."""
+    b, p = np.frombuffer(text, np.uint8), np.array(positions)
+    low, high = np.maximum(p - LEFT, 0), np.minimum(p, len(b) - LENGTH)
+    inside = np.zeros(len(b) + 1, np.int32)
+    np.add.at(inside, low[low <= high], 1)
+    np.add.at(inside, high[low <= high] + 1, -1)
+    starts = np.flatnonzero(np.cumsum(inside))
+    grams = _grams(b)
+    one, two = np.full(len(starts), 0x51ED270B, np.uint64), np.full(len(starts), 0x2545F491, np.uint64)
+    for k in range(0, LENGTH, 8):
+        g = grams[starts + k]
+        one = (one ^ g) * np.uint64(0xFF51AFD7ED558CCD)
+        one ^= one >> np.uint64(32)
+        two = (two ^ g) * np.uint64(0x9FB21C651E98DF25)
+        two ^= two >> np.uint64(29)
+    return starts, one.view(np.int64), two.view(np.int64)
+
+
+def _window_rows(batches):
+    """(id, mark, text, positions) -> (h1, h2, id, mark, start) of the strings around the positions."""
+    for batch in batches:
+        for i, mark, text, positions in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            starts, one, two = windows(text, positions)
+            n = len(starts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one), pa.array(two), pa.repeat(pa.scalar(i, pa.int64()), n),
+                 pa.repeat(pa.scalar(mark, pa.int64()), n), pa.array(starts.astype(np.int32))],
+                names=["h1", "h2", "id", "mark", "start"])
+
+
 RUNS = "run long, part int, blob binary, idx int, id long, mark long, pos int"
 
 
@@ -371,7 +421,28 @@ def _same(a: DataFrame, b: DataFrame):
     return a["id"].eqNullSafe(b["id"]) & (a["mark"] == b["mark"])
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _crowded(counted: DataFrame, texts: DataFrame, crowd: int) -> DataFrame | None:
+    """Candidate hashes with more than ``crowd`` different contexts; None without any."""
+    many = stored(counted.filter(F.col("n") > crowd).select("key"), "suffix-many")
+    if many.isEmpty():
+        return None
+    return stored(texts.select("text").mapInArrow(_anchor_contexts, "key long, context long")
+                  .join(many, "key", "left_semi").groupBy("key").agg(F.count_distinct("context").alias("n"))
+                  .filter(F.col("n") > crowd).select("key", F.lit(True).alias("crowded")), "suffix-crowded")
+
+
+def _repeated_windows(texts: DataFrame, busy: DataFrame) -> DataFrame:
+    """(id, mark, start, end) of the 200-byte strings around crowded anchors that occur twice."""
+    around = (texts.join(busy, _same(texts, busy)).select(texts["id"], texts["mark"], "text", "crowded")
+              .mapInArrow(_window_rows, "h1 long, h2 long, id long, mark long, start int"))
+    again = stored(around.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
+                   "suffix-windows")
+    return (around.join(again, ["h1", "h2"], "left_semi")
+            .select("id", "mark", "start", (F.col("start") + LENGTH).alias("end")))
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   crowd: int = CROWD) -> DataFrame:
     """(id, mark, n_bytes, sha256, spans array<struct<start, end>>) per row; ``mark`` is the text's crc32."""
     spark = docs.sparkSession
     rows = _keyed(docs, id_col, text_col)
@@ -385,24 +456,35 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = rows.join(spare, _same(rows, spare), "left_anti").filter(F.octet_length("text") >= LENGTH)
 
     spots = texts.select("id", "mark", "text").mapInArrow(_anchor_rows, "key long, id long, place long")
-    twice = spots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    twice = stored(spots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-keys")
+    crowded = _crowded(twice, texts, crowd)
+    if crowded is None:
+        wanted = spots.join(twice, "key", "left_semi").withColumn("crowded", F.lit(False))
+    else:
+        keys = stored(twice.join(crowded, "key", "left")
+                      .select("key", F.coalesce("crowded", F.lit(False)).alias("crowded")), "suffix-ways")
+        wanted = spots.join(keys, "key")
+    pos = F.col("place").bitwiseAND(F.lit(2**31 - 1)).cast("int")
     found = stored(
-        spots.join(stored(twice, "suffix-keys"), "key", "left_semi")
-        .select("id", F.shiftright("place", 31).alias("mark"),
-                F.col("place").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("pos"))
-        .groupBy("id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("positions")), "suffix-anchors")
+        wanted.select("id", F.shiftright("place", 31).alias("mark"), F.when(~F.col("crowded"), pos).alias("pos"),
+                      F.when(F.col("crowded"), pos).alias("crowded"))
+        .groupBy("id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("positions"),
+                                   F.sort_array(F.collect_set("crowded")).alias("crowded")), "suffix-anchors")
     n = found.agg(F.sum(F.size("positions"))).first()[0] or 0
     parts = max(1, n // RANGE_CONTEXTS)
-    runs = stored(texts.join(found, _same(texts, found))
+    merged = found.filter(F.size("positions") > 0)
+    runs = stored(texts.join(merged, _same(texts, merged))
                   .select(texts["id"], texts["mark"], "text", "positions")
                   .mapInArrow(_sorted_runs(parts), RUNS), "suffix-runs")
     matched = stored(runs.filter("blob is not null").select("part", "run", "blob")
                      .repartition(parts, "part").sortWithinPartitions("part", "run")
                      .mapInArrow(_merge_ranges, "run long, idx int, before int, after int"), "suffix-matches")
-    pieces = (runs.filter("idx is not null").select("run", "idx", "id", "mark", "pos").join(matched, ["run", "idx"])
-              .groupBy("id", "mark")
-              .agg(F.array_sort(F.collect_list(F.struct((F.col("pos") - F.col("before")).alias("start"),
-                                                        (F.col("pos") + F.col("after")).alias("end")))).alias("pieces")))
+    covered = (runs.filter("idx is not null").select("run", "idx", "id", "mark", "pos").join(matched, ["run", "idx"])
+               .select("id", "mark", (F.col("pos") - F.col("before")).alias("start"),
+                       (F.col("pos") + F.col("after")).alias("end")))
+    if crowded is not None:
+        covered = covered.union(_repeated_windows(texts, found.filter(F.size("crowded") > 0)))
+    pieces = covered.groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("pieces"))
     spans = stored(pieces.mapInArrow(_joined, SPANS), "suffix-spans")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")

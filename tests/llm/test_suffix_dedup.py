@@ -1,5 +1,7 @@
 import random
+from functools import partial
 
+import pytest
 from pyspark.sql import functions as F
 
 from pickwise.llm import suffix_dedup
@@ -25,8 +27,14 @@ def test_query_equals_brute_force(spark):
     assert _result(op8_suffix_dedup(spark, SF_SMALL)) == sorted(brute.repeats(docs))
 
 
-def test_passages_at_all_boundaries(spark, tmp_dir, monkeypatch):
-    """Passages of 190 to 260 bytes in changing surroundings, periodic texts, small runs and ranges."""
+@pytest.mark.parametrize("crowd", [None, 12, 0])
+def test_passages_at_all_boundaries(spark, tmp_dir, monkeypatch, crowd):
+    """Passages of 190 to 260 bytes in changing surroundings, periodic texts, small runs and ranges.
+
+    All anchors are merged, those of hashes with over 12 contexts are counted by windows, or all of them.
+    """
+    if crowd is not None:
+        monkeypatch.setattr(suffix_dedup, "repeated_spans", partial(suffix_dedup.repeated_spans, crowd=crowd))
     monkeypatch.setattr(suffix_dedup, "RUN_CONTEXTS", 40)
     monkeypatch.setattr(suffix_dedup, "RANGE_CONTEXTS", 60)
     rng = random.Random(5)
@@ -48,6 +56,16 @@ def test_passages_at_all_boundaries(spark, tmp_dir, monkeypatch):
     assert _dedup(spark, tmp_dir, docs) == sorted(brute.repeats(docs))
 
 
+def test_windows_are_those_with_a_position_in_their_first_bytes():
+    rng = random.Random(4)
+    text = bytes(rng.choice(b"ab") for _ in range(900)) * 2
+    for positions in ([0], [5, 700, 1790], [1600, 1601], list(range(1800))):
+        starts, one, two = suffix_dedup.windows(text, positions)
+        want = [s for s in range(len(text) - 199) if any(s <= p < s + suffix_dedup.SPREAD for p in positions)]
+        assert starts.tolist() == want
+        assert len(set(zip(one.tolist(), two.tolist()))) == len({text[s:s + 200] for s in want})
+
+
 def test_large_group_goes_through_the_levels():
     rng = random.Random(2)
 
