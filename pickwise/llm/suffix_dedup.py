@@ -83,7 +83,7 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes of the 73 bytes from there on) of a text of 200 bytes or more."""
+    """(positions, hashes of the ``LEAST_RIGHT`` bytes from there on) of a text of 200 bytes or more."""
     b = np.frombuffer(text, np.uint8)
     grams = _grams(b)
     h = ((grams ^ (grams >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
@@ -426,15 +426,17 @@ def _crowded(counted: DataFrame, texts: DataFrame, crowd: int) -> DataFrame | No
     many = stored(counted.filter(F.col("n") > crowd).select("key"), "suffix-many")
     if many.isEmpty():
         return None
-    return stored(texts.select("text").mapInArrow(_anchor_contexts, "key long, context long")
-                  .join(many, "key", "left_semi").groupBy("key").agg(F.count_distinct("context").alias("n"))
-                  .filter(F.col("n") > crowd).select("key", F.lit(True).alias("crowded")), "suffix-crowded")
+    found = stored(texts.select("text").mapInArrow(_anchor_contexts, "key long, context long")
+                   .join(many, "key", "left_semi").groupBy("key").agg(F.count_distinct("context").alias("n"))
+                   .filter(F.col("n") > crowd).select("key", F.lit(True).alias("crowded")), "suffix-crowded")
+    return None if found.isEmpty() else found
 
 
 def _repeated_windows(texts: DataFrame, busy: DataFrame) -> DataFrame:
     """(id, mark, start, end) of the 200-byte strings around crowded anchors that occur twice."""
-    around = (texts.join(busy, _same(texts, busy)).select(texts["id"], texts["mark"], "text", "crowded")
-              .mapInArrow(_window_rows, "h1 long, h2 long, id long, mark long, start int"))
+    held = stored(texts.join(busy, _same(texts, busy)).select(texts["id"], texts["mark"], "text", "crowded"),
+                  "suffix-busy")
+    around = held.mapInArrow(_window_rows, "h1 long, h2 long, id long, mark long, start int")
     again = stored(around.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
                    "suffix-windows")
     return (around.join(again, ["h1", "h2"], "left_semi")
@@ -453,7 +455,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     "suffix-copied")
     spare = stored(hashed.join(copied, "sha256").filter(~F.col("id").eqNullSafe(F.col("rep")))
                    .select("id", "mark"), "suffix-spare")
-    texts = rows.join(spare, _same(rows, spare), "left_anti").filter(F.octet_length("text") >= LENGTH)
+    # written once: the anchors are looked for in it up to three times, without shuffling the texts again
+    texts = stored(rows.filter(F.octet_length("text") >= LENGTH).join(spare, _same(rows, spare), "left_anti"),
+                   "suffix-unique")
 
     spots = texts.select("id", "mark", "text").mapInArrow(_anchor_rows, "key long, id long, place long")
     twice = stored(spots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-keys")
