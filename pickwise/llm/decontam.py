@@ -32,7 +32,7 @@ from pickwise.llm.words import alnum_words
 
 WINDOW = 13
 COVERAGE = 20  # contaminated: at least one word in 20 is hit
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 250_000  # about 250 MB of tables in the driver and in each Python worker
 SCANNED = pa.schema([("id", pa.int64()), ("n_words", pa.int64()),
                      ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                      ("items", pa.list_(pa.string())), ("mark", pa.binary())])
