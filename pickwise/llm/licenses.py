@@ -4,9 +4,14 @@ Texts are lower-cased in A-Z and cut into words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]
 Two things are found, both by built-in expressions only:
 
 * *phrases*: every place where a phrase's words stand consecutively;
-* *templates*: every text block (line) that contains at least ``threshold`` of
-  a template's distinct words. Words are ordered by their frequency in the
-  corpus, rarest first. A block with |B| template words can only share the
+* *templates*: every text block that contains at least ``threshold`` of a
+  template's distinct words. Blocks are the lines, and for headers wrapped over
+  several lines, windows of consecutive words of the whole text. A template is
+  looked for in windows of 16, 32, 64, ... words, the first at least twice its
+  length; a window begins every half of one, so each run of up to half a window
+  lies in one. A text of one line needs no windows.
+  Words are ordered by their frequency in the corpus, rarest first. A block
+  with |B| template words can only share the
   needed ``o`` of a template's |T| words if one of its first |B| - o + 1 words
   is among the template's first |T| - o + 1 (prefix filter), if |B| >= o
   (length filter), and if enough words are left behind the shared ones
@@ -109,9 +114,23 @@ def phrase_scan(docs: DataFrame, id_col: str, text_col: str,
         F.array_compact(F.array(*labels)).alias("base"))
 
 
+def _tokens(lowered) -> Column:
+    return F.split(F.trim(F.regexp_replace(lowered, _GAP, " ")), " ")
+
+
+def window_size(template: str) -> int:
+    size = 16
+    while size < 2 * len(template.split()):
+        size *= 2
+    return size
+
+
 def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES,
                      threshold: float = THRESHOLD) -> DataFrame:
-    """(id, block, template, label, containment) of every block that reaches the threshold."""
+    """(id, block, template, label, containment) of every block that reaches the threshold.
+
+    Lines count up from 0, windows down from -1.
+    """
     spark = docs.sparkSession
     sets = [(i, label, sorted(set(re.findall("[^\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+", text))))
             for i, (label, text) in enumerate(templates)]
@@ -119,27 +138,39 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMP
     vocabulary = sorted({w for _, _, words in sets for w in words})
     lines = docs.select(F.col(id_col).alias("id"),
                         F.posexplode(F.split(ascii_lower(F.col(text_col)), "\n")).alias("block", "raw"))
-    tokens = F.split(F.trim(F.regexp_replace("raw", _GAP, " ")), " ")
+    known = F.array(*map(F.lit, vocabulary))
+    window = {i: window_size(text) for i, (_, text) in enumerate(templates)}
+    # the words once per row, as a column of its own: inside the lambda they would be cut for every window
+    flows = (docs.filter(F.contains(F.col(text_col), F.lit("\n")))
+             .select(F.col(id_col).alias("id"), _tokens(ascii_lower(F.col(text_col))).alias("words")))
+
+    def windows(size: int) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - size // 2 - 1), F.lit(size // 2))
+        own = F.array(*map(F.lit, sorted({w for i, _, words in sets if window[i] == size for w in words})))
+        return F.transform(starts, lambda k: F.struct(
+            F.lit(size).alias("size"), F.array_intersect(F.slice("words", k + 1, size), own).alias("b")))
+    passages = (flows.select("id", F.posexplode(F.concat(*map(windows, sorted(set(window.values()))))).alias("at", "w"))
+                .select("id", (-1 - F.col("at")).alias("block"), "w.size", "w.b"))
     blocks = stored(
-        lines.select("id", "block", F.array_intersect(tokens, F.array(*map(F.lit, vocabulary))).alias("b"))
-        .filter(F.size("b") >= min(need.values())), "license-blocks")
+        lines.select("id", "block", F.lit(0).alias("size"), F.array_intersect(_tokens("raw"), known).alias("b"))
+        .union(passages).filter(F.size("b") >= min(need.values())), "license-blocks")
     # at most one row per template word
     seen = {r["t"]: r["n"] for r in blocks.select(F.explode("b").alias("t"))
             .groupBy("t").agg(F.count("*").alias("n")).collect()}
     order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
     rank = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, order[w])])
-    ranked = blocks.select("id", "block", F.array_sort(F.transform("b", lambda w: rank[w])).alias("b"))
+    ranked = blocks.select("id", "block", "size", F.array_sort(F.transform("b", lambda w: rank[w])).alias("b"))
     prefixes, whole = [], []
     for i, label, words in sets:
         ranks = sorted(order[w] for w in words)
         whole.append((i, label, need[i], ranks))
-        prefixes += [(r, i, need[i], len(ranks), j) for j, r in enumerate(ranks[:len(ranks) - need[i] + 1])]
+        prefixes += [(r, i, need[i], window[i], len(ranks), j) for j, r in enumerate(ranks[:len(ranks) - need[i] + 1])]
     wanted = F.array(*[F.lit(r) for r in sorted({p[0] for p in prefixes})])
     heads = (ranked.filter(F.arrays_overlap("b", wanted))
-             .select("id", "block", "b", F.size("b").alias("nb"), F.posexplode("b").alias("i", "rank")))
+             .select("id", "block", "size", "b", F.size("b").alias("nb"), F.posexplode("b").alias("i", "rank")))
     prefix = F.broadcast(spark.createDataFrame(  # as long as the templates, not the data
-        prefixes, "rank int, template int, need int, nt int, j int"))
-    candidates = (heads.join(prefix, "rank")
+        prefixes, "rank int, template int, need int, window int, nt int, j int"))
+    candidates = (heads.join(prefix, "rank").filter((F.col("size") == 0) | (F.col("size") == F.col("window")))
                   .filter((F.col("nb") >= F.col("need")) & (F.col("i") <= F.col("nb") - F.col("need")))
                   .filter(F.least(F.col("nb") - F.col("i"), F.col("nt") - F.col("j"))
                           + F.least("i", "j") >= F.col("need")))

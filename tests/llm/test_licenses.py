@@ -1,4 +1,6 @@
 import math
+import random
+import textwrap
 
 from pickwise.llm import licenses
 from tests.llm import brute
@@ -47,3 +49,38 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
                                 (None, "Licensed under CC BY-NC 4.0.")], "doc_id long, text string")
     assert [r["labels"] for r in licenses.scan_licenses(df).collect()] == ["cc-by,cc-by-nc"] * 3
     assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
+def _found(text):
+    words, labels, best = brute.alnum_words(text), set(), 0.0
+    for label, template in licenses.TEMPLATES:
+        t, size = set(template.split()), licenses.window_size(template)
+        blocks = [brute.alnum_words(line) for line in text.split("\n")]
+        blocks += [words[k:k + size] for k in range(0, len(words) if "\n" in text else 0, size // 2)]
+        for b in map(set, blocks):
+            if len(b & t) >= math.ceil(licenses.THRESHOLD * len(t) - 1e-9):
+                labels.add(label)
+                best = max(best, len(b & t) / len(t))
+    return labels, best
+
+
+def test_wrapped_headers_are_found(spark):
+    rng, docs, plain = random.Random(4), [], []
+    for label, template in licenses.TEMPLATES:
+        for width, mark in ((70, ""), (40, " * "), (30, "# "), (25, "dnl ")):
+            for before in (0, 7, 59, 400):
+                filler = [f"f{rng.randrange(999)}" for _ in range(before)]
+                body = "\n".join(mark + x for x in textwrap.wrap(" ".join(filler + template.split() + ["tail"] * 9), width))
+                docs.append(f"first line\n{body}\nlast line")
+                plain.append(label)
+    docs += ["one\ntwo", "\n\n", "released\nunder " + "x\n" * 400 + "the mit\nlicense",
+             "released\nunder " + "x\n" * 20 + "the license"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.scan_licenses(df).collect()}
+    assert len(rows) == len(docs)
+    for i, r in rows.items():
+        labels, best = _found(docs[i])
+        base = set(filter(None, r["base_labels"].split(",")))
+        assert set(filter(None, r["labels"].split(","))) == labels | base, docs[i]
+        assert r["score"] == (1.0 if r["n_base"] else best), docs[i]
+        assert i >= len(plain) or plain[i] in labels, docs[i]
