@@ -37,11 +37,25 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.
+
+    Texts of one id are documents of their own, ordered by a hash; equal rows stay
+    or go together, and documents without an id all stay.
+    """
     prepare(spark)
-    found = minhash.near_duplicates(docs)
-    gone = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct(), "pipeline-copies")
-    return docs.select(*COLUMNS).join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    # nodes are texts of an id, by a 64-bit hash, so that another text of the same id is another document
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text")))
+    found = minhash.near_duplicates(docs.select(node.alias("doc_id"), "text"))
+    found = stored(found.select(F.col("doc_id").alias("_node"), F.col("component_id").alias("_group"))
+                   .filter("_node is not null").distinct(), "pipeline-found")
+    groups = (found.groupBy("_group").agg(F.min("_node").alias("a"), F.max("_node").alias("b"))
+              .filter("a < b").select("_group"))
+    members = stored(docs.select("doc_id", node.alias("_node")).distinct()
+                     .join(found.join(groups, "_group", "left_semi"), "_node"), "pipeline-members")
+    first = members.groupBy("_group").agg(F.min(F.struct("doc_id", "_node")).alias("first"))
+    gone = stored(members.join(first, "_group").filter(F.col("first") != F.struct("doc_id", "_node"))
+                  .select("_node"), "pipeline-copies")
+    return docs.select(*COLUMNS).join(gone, node == F.col("_node"), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,7 @@ are scanned one after the other, and their spans are merged per document.
 Defined cases: a null or empty text has no words; an item without words has no
 window; items with equal texts all count; item ids are compared as strings, a
 null one is the empty string; rows with equal document ids stay rows of their
-own (with several shards their hits are merged by a row number hash of id and
-text, so equal rows share equal results); an empty benchmark hits nothing; an
+own, told apart by a hash of their texts (equal rows share equal results); an empty benchmark hits nothing; an
 empty document table gives no rows; other columns are kept by
 ``decontaminate`` and ignored by ``scan``.
 """
@@ -25,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.words import alnum_words
@@ -167,7 +166,10 @@ def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_words: int
 def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
          coverage: int = COVERAGE, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(id, n_words, spans array<struct<start, end>>, items array<string>, n_hit, contaminated) per row."""
+    """(id, n_words, spans array<struct<start, end>>, items array<string>, mark, n_hit, contaminated) per row.
+
+    ``mark`` is the text's MD5 (of no bytes for a null text); it tells rows of one id apart.
+    """
     spark = docs.sparkSession
     schema = "id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>, mark binary"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -191,11 +193,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     if len(parts) > 1:
         out = _merge(parts, schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return (out.drop("mark").withColumn("n_hit", n_hit)
+    return (out.withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words")))
             .withColumnRenamed("id", id_col))
 
 
+def text_mark(text: Column) -> Column:
+    """The MD5 by which ``scan`` tells texts apart."""
+    return F.unhex(F.md5(F.coalesce(text.cast("binary"), F.lit(b""))))
+
+
 def _merge(parts: list[DataFrame], schema: str) -> DataFrame:
     """Spans and items of the shards per document; equal rows stay as many as they were."""
     found = parts[0]
@@ -230,9 +237,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keeps the words outside the spans, lower-cased and joined by one blank.
     """
     found = scan(docs, benchmark, id_col, text_col, window=window, coverage=coverage, **scan_options)
-    bad = found.filter("contaminated").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")) \
-        .dropDuplicates(["_id"])
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_id"))
+    bad = found.filter("contaminated").select(F.col(id_col).alias("_id"), F.col("mark").alias("_mark"),
+                                              F.col("spans").alias("_spans")).dropDuplicates(["_id", "_mark"])
+    same = (docs[id_col].cast("long").eqNullSafe(F.col("_id"))
+            & (text_mark(docs[text_col]) == F.col("_mark")))
     if action == "drop":
         return docs.join(bad, same, "left_anti")
     # the words as the scan saw them, without those inside a span

@@ -63,3 +63,16 @@ def test_nulls_repeats_and_empty_tables(spark):
             (0, 1, ("", "6")), (1, 1, ("", "6")), (1, 1, ("", "6")), (2, 0, ())]
     assert [r["n_hit"] for r in decontam.scan(docs, bench.limit(0)).collect()] == [0] * 4
     assert decontam.scan(docs.limit(0), bench).count() == 0
+
+
+def test_a_contaminated_row_leaves_others_of_its_id_alone(spark):
+    passage, other = " ".join(f"q{i}" for i in range(20)), "One, two Q3"
+    rows = [(1, f"A {passage}"), (1, other), (1, other), (None, f"b {passage}"), (None, other), (None, None), (2, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, passage), (8, "zz yy xx")], "item_id long, text string")
+    for words in (2_000_000, 2):
+        left = [tuple(r) for r in decontam.decontaminate(docs, bench, shard_words=words).collect()]
+        assert sorted(left, key=str) == sorted([(1, other), (1, other), (None, other), (None, None)], key=str)
+        cut = [tuple(r) for r in decontam.decontaminate(docs, bench, action="cut", shard_words=words).collect()]
+        assert sorted(cut, key=str) == sorted(
+            [(1, "a"), (1, other), (1, other), (None, "b"), (None, other), (None, None), (2, "")], key=str)

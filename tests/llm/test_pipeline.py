@@ -44,3 +44,14 @@ def test_every_stage_equals_brute_force_on_its_input(spark, tmp_dir):
     for r in clean.values():
         longest[r["source"]] = max(longest[r["source"]], len(brute.blank_words(r["text"])))
     assert all(abs(taken[s] - t) <= longest[s] / 2 + 1 for s, t in target.items())
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    words = [f"w{i}" for i in range(60)]
+    copy, own, tail = " ".join(words), " ".join(f"own{i}" for i in range(60)), " ".join([*words[:59], "end"])
+    rows = [(3, copy), (7, copy), (7, own), (7, own), (9, tail), (9, "short"), (None, own), (None, "null id"), (4, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r["doc_id"], r["text"]) for r in cp.drop_near_duplicates(spark, df, SF_SMALL).collect()]
+    assert sorted(left, key=str) == sorted(
+        [(3, copy), (7, own), (7, own), (9, "short"), (None, own), (None, "null id"), (4, None)], key=str)
