@@ -15,6 +15,7 @@ from pickwise.llm import (
     lines,
     minhash,
     mixing,
+    negatives,
     quality,
     suffix_dedup,
     warc,
@@ -113,6 +114,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         page("refers_to").alias("refers_to"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.mine_hard_negatives(rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {fn.__name__: fn for fn in (
     op1_quality, op2_embedding_dedup, op3_mixing, op4_licenses, op5_chat, op6_minhash,
-    op7_decontamination, op8_suffix_dedup, op9_line_dedup, op10_warc)}
+    op7_decontamination, op8_suffix_dedup, op9_line_dedup, op10_warc,
+    op11_hard_negatives)}

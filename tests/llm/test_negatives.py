@@ -1,0 +1,69 @@
+import math
+import random
+
+import pytest
+
+from pickwise.llm import negatives
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def brute(rows, every=100, n_pos=5, n_neg=10, low=30, high=90):
+    """Sorted result rows by scoring every pair; equal rows are told apart by their place."""
+    ok = [(i, v, c) for i, v, c in rows if i is not None and c is not None and v is not None
+          and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [math.floor(256 * x) for x in v], c) for i, v, c in ok]
+    ok = [r for r in ok if sum(x * x for x in r[1]) < 9.2e18]
+    out = []
+    for at, (i, v, c) in enumerate(ok):
+        if i % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), j, place) for place, (j, w, _) in enumerate(ok)
+                        if place != at and len(w) == len(v))
+        for s, j, place in [r for r in scored if ok[r[2]][2] == c][:n_pos]:
+            fit = [r for r in scored if ok[r[2]][2] != c and low * -s <= 100 * -r[0] <= high * -s][:n_neg]
+            out += [(i, j, k + 1, r[1], -s, -r[0]) for k, r in enumerate(fit)]
+    return sorted(out)
+
+
+def mined(spark, rows, **kw):
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as row", "2 as id", "3 as rank")
+    return sorted(tuple(r) for r in negatives.mine_hard_negatives(df, **kw).collect())
+
+
+@pytest.mark.parametrize("stripe, block, anchors", [(16384, 4096, 8192), (64, 16, 4)])
+def test_equals_brute_force_in_units_of_any_size(spark, monkeypatch, stripe, block, anchors):
+    monkeypatch.setattr(negatives, "STRIPE_ROWS", stripe)
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", block)
+    monkeypatch.setattr(negatives, "ANCHOR_ROWS", anchors)
+    rng = random.Random(5)
+    centres = [[rng.gauss(0, 0.3) for _ in range(6)] for _ in range(7)]
+    rows = []
+    for i in range(700):
+        c = rng.choice(centres)
+        rows.append((i, [x + rng.gauss(0, 0.2) for x in c], 0 if rng.random() < 0.4 else rng.randrange(4)))
+    rows += [(i, rows[5][1], i % 3) for i in range(1000, 1200)]  # many copies: ties by id
+    got = mined(spark, rows, anchor_every=10)
+    assert got == brute(rows, every=10) and len(got) > 500
+
+
+def test_clustered_rows_leave_the_lists_early():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 3, (4096, 8)).round().astype(np.int64)
+    x[:50] += 200  # the anchor's own direction
+    w = negatives._Windows(np.array([0]), np.array([-2**63]), np.array([2**63 - 1]), 5)
+    scored = negatives._read_block(x[:1], w, x, np.arange(4096), np.arange(4096), lambda i, j: j != 0)
+    want = sorted((-(x[0] @ x[j]), j) for j in range(1, 4096))[:5]
+    assert [(-s, i) for s, i in zip(w.held[1], w.held[2])] == want and scored < 2500
+
+
+def test_nulls_zero_and_huge_vectors_other_lengths_repeats_and_no_rows(spark):
+    rows = [(0, [1.0, 0.5], 1), (0, [1.0, 0.5], 1), (0, [0.5, 0.5], 2), (1, [1.0, 0.25], 1), (2, [0.5, 0.1], 2),
+            (3, [0.6, 0.1], 3), (100, [0.0, 0.0], 1), (4, None, 1), (5, [None, 1.0], 2), (6, [float("nan"), 1.0], 2),
+            (7, [float("inf"), 0.0], 2), (8, [1e300, 0.0], 2), (9, [2e6, 2e6], 2), (200, [4e6, 1e6], 1), (10, [3e6, 3e6], 1),
+            (11, [1.0], 1), (300, [1.0], 2), (12, [2.0], 2), (13, [0.5], 1), (14, [], 1), (400, [], 2), (15, [], 2),
+            (16, [1.0, 1.0], None), (None, [1.0, 1.0], 2), (17, [-1.0, -1.0], 1)]
+    got = mined(spark, rows)
+    assert got == brute(rows) and any(r[4] > 2**53 for r in got) and any(r[0] == 400 for r in got)
+    assert mined(spark, []) == []
