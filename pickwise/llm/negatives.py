@@ -42,6 +42,7 @@ ANCHOR_ROWS = 8192  # anchors of a unit
 STRIPE_ROWS = 16384  # candidates of a unit
 BLOCK_ROWS = 4096  # candidates whose lists are sorted together
 CHUNK = 1024  # anchors scored in one matrix product
+SALTS = 64  # tasks among which the rows of one key look up its size
 PAIRS = 400_000  # scored pairs that are matched with windows at a time
 EXACT = 2.0 ** 53
 
@@ -213,10 +214,11 @@ def _units(anchors: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
     counts = (rows.groupBy(*key).agg(F.count("*").alias("n")).join(
         anchors.groupBy(*key).agg(F.count("*").alias("m")), key)
         .select(*key, F.ceil(F.col("n") / STRIPE_ROWS).cast("int").alias("stripes"),
-                F.ceil(F.col("m") / ANCHOR_ROWS).cast("int").alias("groups")))
+                F.ceil(F.col("m") / ANCHOR_ROWS).cast("int").alias("groups"),
+                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
 
     def dealt(df, own, own_n, other, other_n, kind, windows):
-        return (df.join(counts, key)
+        return (df.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(counts, [*key, "salt"])
                 .withColumn(own, F.pmod(F.xxhash64("row"), F.col(own_n)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
                 .select(*[F.col(c).alias(f"k_{c}") for c in key], F.col("a").alias("k_a"), F.col("s").alias("k_s"),

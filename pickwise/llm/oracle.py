@@ -214,6 +214,40 @@ FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 10
 """
 
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_low('text')}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs
+  FROM (SELECT doc, lang, source, unnest(words) AS term FROM d) GROUP BY ALL
+), kept AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+size AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+sums AS (SELECT lang, source, sum(c.n) AS n FROM c JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT lang, source, coalesce(sums.n, 0) AS total, coalesce(v, 0) AS v, coalesce(size.n, 0) AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN sums USING (lang, source) LEFT JOIN size USING (lang)
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (total + v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (lang_total + v) AS q
+  FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 200
+"""
+
 SQL: dict[str, str] = {
     "op2_embedding_dedup": OP2,
     "op4_licenses": _op4(),
@@ -223,4 +257,5 @@ SQL: dict[str, str] = {
     "op9_line_dedup": OP9,
     "op10_warc": OP10,
     "op11_hard_negatives": OP11,
+    "op12_source_divergence": OP12,
 }

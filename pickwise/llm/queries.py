@@ -11,12 +11,14 @@ from pickwise.llm import (
     cap_dedup,
     chat,
     decontam,
+    divergence,
     licenses,
     lines,
     minhash,
     mixing,
     negatives,
     quality,
+    secrets,
     suffix_dedup,
     warc,
 )
@@ -120,6 +122,24 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine_hard_negatives(rows)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    bits = F.array_max(F.transform("spans", lambda s: s["bits"]))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                        bits.alias("max_guess_bits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {fn.__name__: fn for fn in (
     op1_quality, op2_embedding_dedup, op3_mixing, op4_licenses, op5_chat, op6_minhash,
     op7_decontamination, op8_suffix_dedup, op9_line_dedup, op10_warc,
