@@ -143,4 +143,4 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {fn.__name__: fn for fn in (
     op1_quality, op2_embedding_dedup, op3_mixing, op4_licenses, op5_chat, op6_minhash,
     op7_decontamination, op8_suffix_dedup, op9_line_dedup, op10_warc,
-    op11_hard_negatives)}
+    op11_hard_negatives, op12_source_divergence, op13_secrets)}

@@ -100,7 +100,8 @@ def test_the_method_adds_values_that_are_hard_to_guess(spark):
 
 
 def test_nulls_repeats_long_values_and_no_rows(spark):
-    value = "".join(random.Random(1).choice("abcdXYZ#$%&*~") for _ in range(30_000))
+    rng = random.Random(1)
+    value = "".join(rng.choice("abcdXYZ#$%&*~") for _ in range(30_000))
     rows = [(1, None), (1, ""), (None, "pwd: xK4#pQz9!mRw"), (None, "pwd: xK4#pQz9!mRw"), (2, "pwd: " + value)]
     got = sorted(found(spark, rows), key=str)
     assert got == sorted([(1, [], []), (1, [], []), (None, [], [(5, "guess", 17)]), (None, [], [(5, "guess", 17)]),
