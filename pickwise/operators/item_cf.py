@@ -16,7 +16,8 @@ Plan:
    own; a unit of work is (user block, product block, product block). It streams
    its rows user by user into one dense product X_I^T X_J and emits a row per
    co-rated pair: one for all users of the block instead of one per user. A
-   rating is copied once per product block, whatever the number of users.
+   rating goes only to the units its user needs: once per product block that
+   the user touches.
 4. The counts of both paths are summed in one aggregation with map-side
    combine, scored, and mirrored with a two-row explode; the final top k per
    product is a window group limit. T moves work between the paths only.
@@ -41,17 +42,19 @@ _BLOCK_PRODUCTS = 2048  # a unit holds counts of about 2048 x 2048 products, 32
 _UNIT_ROWS = 4 << 20  # heavy rating rows aimed at in a unit
 
 
-def user_product_counts(ratings: DataFrame) -> DataFrame:
-    """(user_id, product_id, m): how often each user rated each product."""
+def user_product_counts(ratings: DataFrame, dedupe: bool = False) -> DataFrame:
+    """(user_id, product_id, m): how often each user rated each product; with ``dedupe``, once."""
+    if dedupe:
+        return ratings.select("user_id", "product_id").distinct().withColumn("m", F.lit(1).cast("long"))
     return ratings.groupBy("user_id", "product_id").agg(F.count("*").alias("m"))
 
 
-def _prepare(ratings: DataFrame, heavy_user_products: int) -> tuple[DataFrame, bool]:
+def _prepare(ratings: DataFrame, heavy_user_products: int, dedupe: bool = False) -> tuple[DataFrame, bool]:
     """(user_id, product_id, m, n, hu) and whether any heavy user exists.
 
     m is the multiplicity, n the product's rating count, hu flags heavy users.
     """
-    um = materialize(user_product_counts(ratings), "user-product")
+    um = materialize(user_product_counts(ratings, dedupe), "user-product")
     n = um.groupBy("product_id").agg(F.sum("m").alias("n"))
     deg = um.groupBy("user_id").agg(F.count("*").alias("d"))
     heavy_users = deg.filter(F.col("d") > heavy_user_products).select("user_id")
@@ -182,8 +185,13 @@ def _unit_pairs(pair_schema: pa.Schema, chunk_rows: int = 1 << 18, chunk_users:
     return run
 
 
-def _heavy_rows(rows: DataFrame, block_products: int = _BLOCK_PRODUCTS, unit_rows: int = _UNIT_ROWS) -> DataFrame:
-    """(p1, p2, c, n1, n2) per block of heavy users and pair of their products, p1 < p2."""
+def _heavy_units(rows: DataFrame, block_products: int = _BLOCK_PRODUCTS, unit_rows: int = _UNIT_ROWS) -> DataFrame:
+    """Rows (u, bi, bj, user, block, slot, product, m, n) of heavy users, one per unit that needs them.
+
+    A user's rating goes to the pairs of its own block with the blocks that the
+    same user touches, at most as many as the user has products; in any other
+    unit it would meet nothing.
+    """
     heavy = rows.filter("hu")
     stats = heavy.agg(F.countDistinct("product_id").alias("p"), F.count("*").alias("rows")).first()
     nb = max(1, math.ceil(stats["p"] / block_products))
@@ -192,11 +200,17 @@ def _heavy_rows(rows: DataFrame, block_products: int = _BLOCK_PRODUCTS, unit_row
     products = (heavy.select("product_id").distinct()
                 .withColumn("block", F.pmod(F.xxhash64("product_id"), F.lit(nb)))
                 .withColumn("slot", F.row_number().over(slot) - 1))
-    spread = (heavy.join(products, "product_id")
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
-              .select(F.pmod(F.xxhash64("user_id"), F.lit(nu)).alias("u"),
-                      F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
-                      F.col("user_id").cast("long"), "block", "slot", F.col("product_id").cast("long"), "m", "n"))
+    placed = heavy.join(products, "product_id")
+    touched = placed.groupBy("user_id").agg(F.collect_set("block").alias("blocks"))  # at most one entry a block
+    return (placed.join(touched, "user_id").withColumn("other", F.explode("blocks"))
+            .select(F.pmod(F.xxhash64("user_id"), F.lit(nu)).alias("u"),
+                    F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+                    F.col("user_id").cast("long"), "block", "slot", F.col("product_id").cast("long"), "m", "n"))
+
+
+def _heavy_rows(rows: DataFrame, block_products: int = _BLOCK_PRODUCTS, unit_rows: int = _UNIT_ROWS) -> DataFrame:
+    """(p1, p2, c, n1, n2) per block of heavy users and pair of their products, p1 < p2."""
+    spread = _heavy_units(rows, block_products, unit_rows)
     kind = rows.schema["product_id"].dataType.simpleString()
     schema = f"p1 {kind}, p2 {kind}, c long, n1 long, n2 long"
     ids = pa.int32() if kind == "int" else pa.int64()
@@ -219,19 +233,21 @@ def _mirror_scored(co: DataFrame) -> DataFrame:
 
 
 def item_similarity(ratings: DataFrame, threshold: float | None = None,
-                    heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
+                    heavy_user_products: int = HEAVY_USER_PRODUCTS, dedupe: bool = False) -> DataFrame:
     """Long-form co-occurrence similarity of co-rated pairs, both directions, self-pairs excluded.
 
-    With ``threshold``, only pairs with similarity > threshold are returned.
+    With ``threshold``, only pairs with similarity > threshold are returned. A
+    product rated repeatedly by one user counts repeatedly, so the similarity may
+    exceed 1; with ``dedupe`` it counts once.
     """
-    rows, has_heavy = _prepare(ratings, heavy_user_products)
+    rows, has_heavy = _prepare(ratings, heavy_user_products, dedupe)
     pairs = _light_rows(rows)
     scored = _mirror_scored(_counted(pairs.union(_heavy_rows(rows)) if has_heavy else pairs))
     return scored if threshold is None else scored.filter(F.col("score") > float(threshold))
 
 
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
-                 heavy_user_products: int = HEAVY_USER_PRODUCTS) -> DataFrame:
+                 heavy_user_products: int = HEAVY_USER_PRODUCTS, dedupe: bool = False) -> DataFrame:
     """Top-k co-rated products per product: (product_id, rec_product_id, score, rank)."""
-    scored = item_similarity(ratings, None, heavy_user_products)
+    scored = item_similarity(ratings, None, heavy_user_products, dedupe)
     return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)

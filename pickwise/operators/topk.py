@@ -44,3 +44,18 @@ def from_recs(nested: DataFrame, key: str) -> DataFrame:
         F.col("r.score").alias("score"),
         (F.col("pos") + 1).alias("rank"),
     )
+
+
+def to_rec_chunks(long_df: DataFrame, key: str, size: int, item: str = "rec_product_id",
+                  score: str = "score") -> DataFrame:
+    """(key, item, score) -> (key, part, recs): uncapped lists, best first, in numbered chunks of ``size``.
+
+    Every row holds at most ``size`` entries, however long a list is: chunk 0 has
+    the best, the last chunk the rest.
+    """
+    order = Window.partitionBy(key).orderBy(F.round(score, 9).desc(), F.asc(item))
+    placed = long_df.select(key, item, score, (F.row_number().over(order) - 1).alias("place")).withColumn(
+        "part", F.expr(f"place div {int(size)}").cast("int"))
+    entry = F.struct("place", F.struct(F.col(item).alias("product_id"), F.col(score).alias("score")).alias("r"))
+    return placed.groupBy(key, "part").agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["r"]).alias("recs"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from pickwise import schemas
 from pickwise.operators import als, content, item_cf, realtime, similarity, statistics
+from pickwise.operators.topk import to_rec_chunks
+from pickwise.plans.checks import counts_above
 from pickwise.session import apply_runtime_defaults, delete_on_exit, materialize, scratch_path
 from pickwise.sources import bindings, text
 from pickwise.sources.tables import read_table, write_table
@@ -149,28 +151,50 @@ def als_product_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("product_id", "rec_product_id", _r6("score"))
 
 
-def als_user_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user: length of the list, and whether it is ranked, positive and scored by the factors."""
-    model = als.train_als(bindings.ratings_orders(spark, sf_dir), seed=ALS_SEED)
-    recs = materialize(als.als_user_recs(model, schemas.USER_MAX_RECOMMENDATION), "als-recs")
+def check_user_recs(model, recs: DataFrame, k: int) -> DataFrame:
+    """Per user: length of the list, and whether it is ranked, positive, scored by the factors, and the best there is.
+
+    A user without a list, or with one that leaves out a better product, fails ``complete``.
+    """
     u = model.userFactors.toDF("user_id", "uf")
     v = model.itemFactors.toDF("product_id", "vf")
     dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
     by_rank = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda r: r["score"])
-    return (recs.join(u, "user_id").join(v, "product_id")
-            .groupBy("user_id").agg(
-                F.count("*").cast("int").alias("n_recs"),
-                ((F.max("rank") == F.count("*")) & (F.countDistinct("rank") == F.count("*"))
-                 & (by_rank == F.reverse(F.array_sort(F.collect_list("score"))))).alias("ranked"),
-                F.bool_and(F.col("score") > 0).alias("positive"),
-                F.bool_and(F.abs(F.col("score") - dot) < 1e-3).alias("scored")))
+    listed = (recs.join(u, "user_id").join(v, "product_id")
+              .groupBy("user_id").agg(
+                  F.count("*").cast("int").alias("n_recs"),
+                  ((F.max("rank") == F.count("*")) & (F.countDistinct("rank") == F.count("*"))
+                   & (F.countDistinct("product_id") == F.count("*"))
+                   & (by_rank == F.reverse(F.array_sort(F.collect_list("score"))))).alias("ranked"),
+                  F.bool_and(F.col("score") > 0).alias("positive"),
+                  F.bool_and(F.abs(F.col("score") - dot) < 1e-3).alias("scored"),
+                  F.min("score").alias("last")))
+    listed = materialize(u.join(listed, "user_id", "left").withColumn("n_recs", F.coalesce("n_recs", F.lit(0))), "listed")
+    # a full list is measured by its last score, a shorter one by zero: nothing positive may be left out
+    bar = F.when(F.col("n_recs") >= k, F.col("last")).otherwise(0.0)
+
+    def doubles(c):
+        return F.col(c).cast("array<double>").alias("v")
+    counts = counts_above(listed.select(F.col("user_id").alias("id"), doubles("uf"), bar.alias("bar")),
+                          v.select(F.col("product_id").alias("id"), doubles("vf")), 1e-4)
+    return listed.join(counts, F.col("user_id") == F.col("id")).select(
+        "user_id", "n_recs", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("ranked", "positive", "scored")],
+        ((F.col("surely") <= F.col("n_recs")) & (F.col("n_recs") <= F.col("possibly"))).alias("complete"))
 
 
-def als_product_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per rated product: whether its list is symmetric, above the threshold, without itself, and true cosines."""
-    ratings = bindings.ratings_orders(spark, sf_dir)
-    model = als.train_als(ratings, seed=ALS_SEED)
-    sims = materialize(als.als_product_recs(model, schemas.SIMILARITY_THRESHOLD), "als-sims")
+def als_user_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of every user's list (:func:`check_user_recs`)."""
+    model = als.train_als(bindings.ratings_orders(spark, sf_dir), seed=ALS_SEED)
+    recs = materialize(als.als_user_recs(model, schemas.USER_MAX_RECOMMENDATION), "als-recs")
+    return check_user_recs(model, recs, schemas.USER_MAX_RECOMMENDATION)
+
+
+def check_product_recs(model, products: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
+    """Per product: whether its list is symmetric, above the threshold, without itself, true cosines, and complete.
+
+    ``complete`` compares the length of the list with a count over all pairs of factors, so a
+    missing pair, or a missing list, fails.
+    """
     f = model.itemFactors.select("id", F.transform("features", lambda x: x.cast("double")).alias("f"))
 
     def dot(a, b):
@@ -182,12 +206,27 @@ def als_product_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                .join(f.toDF("product_id", "f1", "n1"), "product_id").join(f.toDF("rec_product_id", "f2", "n2"), "rec_product_id")
                .groupBy("product_id").agg(
                    F.bool_and(F.coalesce(F.abs(F.col("back") - F.col("score")) < 1e-9, F.lit(False))).alias("symmetric"),
-                   F.bool_and(F.col("score") > schemas.SIMILARITY_THRESHOLD).alias("above"),
+                   F.bool_and(F.col("score") > threshold).alias("above"),
                    F.bool_and(F.col("product_id") != F.col("rec_product_id")).alias("no_self"),
-                   F.bool_and(F.abs(F.col("score") - dot("f1", "f2") / (F.col("n1") * F.col("n2"))) < 1e-6).alias("scored")))
-    products = ratings.select("product_id").distinct()  # a product without any similar one passes
-    return products.join(checked, "product_id", "left").select(
-        "product_id", *[F.coalesce(c, F.lit(True)).alias(c) for c in ("symmetric", "above", "no_self", "scored")])
+                   F.bool_and(F.abs(F.col("score") - dot("f1", "f2") / (F.col("n1") * F.col("n2"))) < 1e-6).alias("scored"),
+                   F.countDistinct("rec_product_id").alias("found")))
+    unit = f.filter("n > 0").select("id", F.transform("f", lambda x: x / F.col("n")).alias("v"))
+    unit = materialize(unit, "check-factors")
+    own = F.lit(1 if threshold < 1 else 0)  # a vector's product with itself is counted too
+    counts = counts_above(unit.withColumn("bar", F.lit(threshold)), unit, 1e-7).select(
+        F.col("id").alias("product_id"), (F.col("surely") - own).alias("surely"), (F.col("possibly") - own).alias("possibly"))
+    found = F.coalesce("found", F.lit(0))
+    return products.join(checked, "product_id", "left").join(counts, "product_id", "left").select(
+        "product_id", *[F.coalesce(c, F.lit(True)).alias(c) for c in ("symmetric", "above", "no_self", "scored")],
+        ((found >= F.coalesce("surely", F.lit(0))) & (found <= F.coalesce("possibly", F.lit(0)))).alias("complete"))
+
+
+def als_product_recs_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of every rated product's list (:func:`check_product_recs`)."""
+    ratings = bindings.ratings_orders(spark, sf_dir)
+    model = als.train_als(ratings, seed=ALS_SEED)
+    sims = materialize(als.als_product_recs(model, schemas.SIMILARITY_THRESHOLD), "als-sims")
+    return check_product_recs(model, ratings.select("product_id").distinct(), sims, schemas.SIMILARITY_THRESHOLD)
 
 
 def rmse_product_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,6 +320,67 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.col("r.score"), 6).alias("score")))
 
 
+# Later micro-batches start at these instants; each is taken in by a job of its own, restarted on the same state.
+STREAM_RESTARTS = (STREAM_BATCH_START + 43_200, STREAM_BATCH_START + 86_400)
+
+
+def stream_recs_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three micro-batches of one stream, with a restart before each later one and a compaction after every batch."""
+    ratings, history, batch = _event_split(spark, sf_dir)
+    sims = _event_sims(ratings)
+    root = scratch_path(spark, "stream-restarts")
+    delete_on_exit(spark, root)
+    time = F.col("time_stamp")
+    for start, end in zip((STREAM_BATCH_START, *STREAM_RESTARTS), (*STREAM_RESTARTS, None)):
+        part = batch.filter(time >= start) if end is None else batch.filter((time >= start) & (time < end))
+        text.format_rating_lines(part, sep=schemas.STREAM_FIELD_SEPARATOR).write.mode("append").text(f"{root}/messages")
+        job = StreamRecsJob(spark, f"{root}/state", history, sims, compact_every=1)
+        query = job.start(text_messages(spark, f"{root}/messages"), f"{root}/checkpoint", available_now=True)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    recs = read_stream_recs(spark, f"{root}/state")
+    return (recs.select("user_id", F.explode("recs").alias("r"))
+            .select("user_id", F.col("r.product_id").alias("product_id"),
+                    F.round(F.col("r.score"), 6).alias("score")))
+
+
+def candidate_products_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``candidate_products`` with the rated products as bitmaps instead of rating rows."""
+    ratings, history, batch = _event_split(spark, sf_dir)
+    out = realtime.candidate_products(realtime.latest_per_user(batch), _event_sims(ratings), None,
+                                      rated=realtime.rated_bitmaps(history))
+    return out.select("user_id", "product_id", _r6("sim"))
+
+
+def item_cf_recs_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-CF with every (user, product) counted once."""
+    out = item_cf.item_cf_recs(bindings.ratings_orders(spark, sf_dir), dedupe=True)
+    return out.select("product_id", "rec_product_id", _r6("score"), "rank")
+
+
+def cosine_pairs_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers alike in what they order: each a sparse vector of products, weighted by quantity."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(
+        spark.read.parquet(f"{sf_dir}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey"))
+    bought = lines.groupBy(F.col("o_custkey").cast("int").alias("user_id"), F.col("l_partkey").cast("int").alias("dim")).agg(
+        F.sum("l_quantity").alias("w"))
+    out = similarity.cosine_pairs_sparse(bought, "user_id", "dim", "w", CUSTOMER_THRESHOLD, ("user_id", "other_user_id"))
+    return out.select("user_id", "other_user_id", _r6("sim"))
+
+
+def content_recs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uncapped nested CommenRecs: lists in numbered chunks of bounded length, shown with the chunk of each entry."""
+    long = content.content_similarity(bindings.products_from_part(spark, sf_dir), num_features=None)
+    chunks = to_rec_chunks(long, "product_id", LIST_CHUNK)
+    return (chunks.select("product_id", "part", F.size("recs").alias("n"), F.posexplode("recs").alias("at", "r"))
+            .select("product_id", "part", "n", "at", F.col("r.product_id").alias("rec_product_id"),
+                    F.round("r.score", 6).alias("score")))
+
+
+CUSTOMER_THRESHOLD = 0.3
+LIST_CHUNK = 50
+
 QUERIES: dict[str, Query] = {fn.__name__: _session_ready(fn) for fn in (
     rate_more_products,
     rate_more_recently_products,
@@ -308,4 +408,9 @@ QUERIES: dict[str, Query] = {fn.__name__: _session_ready(fn) for fn in (
     load_ratings_file,
     table_roundtrip,
     content_topk,
+    stream_recs_restarts,
+    candidate_products_bitmap,
+    item_cf_recs_dedupe,
+    cosine_pairs_sparse,
+    content_recs_nested,
 )}

@@ -227,11 +227,11 @@ WHERE d / (n1.n * n2.n) > 0.6"""
 # Recommendation lists of a fitted model are checked by their properties: every
 # user has a full list, ranked, positive, and scored by the factors' dot product.
 SQL["als_user_recs_check"] = """
-SELECT DISTINCT CAST(o.o_custkey AS INTEGER) AS user_id, 20 AS n_recs, true AS ranked, true AS positive, true AS scored
+SELECT DISTINCT CAST(o.o_custkey AS INTEGER) AS user_id, 20 AS n_recs, true AS ranked, true AS positive, true AS scored, true AS complete
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 SQL["als_product_recs_check"] = """
-SELECT DISTINCT CAST(l.l_partkey AS INTEGER) AS product_id, true AS symmetric, true AS above, true AS no_self, true AS scored
+SELECT DISTINCT CAST(l.l_partkey AS INTEGER) AS product_id, true AS symmetric, true AS above, true AS no_self, true AS scored, true AS complete
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 SQL["rmse_product_mean"] = _with(RATINGS_ORDERS) + """,
@@ -246,7 +246,66 @@ SQL["load_products_file"] = SQL["load_products"]
 SQL["load_ratings_file"] = SQL["load_ratings"]
 SQL["table_roundtrip"] = SQL["rate_more_products"]
 
+SQL["candidate_products_bitmap"] = SQL["candidate_products"]
+
+
+def _stream_batch(n: int, start: int, end: int | None) -> str:
+    """CTE recs<n>: scores of one micro-batch [start, end), with all earlier ratings as history."""
+    upto = "" if end is None else f" AND time_stamp < {end}"
+    return f"""
+batch{n} AS (SELECT * FROM ratings WHERE time_stamp >= {start}{upto}),
+trig{n} AS (
+  SELECT user_id, product_id FROM batch{n}
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, product_id DESC, score DESC) = 1),
+recents{n} AS (
+  SELECT user_id, product_id, score FROM ratings
+  WHERE user_id IN (SELECT user_id FROM trig{n}){upto}
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY time_stamp DESC, product_id DESC, score DESC) <= 20),
+cand{n} AS (
+  SELECT t.user_id, st.p2 AS product_id FROM trig{n} t JOIN simt st ON st.p1 = t.product_id
+  WHERE st.p2 <> t.product_id
+    AND NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = t.user_id AND r.product_id = st.p2
+                    AND r.time_stamp < {start})
+  QUALIFY row_number() OVER (PARTITION BY t.user_id ORDER BY st.s DESC, st.p2) <= 20),
+recs{n} AS (
+  SELECT c.user_id, c.product_id,
+         round(avg(st.s * r.score) + log10(greatest(1, count(*) FILTER (WHERE r.score > 3)))
+               - log10(greatest(1, count(*) FILTER (WHERE NOT (r.score > 3)))), 6) AS score
+  FROM cand{n} c JOIN recents{n} r ON r.user_id = c.user_id
+  JOIN simt st ON st.p1 = r.product_id AND st.p2 = c.product_id
+  GROUP BY 1, 2)"""
+
+
+_STARTS = (1706486400, 1706486400 + 43200, 1706486400 + 86400)
+# a user's list is that of the last batch with a rating of the user, even an empty one
+SQL["stream_recs_restarts"] = _with(
+    RATINGS_EVENTS, _ITEM_SIM, "simt AS (SELECT p1, p2, s FROM sim WHERE s > 0.6)",
+    *[_stream_batch(n, start, end) for n, (start, end) in enumerate(zip(_STARTS, (*_STARTS[1:], None)))]) + """
+SELECT * FROM recs2
+UNION ALL SELECT * FROM recs1 WHERE user_id NOT IN (SELECT user_id FROM trig2)
+UNION ALL SELECT * FROM recs0 WHERE user_id NOT IN (SELECT user_id FROM trig1 UNION ALL SELECT user_id FROM trig2)"""
+
 SQL["content_topk"] = SQL["content_recs_exact"].replace("SELECT p1 AS product_id", "SELECT * FROM (SELECT p1 AS product_id")
 SQL["content_topk"] = SQL["content_topk"].replace(
     "AS score\nFROM dots", "AS score,\n  CAST(row_number() OVER (PARTITION BY p1 ORDER BY round(d / (n1.n * n2.n), 9) DESC, p2) AS INTEGER) AS rank\nFROM dots"
 ) + ") WHERE rank <= 20"
+
+SQL["item_cf_recs_dedupe"] = SQL["item_cf_recs"].replace(
+    RATINGS_ORDERS, RATINGS_ORDERS.replace("ratings AS (", "every AS (") + """,
+ratings AS (SELECT DISTINCT user_id, product_id FROM every)""")
+
+SQL["cosine_pairs_sparse"] = """
+WITH w AS (
+  SELECT CAST(o_custkey AS INTEGER) AS u, l_partkey AS d, sum(l_quantity) AS w
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+n AS (SELECT u, sqrt(sum(w * w)) AS n FROM w GROUP BY 1),
+dots AS (SELECT a.u AS u1, b.u AS u2, sum(a.w * b.w) AS dot FROM w a JOIN w b ON a.d = b.d AND a.u <> b.u GROUP BY 1, 2)
+SELECT u1 AS user_id, u2 AS other_user_id, round(dot / (n1.n * n2.n), 6) AS sim
+FROM dots JOIN n n1 ON n1.u = u1 JOIN n n2 ON n2.u = u2 WHERE dot / (n1.n * n2.n) > 0.3"""
+
+_LISTS = SQL["content_recs_exact"].replace("SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score", """
+SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score,
+       CAST(row_number() OVER (PARTITION BY p1 ORDER BY round(d / (n1.n * n2.n), 9) DESC, p2) - 1 AS INTEGER) AS place""")
+SQL["content_recs_nested"] = f"""
+SELECT product_id, place // 50 AS part, CAST(count(*) OVER (PARTITION BY product_id, place // 50) AS INTEGER) AS n,
+       place % 50 AS at, rec_product_id, score FROM ({_LISTS})"""

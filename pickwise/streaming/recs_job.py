@@ -7,17 +7,33 @@ shared folder):
 * ``history``: the rating table as of the start, written once, partitioned by
   ``user_bucket = pmod(xxhash64(user_id), B)``, B about one bucket per million
   ratings (recorded in ``layout`` so a restart reuses it);
-* ``ratings_log``: the valid ratings of each batch, partitioned by ``epoch``
-  (a run on a new checkpoint), ``batch_id`` and ``user_bucket``;
 * ``similarity``: the ProductRecs table, written once, partitioned by
   ``product_bucket``;
+* ``ratings_log``: the valid ratings of each batch, partitioned by ``epoch``
+  (a run on a new checkpoint), ``batch_id`` and ``user_bucket``;
 * ``stream_recs``: (user_id, recs) per batch, partitioned by ``epoch`` and
-  ``batch_id``; ``*_compact`` hold one generation of older batches.
-
-A micro-batch reads only the history and log partitions of the user buckets it
-touches, and only the similarity partitions of the products it needs, so its
-I/O grows with the batch, not with the whole history. The bucket ids of a
-batch are at most B integers, the only data brought to the driver.
+  ``batch_id``;
+* ``generations``: the folded state of all batches before some (epoch, batch
+  id): ``recent``, the newest ratings of each user, as many as the re-ranker
+  reads; ``rated``, one bitmap of rated products per user and 32,768 ids;
+  ``recs``, the newest recommendations; ``log``, the ratings themselves, in
+  segments that are merged by size, so each rating is rewritten a logarithmic
+  number of times.
+
+Which generation counts, and up to which batch, says one record that is
+published by an atomic rename (:mod:`pickwise.sources.versions`). Readers take
+the newest record, its generation, and of ``ratings_log`` and ``stream_recs``
+only the batches the generation does not cover. So a compaction that fails
+between any two of its steps changes nothing: before the rename the former
+record holds, after it the batches that are still to be deleted are not read.
+Folders go one compaction later, when no reader can still hold the record that
+names them.
+
+A micro-batch reads the recents and bitmaps of the user buckets it touches,
+the batches since the last compaction, and the similarity partitions of the
+products it needs, so its I/O grows with the batch, not with the ratings so
+far. The bucket ids of a batch are at most B integers, the only data brought
+to the driver.
 
 Batch N reads log partitions < N and overwrites only its own partitions
 (dynamic partition overwrite), so a replayed batch sees the same history and
@@ -37,11 +53,15 @@ from pyspark.sql import types as T
 
 from pickwise import schemas
 from pickwise.operators import realtime
+from pickwise.operators.topk import top_k
+from pickwise.sources import versions
+from pickwise.sources.versions import complete, delete, folders
 from pickwise.streaming.source import parse_messages
 
 _RATING_COLS = [f.name for f in schemas.RATING.fields]
 ROWS_PER_BUCKET = 1_000_000
 KEPT_COUNTS = 1000
+MERGED_SEGMENTS = 8  # log segments of one size that become one of the next
 
 
 def bucket_of(col: str, buckets: int) -> Column:
@@ -53,39 +73,6 @@ def _write_partitions(df: DataFrame, path: str, by: list[str]) -> None:
      .partitionBy(*by).parquet(path))
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` has committed; a crash before that leaves no marker."""
-    fs, p = _fs(spark, os.path.join(path, "_SUCCESS"))
-    return fs.exists(p)
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """A state table with its known schema; None before its first committed write.
-
-    Batches overwrite their own partitions, which appear when they commit and
-    leave no marker beside them.
-    """
-    written = any(os.path.basename(f).startswith("epoch=") for f in _folders(spark, path)) or _complete(spark, path)
-    return spark.read.schema(schema).parquet(path) if written else None
-
-
 def _with(schema: T.StructType, **columns: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in columns.items())])
 
@@ -93,6 +80,7 @@ def _with(schema: T.StructType, **columns: T.DataType) -> T.StructType:
 _HISTORY = _with(schemas.RATING, user_bucket=T.IntegerType())
 _LOG = _with(schemas.RATING, epoch=T.IntegerType(), batch_id=T.LongType(), user_bucket=T.IntegerType())
 _RECS = _with(schemas.USER_RECS, epoch=T.IntegerType(), batch_id=T.LongType())
+_RATED = _with(realtime.RATED, user_bucket=T.IntegerType())
 _SIMS = _with(schemas.SIMILARITY, product_bucket=T.IntegerType())
 _LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("sim_buckets", T.IntegerType())])
 
@@ -101,41 +89,90 @@ def _age() -> Column:
     return F.struct("epoch", "batch_id")
 
 
-def _latest(spark: SparkSession, path: str) -> str | None:
-    """The newest complete compaction below ``path``; names sort by age."""
-    done = [f for f in _folders(spark, path) if _complete(spark, f)]
-    return done[-1] if done else None
+def _younger(bound: tuple[int, int]) -> Column:
+    """Whether a row belongs to batch ``bound`` = (epoch, batch id) or a later one."""
+    epoch, batch_id = bound
+    return (F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") >= batch_id))
 
 
-def _newest_recs(spark: SparkSession, state_dir: str) -> DataFrame | None:
+def _union(parts: list[DataFrame | None]) -> DataFrame | None:
+    found = [p for p in parts if p is not None]
+    if not found:
+        return None
+    out = found[0]
+    for p in found[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+class _State:
+    """What the newest published record of ``state_dir`` says, and the tables it leads to."""
+
+    def __init__(self, spark: SparkSession, state_dir: str):
+        self.spark, self.state_dir = spark, state_dir
+        records = versions.newest(spark, state_dir)
+        self.record = records[0] if records else None
+
+    @property
+    def bound(self) -> tuple[int, int]:
+        """(epoch, batch id) of the first batch that the generation does not cover."""
+        return (self.record["epoch"], self.record["batch_id"]) if self.record else (0, 0)
+
+    def part(self, name: str, schema: T.StructType) -> DataFrame | None:
+        """A table of the generation."""
+        folder = self.record and self.record.get(name)
+        return self.spark.read.schema(schema).parquet(os.path.join(self.state_dir, folder)) if folder else None
+
+    def live(self, name: str, schema: T.StructType) -> DataFrame | None:
+        """The batches of ``name`` that the generation does not cover; None before the first one.
+
+        Batches overwrite their own partitions, which appear when they commit and
+        leave no marker beside them.
+        """
+        path = os.path.join(self.state_dir, name)
+        if not any(os.path.basename(f).startswith("epoch=") for f in folders(self.spark, path)):
+            return None
+        return self.spark.read.schema(schema).parquet(path).filter(_younger(self.bound))
+
+    def segments(self) -> DataFrame | None:
+        """The covered part of the rating log."""
+        return _union([self.spark.read.schema(_LOG).parquet(os.path.join(self.state_dir, folder))
+                       for _, folder in (self.record or {}).get("log", [])])
+
+
+def _newest_recs(parts: list[DataFrame | None]) -> DataFrame | None:
     """(user_id, recs, epoch, batch_id) of the newest batch that touched each user."""
-    parts = [_read(spark, os.path.join(state_dir, "stream_recs"), _RECS)]
-    if compacted := _latest(spark, os.path.join(state_dir, "stream_recs_compact")):
-        parts.append(_read(spark, compacted, _RECS))
-    parts = [p for p in parts if p is not None]
-    if not parts:
+    every = _union(parts)
+    if every is None:
         return None
-    every = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return every.groupBy("user_id").agg(F.max_by("recs", _age()).alias("recs"), F.max(_age()).alias("a")).select(
         "user_id", "recs", "a.epoch", "a.batch_id")
 
 
 def read_stream_recs(spark: SparkSession, state_dir: str) -> DataFrame:
     """Current StreamRecs: for each user the recs of the newest batch that touched it."""
-    recs = _newest_recs(spark, state_dir)
+    state = _State(spark, state_dir)
+    recs = _newest_recs([state.part("recs", _RECS), state.live("stream_recs", _RECS)])
     if recs is None:  # no batch has produced recommendations yet
         return spark.createDataFrame([], schemas.USER_RECS)
     return recs.select("user_id", "recs")
 
 
+def read_ratings_log(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Every valid rating the stream has taken in, with its epoch and batch id, each once."""
+    state = _State(spark, state_dir)
+    log = _union([state.segments(), state.live("ratings_log", _LOG)])
+    log = spark.createDataFrame([], _LOG) if log is None else log
+    return log.select(*_RATING_COLS, "epoch", "batch_id")
+
+
 class StreamRecsJob:
     """Holds the static inputs and the ``foreachBatch`` function of the stream.
 
     Batch ids start again at 0 with a new checkpoint, so state is ordered by
     (epoch, batch id): ``start`` opens a new epoch when its checkpoint folder
-    holds no progress yet. Every ``compact_every`` batches the committed log
-    and recommendations are rewritten as one generation each, and the small
-    folders they came from are deleted, so the number of files stays bounded.
+    holds no progress yet. Every ``compact_every`` batches the batches before
+    are folded into a new generation, so the number of files stays bounded.
     """
 
     def __init__(self, spark: SparkSession, state_dir: str, base_ratings: DataFrame,
@@ -161,63 +198,106 @@ class StreamRecsJob:
         self.epoch = self._last_epoch()
 
     def _last_epoch(self) -> int:
-        return max((int(f.rsplit("=", 1)[1]) for f in _folders(self.spark, self.epochs_path)), default=0)
+        return max((int(f.rsplit("=", 1)[1]) for f in folders(self.spark, self.epochs_path)), default=0)
 
     def _open_epoch(self, checkpoint_location: str) -> None:
         """A checkpoint without progress numbers its batches from 0: they follow all earlier ones."""
-        if not _folders(self.spark, os.path.join(checkpoint_location)):
+        if not folders(self.spark, os.path.join(checkpoint_location)):
             self.epoch = self._last_epoch() + 1
-            fs, p = _fs(self.spark, os.path.join(self.epochs_path, f"epoch={self.epoch}"))
+            fs, p = versions.filesystem(self.spark, os.path.join(self.epochs_path, f"epoch={self.epoch}"))
             fs.mkdirs(p)
 
     def _layout(self) -> None:
         """Bucket counts of the state tables: recorded once, reused after a restart."""
-        saved = _read(self.spark, self.layout_path, _LAYOUT)
-        if saved is None:
+        def saved():
+            return (self.spark.read.schema(_LAYOUT).parquet(self.layout_path)
+                    if complete(self.spark, self.layout_path) else None)
+        if saved() is None:
             def sized(rows: DataFrame, given: int | None) -> int:
                 return given or max(1, -(-rows.count() // ROWS_PER_BUCKET))
             counts = sized(self._base_ratings, self.buckets), sized(self._sims, self.sim_buckets)
             self.spark.createDataFrame([counts], _LAYOUT).write.mode("overwrite").parquet(self.layout_path)
-            saved = _read(self.spark, self.layout_path, _LAYOUT)
-        self.buckets, self.sim_buckets = saved.first()
+        self.buckets, self.sim_buckets = saved().first()
 
     def prepare(self) -> None:
-        """Write the bucketed history and similarity tables once (kept across restarts)."""
+        """Write the bucketed tables and the first generation once (kept across restarts)."""
         if self._prepared:
             return
         self._layout()
-        if not _complete(self.spark, self.history_path):
+        if not complete(self.spark, self.history_path):
             (self._base_ratings.withColumn("user_bucket", bucket_of("user_id", self.buckets))
              .repartition("user_bucket").sortWithinPartitions("user_id")
              .write.mode("overwrite").partitionBy("user_bucket").parquet(self.history_path))
-        if not _complete(self.spark, self.sims_path):
+        if not complete(self.spark, self.sims_path):
             (self._sims.withColumn("product_bucket", bucket_of("product_id", self.sim_buckets))
              .repartition("product_bucket").sortWithinPartitions("product_id")
              .write.mode("overwrite").partitionBy("product_bucket").parquet(self.sims_path))
+        state = _State(self.spark, self.state_dir)
+        if state.record is None or state.record["recent_k"] < self.recent_k:
+            # the first generation, or more recents than were kept: folded from the ratings themselves
+            rows = self.spark.read.schema(_HISTORY).parquet(self.history_path)
+            covered = state.segments()
+            if covered is not None:
+                rows = rows.unionByName(covered.select(*_RATING_COLS, "user_bucket"))
+            folder = os.path.join("generations", versions.fresh("from_ratings"))
+            record = dict(state.record or {"epoch": 0, "batch_id": 0, "log": []}, recent_k=self.recent_k)
+            record["recent"] = self._put(self._recent_of(rows), folder, "recent", "user_bucket")
+            record["rated"] = self._put(self._rated_of(rows), folder, "rated", "user_bucket")
+            versions.publish(self.spark, self.state_dir, record)
         self._prepared = True
 
+    # ---- folded state
+
+    def _put(self, df: DataFrame, folder: str, name: str, by: str | None = None) -> str:
+        """Write one table of a generation; returns its folder below ``state_dir``."""
+        path = os.path.join(folder, name)
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(by) if by else writer).parquet(os.path.join(self.state_dir, path))
+        return path
+
+    def _recent_of(self, rows: DataFrame) -> DataFrame:
+        """The newest ratings of each user, in its bucket; all the re-ranker reads of older ones."""
+        newest = top_k(rows, ["user_id"], realtime.newest_first(), self.recent_k).drop("rank")
+        return newest.select(*_RATING_COLS, "user_bucket").repartition("user_bucket").sortWithinPartitions("user_id")
+
+    def _rated_of(self, rows: DataFrame, older: DataFrame | None = None) -> DataFrame:
+        """Bitmaps of the products each user has rated, in the user's bucket."""
+        # dealt by bucket first: rows travel, not bitmaps of 4 KB
+        new = realtime.rated_bitmaps(rows.select("user_bucket", "user_id", "product_id").repartition("user_bucket"),
+                                     "user_bucket")
+        if older is not None:
+            new = realtime.merge_bitmaps(new.unionByName(older.select(new.columns)).repartition("user_bucket"),
+                                         "user_bucket")
+        return new.repartition("user_bucket").sortWithinPartitions("user_id", "part")
+
+    # ---- one micro-batch
+
     def _bucket_ids(self, df: DataFrame, col: str, buckets: int) -> list[int]:
         rows = df.select(bucket_of(col, buckets).alias("b")).distinct().collect()
         return sorted(r.b for r in rows)  # at most `buckets` values
 
-    def _before(self, batch_id: int) -> Column:
-        return (F.col("epoch") < self.epoch) | ((F.col("epoch") == self.epoch) & (F.col("batch_id") < batch_id))
-
-    def _older_log(self, batch_id: int) -> DataFrame | None:
-        """Logged ratings of earlier batches, compacted or not (with epoch, batch id and bucket)."""
-        parts = [_read(self.spark, self.log_path, _LOG)]
-        if compacted := _latest(self.spark, self.log_path + "_compact"):
-            parts.append(_read(self.spark, compacted, _LOG))
-        parts = [p.filter(self._before(batch_id)) for p in parts if p is not None]
-        if not parts:
-            return None
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    def _live_log(self, state: _State, batch_id: int) -> DataFrame | None:
+        """Logged ratings of the batches between the generation and this batch."""
+        live = state.live("ratings_log", _LOG)
+        return None if live is None else live.filter(~_younger((self.epoch, batch_id)))
 
     def _history(self, batch_id: int, user_buckets: list[int]) -> DataFrame:
-        parts = [self.spark.read.schema(_HISTORY).parquet(self.history_path), self._older_log(batch_id)]
-        parts = [p.filter(F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS)
-                 for p in parts if p is not None]
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        """Every rating before this batch of the users in these buckets."""
+        state = _State(self.spark, self.state_dir)
+        parts = [self.spark.read.schema(_HISTORY).parquet(self.history_path), state.segments(),
+                 self._live_log(state, batch_id)]
+        return _union([p.filter(F.col("user_bucket").isin(user_buckets)).select(_RATING_COLS)
+                       for p in parts if p is not None])
+
+    def _before(self, batch_id: int, user_buckets: list[int]) -> tuple[DataFrame, DataFrame]:
+        """(ratings that can be among the newest k, bitmaps of folded ratings) of the users in these buckets."""
+        state = _State(self.spark, self.state_dir)
+
+        def mine(df):
+            return df.filter(F.col("user_bucket").isin(user_buckets))
+        rows = [state.part("recent", _HISTORY), self._live_log(state, batch_id)]
+        return (_union([mine(p).select(_RATING_COLS) for p in rows if p is not None]),
+                mine(state.part("rated", _RATED)).drop("user_bucket"))
 
     def _stamped(self, df: DataFrame, batch_id: int) -> DataFrame:
         return df.withColumn("epoch", F.lit(self.epoch)).withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -235,48 +315,87 @@ class StreamRecsJob:
         while len(self.malformed) > KEPT_COUNTS:
             del self.malformed[next(iter(self.malformed))]
 
-        log = _read(self.spark, self.log_path, _LOG)
+        log = _State(self.spark, self.state_dir).live("ratings_log", _LOG)
         if log is None:  # no valid message so far
             return
         written = log.filter((F.col("epoch") == self.epoch) & (F.col("batch_id") == batch_id)).select(_RATING_COLS)
         user_buckets = self._bucket_ids(written, "user_id", self.buckets)
         if user_buckets:
-            history = self._history(batch_id, user_buckets)
-            # similarities are needed for the triggers' lists and for the users'
-            # recent products: both lie in the rated products of these users
-            rated = history.select("product_id").unionByName(written.select("product_id"))
-            product_buckets = self._bucket_ids(rated, "product_id", self.sim_buckets)
+            older, rated = self._before(batch_id, user_buckets)
+            # similarities are needed for the triggers' lists and the users' recent products
+            recents = realtime.recent_ratings(older.unionByName(written), written.select("user_id").distinct(), self.recent_k)
+            needed = recents.select("product_id").unionByName(written.select("product_id"))
+            product_buckets = self._bucket_ids(needed, "product_id", self.sim_buckets)
             sims = (self.spark.read.schema(_SIMS).parquet(self.sims_path)
                     .filter(F.col("product_bucket").isin(product_buckets))
                     .select("product_id", "rec_product_id", "score"))
-            recs = realtime.stream_recs(history, written, sims, recent_k=self.recent_k,
-                                        candidate_k=self.candidate_k, threshold=self.threshold)
+            recs = realtime.stream_recs(older, written, sims, recent_k=self.recent_k,
+                                        candidate_k=self.candidate_k, threshold=self.threshold, rated=rated)
             _write_partitions(self._stamped(recs, batch_id), self.recs_path, ["epoch", "batch_id"])
         if (batch_id + 1) % self.compact_every == 0:
             self._compact(batch_id)
 
+    # ---- compaction
+
+    def _done(self, step: str) -> None:
+        """Called after each step of a compaction; tests fail here."""
+
     def _compact(self, batch_id: int) -> None:
-        """One generation of all batches before this one (which may still be replayed); then tidy up."""
-        name = f"upto_{self.epoch:08d}_{batch_id:012d}"
-        log = self._older_log(batch_id)
-        if log is not None:
-            (log.repartition("user_bucket").sortWithinPartitions("user_id").write.mode("overwrite")
-             .partitionBy("user_bucket").parquet(os.path.join(self.log_path + "_compact", name)))
-            self._tidy(self.log_path, batch_id, name)
-        recs = _newest_recs(self.spark, self.state_dir)
-        if recs is not None:
-            recs.write.mode("overwrite").parquet(os.path.join(self.recs_path + "_compact", name))
-            self._tidy(self.recs_path, batch_id, name)
-
-    def _tidy(self, path: str, batch_id: int, name: str) -> None:
-        for old in _folders(self.spark, path + "_compact"):
-            if os.path.basename(old) != name:
-                _delete(self.spark, old)
-        for epoch in _folders(self.spark, path):
-            for batch in _folders(self.spark, epoch):
-                age = int(epoch.rsplit("=", 1)[1]), int(batch.rsplit("=", 1)[1])
-                if age < (self.epoch, batch_id):
-                    _delete(self.spark, batch)
+        """Fold all batches before this one (which may still be replayed) into a new generation."""
+        state = _State(self.spark, self.state_dir)
+        bound = (self.epoch, batch_id)
+        log = self._live_log(state, batch_id)
+        if state.bound < bound and log is not None:
+            folder = os.path.join("generations", versions.fresh(f"upto_{self.epoch:08d}_{batch_id:012d}"))
+            record = dict(state.record, epoch=self.epoch, batch_id=batch_id)
+            rows = log.select(*_RATING_COLS, "user_bucket")
+            record["recent"] = self._put(self._recent_of(state.part("recent", _HISTORY).unionByName(rows)),
+                                         folder, "recent", "user_bucket")
+            self._done("recent")
+            record["rated"] = self._put(self._rated_of(rows, state.part("rated", _RATED)), folder, "rated", "user_bucket")
+            self._done("rated")
+            live = state.live("stream_recs", _RECS)
+            recs = _newest_recs([state.part("recs", _RECS), None if live is None else live.filter(~_younger(bound))])
+            if recs is not None:
+                record["recs"] = self._put(recs, folder, "recs")
+            self._done("recs")
+            record["log"] = self._merged(state, log, folder)
+            self._done("log")
+            versions.publish(self.spark, self.state_dir, record)
+            self._done("published")
+        self._tidy()
+
+    def _merged(self, state: _State, log: DataFrame, folder: str) -> list:
+        """The log's segments [level, folder] with the new batches; equal levels merge into the next."""
+        segments = list(state.record["log"])
+        rows, level = log, 0
+        while sum(at == level for at, _ in segments) >= MERGED_SEGMENTS - 1:
+            old = [path for at, path in segments if at == level]
+            segments = [s for s in segments if s[0] != level]
+            rows = _union([rows, *(self.spark.read.schema(_LOG).parquet(os.path.join(self.state_dir, p)) for p in old)])
+            level += 1
+        rows = rows.select(_LOG.fieldNames()).repartition("user_bucket").sortWithinPartitions("user_id")
+        return [*segments, [level, self._put(rows, folder, "log", "user_bucket")]]
+
+    def _tidy(self) -> None:
+        """Delete what neither the newest record nor the one before it leads to."""
+        records = versions.newest(self.spark, self.state_dir, 2)
+        named = {path for r in records for path in
+                 [r["recent"], r["rated"], r.get("recs"), *(folder for _, folder in r["log"])] if path}
+        for generation in folders(self.spark, os.path.join(self.state_dir, "generations")):
+            for table in folders(self.spark, generation):
+                if os.path.join("generations", os.path.basename(generation), os.path.basename(table)) not in named:
+                    delete(self.spark, table)
+            if not folders(self.spark, generation):
+                delete(self.spark, generation)
+            self._done("generation deleted")
+        covered = min((r["epoch"], r["batch_id"]) for r in records)
+        for path in (self.log_path, self.recs_path):
+            for epoch in folders(self.spark, path):
+                for batch in folders(self.spark, epoch):
+                    if (int(epoch.rsplit("=", 1)[1]), int(batch.rsplit("=", 1)[1])) < covered:
+                        delete(self.spark, batch)
+                        self._done("batch deleted")
 
     def start(self, messages: DataFrame, checkpoint_location: str,
               processing_time: str | None = "2 seconds", available_now: bool = False):

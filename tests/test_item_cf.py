@@ -120,3 +120,33 @@ def test_heavy_counts_over_many_blocks_and_chunks(spark):
                for i in range(0, len(flat), 37)]
     out = [r for b in item_cf._unit_pairs(schema, chunk_rows=50, chunk_users=2)(iter(batches)) for r in b.to_pylist()]
     assert {(r["p1"], r["p2"]): (r["c"], r["n1"], r["n2"]) for r in out} == want
+
+
+def test_dedupe_counts_a_rating_once(spark):
+    pairs = [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (1, 2), (1, 2), (4, 7), (4, 7)]
+    once = sorted(set(pairs))
+    for heavy in (2000, 1):
+        got = _sims(item_cf.item_similarity(_ratings(spark, pairs), heavy_user_products=heavy, dedupe=True))
+        assert got == _sims(item_cf.item_similarity(_ratings(spark, once))) and got[1, 2] == 2 / math.sqrt(6)
+
+
+def test_a_heavy_rating_goes_to_the_blocks_its_user_touches(spark):
+    import random
+    rnd = random.Random(7)
+    pairs = []
+    for u in range(30):  # users keep to a corner of the products
+        base = 40 * rnd.randrange(20)
+        pairs += [(u, base + rnd.randrange(40)) for _ in range(25)]
+    r = _ratings(spark, pairs)
+    rows, heavy = item_cf._prepare(r, 2)
+    units = item_cf._heavy_units(rows, block_products=20).cache()
+    blocks = -(-len({p for _, p in pairs}) // 20)
+    mine, seen = defaultdict(set), set()
+    for x in units.select("user_id", "block", "product_id").distinct().collect():
+        mine[x.user_id].add(x.block)
+        seen.add((x.user_id, x.product_id))
+    want = sum(len(mine[u]) for u, _ in seen)
+    assert heavy and units.count() == want < len(seen) * blocks * 0.75
+    want = _sims(item_cf.item_similarity(r))
+    for t in (1, 5, 20):
+        assert _sims(item_cf.item_similarity(r, heavy_user_products=t)) == want

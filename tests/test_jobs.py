@@ -67,3 +67,14 @@ def test_materialize_writes_under_the_configured_checkpoint_dir(spark):
     files = df.inputFiles()
     assert files and all(local(f).startswith(configured) for f in files)
     assert df.count() == 5
+
+
+def test_uncapped_lists_in_chunks(spark):
+    from pickwise.operators.topk import to_rec_chunks
+    long = spark.createDataFrame([(1, p, 1.0 / (1 + p % 7)) for p in range(25)] + [(2, 9, 0.5)],
+                                 "product_id int, rec_product_id int, score double")
+    rows = to_rec_chunks(long, "product_id", 10).collect()
+    assert sorted((r.product_id, r.part, len(r.recs)) for r in rows) == [(1, 0, 10), (1, 1, 10), (1, 2, 5), (2, 0, 1)]
+    whole = [(x.product_id, x.score) for r in sorted(rows, key=lambda r: (r.product_id, r.part)) for x in r.recs if r.product_id == 1]
+    assert whole == sorted(((p, 1.0 / (1 + p % 7)) for p in range(25)), key=lambda x: (-round(x[1], 9), x[0]))
+    assert to_rec_chunks(long.limit(0), "product_id", 10).count() == 0

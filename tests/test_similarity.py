@@ -93,3 +93,80 @@ def test_dense_topk_is_the_head_of_the_full_list(spark):
     for r in sorted(similarity.cosine_pairs_dense(df, threshold=0.2, k=3).collect(), key=lambda r: r["rank"]):
         got.setdefault(r.id, []).append(r.other_id)
     assert got == {i: [o for _, o in sorted(v)[:3]] for i, v in full.items()}
+
+
+def _clustered(n, width, centres, spread, seed=6):
+    rng = np.random.default_rng(seed)
+    c = rng.normal(size=(centres, width))
+    return c[rng.integers(0, centres, n)] + rng.normal(size=(n, width)) * spread
+
+
+def test_blocks_by_direction_equal_brute_force(spark):
+    for m, t in ((_clustered(500, 6, 8, 0.2), 0.9), (np.random.default_rng(3).normal(size=(300, 4)), 0.3),
+                 (np.repeat(_clustered(20, 5, 3, 0.1), 15, axis=0), 0.95), (_clustered(120, 3, 2, 0.3), -0.5)):
+        m[7] = 0.0
+        ids = list(range(len(m)))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, m)], "id int, vector array<double>")
+        want = _brute_dense(ids, m, t)
+        for blocks in (1, 5):
+            got = {(r.id, r.other_id): r.sim for r in similarity.cosine_pairs_dense(
+                df, threshold=t, num_blocks=blocks, by_direction=True).collect()}
+            assert got.keys() == want.keys(), (t, blocks)
+            assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_direction_blocks_halve_the_cost_on_clustered_vectors(spark):
+    m = _clustered(6000, 32, 20, 0.25)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, vector array<double>")
+    unit = similarity.normalize_dense(df, "id", "vector")
+    _, plain, sent = similarity.pair_work(similarity.block_units(unit, 0.6, 12, by_direction=False))
+    pairs, pruned, fewer = similarity.pair_work(similarity.block_units(unit, 0.6, 12))
+    assert pruned < plain / 2 and fewer < sent / 2 and pairs > 0
+    # vectors without structure keep hashed blocks: the sample says that pruning does not pay
+    flat = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.random.default_rng(1).normal(size=(3000, 32)))],
+                                 "id int, vector array<double>")
+    flat = similarity.normalize_dense(flat, "id", "vector")
+    assert similarity.pair_work(similarity.block_units(flat, 0.6, 4))[0] == 10
+
+
+def test_no_vectors_and_one_vector(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.0, 0.0])], "id int, vector array<double>")
+    for forced in (None, True):
+        assert similarity.cosine_pairs_dense(df, by_direction=forced).count() == 0
+        assert similarity.cosine_pairs_dense(df.limit(0), by_direction=forced).count() == 0
+
+
+def test_a_frequent_dimension_yields_few_candidates(spark):
+    """All vectors share one dimension: candidates follow the similar pairs, not its square."""
+    rng = np.random.default_rng(9)
+    n = 1500
+    dense = np.zeros((n, 402))
+    dense[:, 0] = rng.uniform(0.5, 0.9, n)
+    for i in range(n):
+        dense[i, 1 + rng.choice(400, 3, replace=False)] = rng.uniform(0.5, 1.5, 3)
+    dense[50:60] = dense[40:50] * 3
+    rows = [(i, int(d), float(dense[i, d])) for i in range(n) for d in np.flatnonzero(dense[i])]
+    df = spark.createDataFrame(rows, "id int, dim int, w double")
+    entries = similarity._entries(similarity.normalize_sparse(df)).cache()
+    candidates = similarity.candidate_rows(entries, 0.6).count()
+    want = _brute_dense(list(range(n)), dense, 0.6)
+    assert candidates < n * n / 2 / 50
+    got = {(r.id, r.other_id): r.sim for r in similarity.cosine_pairs_sparse(df, threshold=0.6).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_sparse_vectors_at_the_bounds(spark):
+    rows = [(1, 1, 3.0), (1, 2, 4.0), (2, 1, 3.0), (2, 2, 4.0), (3, 1, 1.0), (4, 2, 1.0), (5, 3, 2.0), (6, 3, 5.0), (6, 1, 1e-9)]
+    df = spark.createDataFrame(rows, "id int, dim int, w double")
+    for t in (-1.0, 0.0, 0.59, 0.6, 0.61, 0.79, 0.8, 0.999999, 1.0):
+        for collapse in (True, False):
+            got = {(r.id, r.other_id): round(r.sim, 9) for r in similarity.cosine_pairs_sparse(
+                df, threshold=t, collapse_identical=collapse).collect() if r.sim > t + 1e-12}
+            unit = {i: {d: w for j, d, w in rows if j == i} for i in range(1, 7)}
+            want = {}
+            for i, a in unit.items():
+                for j, b in unit.items():
+                    s = sum(w * b.get(d, 0) for d, w in a.items()) / np.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+                    if i != j and s > max(t, 0) + 1e-12 and set(a) & set(b):
+                        want[i, j] = round(s, 9)
+            assert got == want, (t, collapse)
