@@ -40,7 +40,7 @@ from pickwise.llm.storage import stored
 
 MIN_DOCS, TOP = 3, 200
 UNIT = 1_000_000_000
-HELD_TERMS = 200_000  # distinct terms a task holds before it hands them on
+HELD_TERMS = 500_000  # distinct terms a task holds before it hands them on, about 100 MB
 SOURCE_BLOCK = 128  # sources whose counts stand in one profile
 PAIR_CHUNK = 1 << 20  # products of two profiles evaluated together
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -49,32 +49,29 @@ GROUP = ["lang", "source"]
 
 def count_words(batches):
     """(lang, source, text as bytes) -> (lang, source, term, n, docs), partial sums."""
+    one_doc = 1 << 40  # both counts of a term in one number: occurrences below, documents above
     held: dict = {}
     size = 0
 
     def flush():
         for (lang, source), terms in held.items():
-            items = list(terms.items())
-            for at in range(0, len(items), 50_000):
-                part = items[at:at + 50_000]
+            names, sums = list(terms), np.fromiter(terms.values(), np.int64, len(terms))
+            for at in range(0, len(names), 50_000):
+                part = names[at:at + 50_000]
+                some = sums[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), pa.array([source] * len(part)),
-                     pa.array([t for t, _ in part], pa.binary()), pa.array([c[0] for _, c in part], pa.int64()),
-                     pa.array([c[1] for _, c in part], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(part)), pa.repeat(pa.scalar(source, pa.string()), len(part)),
+                     pa.array(part, pa.binary()), pa.array(some % one_doc), pa.array(some // one_doc)],
+                    names=["lang", "source", "term", "n", "docs"])
     for batch in batches:
         langs, sources, texts = (batch.column(c) for c in range(3))
         for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts):
             if (lang, source) not in held:
                 size += 1
             terms = held.setdefault((lang, source), {})
-            before = len(terms)
+            before, get = len(terms), terms.get
             for term, n in Counter(text.as_py().translate(LETTERS).split()).items():
-                have = terms.get(term)
-                if have is None:
-                    terms[term] = [n, 1]
-                else:
-                    have[0] += n
-                    have[1] += 1
+                terms[term] = get(term, 0) + n + one_doc
             size += len(terms) - before
             if size > HELD_TERMS:
                 yield from flush()
@@ -98,8 +95,15 @@ def _plain(c: str) -> Column:
 
 def _share(count: str, total: str, v: str) -> Column:
     """1 + floor(10^9 (count + 1) / (total + v)), exact; null where there is nothing to share."""
-    return F.expr(f"if({total} + {v} = 0, null, 1L + cast({UNIT} as decimal(10,0)) "
-                  f"* (cast({count} as decimal(19,0)) + 1) div (cast({total} as decimal(19,0)) + {v}))")
+    return _share_of(F.col(count), F.col(total), F.col(v))
+
+
+def _share_of(count: Column, total: Column, v: Column) -> Column:
+    whole = total + v
+    # below 9 * 10^9 occurrences the numerator is a long, beyond that a decimal
+    small = F.call_function("div", (count + 1) * F.lit(UNIT), whole)
+    large = F.call_function("div", (count.cast("decimal(19,0)") + 1) * F.lit(UNIT).cast("decimal(10,0)"), whole.cast("decimal(19,0)"))
+    return F.when(whole == 0, F.lit(None)).when(count < F.lit(9_000_000_000), 1 + small).otherwise(1 + large)
 
 
 def _f(p: str, q: str) -> Column:
@@ -161,30 +165,36 @@ def _common(batches):
     yield from emit()
 
 
-def _pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, source, item, value): the sum of f over all kept terms for every two sources of a language."""
-    own = kept.join(groups.select(*GROUP, "idx", "total", "v", "p0"), GROUP).select(
-        "lang", "source", "term", "idx", _share("n", "total", "v").alias("p"), "p0")
-    own = own.withColumn("blk", F.expr(f"idx div {SOURCE_BLOCK}").cast("int"))
+def _profiles(shares: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, i, j, left, right, terms): how many terms have these shares over two source blocks, i <= j."""
     blocks = groups.groupBy("lang").agg((F.expr(f"max(idx) div {SOURCE_BLOCK}") + 1).cast("int").alias("blocks"))
-    parts = (own.groupBy("lang", "term", "blk").agg(F.sort_array(F.collect_list(F.struct("idx", "p", "p0"))).alias("part"))
-             .join(blocks, "lang").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    units = (parts.groupBy("lang", "term", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-             .agg(F.max(F.when(F.col("blk") == F.least("blk", "other"), F.col("part"))).alias("left"),
-                  F.max(F.when(F.col("blk") == F.greatest("blk", "other"), F.col("part"))).alias("right")))
-    profiles = (units.filter("left is not null and right is not null and (i <> j or size(left) > 1)")
-                .groupBy("lang", "i", "j", "left", "right").agg(F.count("*").alias("terms")))
-    both = (profiles.mapInArrow(_common, "lang string, a long, b long, part long").filter("a <> b")
+    if (blocks.agg(F.max("blocks")).first()[0] or 1) == 1:  # every block is a whole language: it meets itself only
+        units = shares.select("lang", F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("part").alias("left"),
+                              F.col("part").alias("right"))
+    else:
+        i, j = F.least("blk", "other"), F.greatest("blk", "other")
+        units = (shares.join(blocks, "lang").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .groupBy("lang", "term", i.alias("i"), j.alias("j"))
+                 .agg(F.max(F.when(F.col("blk") == i, F.col("part"))).alias("left"),
+                      F.max(F.when(F.col("blk") == j, F.col("part"))).alias("right")))
+    return (units.filter("left is not null and right is not null and (i <> j or size(left) > 1)")
+            .groupBy("lang", "i", "j", "left", "right").agg(F.count("*").alias("terms")))
+
+
+def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, source, item, value): the sum of f over all kept terms for every two sources of a language."""
+    both = (_profiles(shares, groups).mapInArrow(_common, "lang string, a long, b long, part long").filter("a <> b")
             .groupBy("lang", "a", "b").agg(_total("part").alias("part")))
 
-    cells = own.groupBy("lang", "idx", "p", "p0").agg(F.count("*").alias("terms"))
+    cells = (shares.select("lang", F.explode("part").alias("s")).select("lang", "s.*")
+             .groupBy("lang", "idx", "p", "p0").agg(F.count("*").alias("terms")))
     other = groups.select("lang", F.col("idx").alias("o"), F.col("p0").alias("o0"))
-    facing = cells.join(other, "lang").filter("idx <> o")
-    sided = facing.groupBy("lang", "idx", "o").agg(
+    sided = cells.join(other, "lang").filter("idx <> o").groupBy("lang", "idx", "o").agg(
         _total((_f("p", "o0") - _f("p0", "o0")) * F.col("terms")).alias("as_group"),
         _total((_f("o0", "p") - _f("o0", "p0")) * F.col("terms")).alias("as_item"))
-    sided = sided.select("lang", F.col("idx").alias("a"), F.col("o").alias("b"), F.col("as_group").alias("part")).union(
-        sided.select("lang", F.col("o").alias("a"), F.col("idx").alias("b"), F.col("as_item").alias("part")))
+    sided = sided.select("lang", F.explode(F.array(
+        F.struct(F.col("idx").alias("a"), F.col("o").alias("b"), F.col("as_group").alias("part")),
+        F.struct(F.col("o").alias("a"), F.col("idx").alias("b"), F.col("as_item").alias("part")))).alias("s")).select("lang", "s.*")
     every = groups.select("lang", F.col("idx").alias("a"), "source", "v", "p0").join(
         groups.select("lang", F.col("idx").alias("b"), F.col("source").alias("item"), F.col("p0").alias("q0")), "lang").filter(
         "a <> b")
@@ -196,42 +206,60 @@ def _pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _terms(kept: DataFrame, groups: DataFrame, top: int) -> DataFrame:
     """(lang, source, item, value, rank): a group's terms above their language's share, to rank ``top``."""
-    cells = (kept.groupBy(*GROUP, "n", "lang_n").agg(F.count("*").alias("terms"))
-             .join(groups.select(*GROUP, "total", "lang_total", "v"), GROUP)
+    each = kept.select("lang", "term", "lang_n", F.explode("part").alias("s")).select("lang", "term", "lang_n", "s.idx", "s.n")
+    key = ["lang", "idx"]
+    cells = (each.groupBy(*key, "n", "lang_n").agg(F.count("*").alias("terms"))
+             .join(groups.select(*key, "total", "lang_total", "v"), key)
+             # p > q needs (n + 1) / (total + v) > (lang_n + 1) / (lang_total + v); doubles leave a margin
+             .filter((F.col("n") + 1.0) / (F.col("total") + F.col("v"))
+                     > (F.col("lang_n") + 1.0) / (F.col("lang_total") + F.col("v")) * (1 - 1e-12))
              .withColumn("p", _share("n", "total", "v")).withColumn("q", _share("lang_n", "lang_total", "v"))
-             .filter("p > q").withColumn("value", _f("p", "q")).select(*GROUP, "n", "lang_n", "terms", "value"))
-    by_value = Window.partitionBy(*GROUP).orderBy(F.desc("value"))
-    values = (cells.groupBy(*GROUP, "value").agg(F.sum("terms").alias("terms"))
+             .filter("p > q").withColumn("value", _f("p", "q")).select(*key, "n", "lang_n", "terms", "value"))
+    by_value = Window.partitionBy(*key).orderBy(F.desc("value"))
+    values = (cells.groupBy(*key, "value").agg(F.sum("terms").alias("terms"))
               .withColumn("place", F.row_number().over(by_value)).filter(F.col("place") <= top)
               .withColumn("before", F.sum("terms").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("terms"))
-              .filter(F.col("before") < top).select(*GROUP, "value", "before"))
-    wanted = cells.join(values, [*GROUP, "value"]).select(*GROUP, "n", "lang_n", "value", "before")
-    within = Window.partitionBy(*GROUP, "value").orderBy("term")
-    return (kept.join(wanted, [*GROUP, "n", "lang_n"])
+              .filter(F.col("before") < top).select(*key, "value", "before"))
+    wanted = cells.join(values, [*key, "value"]).select(*key, "n", "lang_n", "value", "before")
+    within = Window.partitionBy(*key, "value").orderBy("term")
+    return (each.join(wanted, [*key, "n", "lang_n"])
             .withColumn("nth", F.row_number().over(within)).filter(F.col("nth") <= top)
             .withColumn("rank", (F.col("before") + F.col("nth")).cast("int")).filter(F.col("rank") <= top)
+            .join(groups.select(*key, "source"), key)
             .select(*GROUP, F.col("term").alias("item"), "value", "rank"))
 
 
 def audit_sources(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, text_col: str = "text",
                   lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank); part 'pair' compares sources, 'term' lists a source's own terms."""
-    counts = term_counts(docs, text_col, lang_col, source_col)
-    same = Window.partitionBy("lang", "term")
-    kept = stored(counts.withColumn("lang_docs", F.sum("docs").over(same)).withColumn("lang_n", F.sum("n").over(same))
-                  .withColumn("first", F.col("source") == F.min("source").over(same))
-                  .filter(F.col("lang_docs") >= min_docs).select(*GROUP, "term", "n", "lang_n", "first"), "kept-terms")
-    sums = kept.groupBy(*GROUP).agg(F.sum("n").alias("total"), F.sum(F.col("first").cast("long")).alias("own"))
     lang = Window.partitionBy("lang")
-    found = docs.select(_plain(lang_col).alias("lang"), _plain(source_col).alias("source")).distinct()
-    groups = stored(
-        found.join(sums, GROUP, "left").na.fill(0, ["total", "own"])
-        .withColumn("v", F.sum("own").over(lang)).withColumn("lang_total", F.sum("total").over(lang))
-        .withColumn("idx", (F.row_number().over(lang.orderBy("source")) - 1).cast("long"))
-        .withColumn("zero", F.lit(0)).withColumn("p0", _share("zero", "total", "v"))
-        .select(*GROUP, "idx", "total", "v", "lang_total", "p0"), "term-groups")
+    numbers = stored(docs.select(_plain(lang_col).alias("lang"), _plain(source_col).alias("source")).distinct()
+                     .withColumn("idx", (F.row_number().over(lang.orderBy("source")) - 1).cast("long"))
+                     .withColumn("blk", F.expr(f"idx div {SOURCE_BLOCK}").cast("int")), "term-sources")
+    # a term's counts over a block of sources stand in one row; the sums over its blocks need no further exchange
+    same = Window.partitionBy("lang", "term")
+    kept = (term_counts(docs, text_col, lang_col, source_col).join(numbers, GROUP)
+            .repartition("lang", "term").groupBy("lang", "term", "blk")
+            .agg(F.sort_array(F.collect_list(F.struct("idx", "n"))).alias("part"), F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    kept = stored(kept.withColumn("lang_docs", F.sum("docs").over(same)).withColumn("lang_n", F.sum("n").over(same))
+                  .withColumn("first", F.col("blk") == F.min("blk").over(same))
+                  .filter(F.col("lang_docs") >= min_docs).select("lang", "term", "blk", "part", "lang_n", "first"), "kept-terms")
+    sums = (kept.select("lang", F.explode("part").alias("s")).groupBy("lang", F.col("s.idx").alias("idx"))
+            .agg(F.sum("s.n").alias("total")))
+    langs = kept.filter("first").groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    groups = stored(numbers.join(sums, ["lang", "idx"], "left").join(langs, "lang", "left")
+                    .na.fill(0, ["total", "v", "lang_total"])
+                    .withColumn("zero", F.lit(0)).withColumn("p0", _share("zero", "total", "v"))
+                    .select(*GROUP, "idx", "blk", "total", "v", "lang_total", "p0"), "term-groups")
+    # the totals of a block, at most SOURCE_BLOCK of them, in the order of the sources
+    totals = groups.groupBy("lang", "blk").agg(
+        F.sort_array(F.collect_list(F.struct("idx", "total", "p0"))).alias("own"), F.max("v").alias("v"))
+    shares = kept.join(totals, ["lang", "blk"]).select("lang", "term", "blk", F.transform("part", lambda s: F.struct(
+        s["idx"].alias("idx"),
+        _share_of(s["n"], F.get(F.col("own"), (s["idx"] % SOURCE_BLOCK).cast("int"))["total"], F.col("v")).alias("p"),
+        F.get(F.col("own"), (s["idx"] % SOURCE_BLOCK).cast("int"))["p0"].alias("p0"))).alias("part"))
     order = Window.partitionBy(*GROUP).orderBy(F.desc("value"), "item")
-    pairs = _pairs(kept, groups).withColumn("rank", F.row_number().over(order))
+    pairs = _pairs(shares, groups).withColumn("rank", F.row_number().over(order))
     columns = [*GROUP, "part", "item", "value", "rank"]
     return (pairs.withColumn("part", F.lit("pair")).select(*columns)
             .union(_terms(kept, groups, top).withColumn("part", F.lit("term")).select(*columns)))
