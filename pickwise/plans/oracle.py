@@ -301,7 +301,7 @@ WITH w AS (
 n AS (SELECT u, sqrt(sum(w * w)) AS n FROM w GROUP BY 1),
 dots AS (SELECT a.u AS u1, b.u AS u2, sum(a.w * b.w) AS dot FROM w a JOIN w b ON a.d = b.d AND a.u <> b.u GROUP BY 1, 2)
 SELECT u1 AS user_id, u2 AS other_user_id, round(dot / (n1.n * n2.n), 6) AS sim
-FROM dots JOIN n n1 ON n1.u = u1 JOIN n n2 ON n2.u = u2 WHERE dot / (n1.n * n2.n) > 0.3"""
+FROM dots JOIN n n1 ON n1.u = u1 JOIN n n2 ON n2.u = u2 WHERE dot / (n1.n * n2.n) > 0.1"""
 
 _LISTS = SQL["content_recs_exact"].replace("SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score", """
 SELECT p1 AS product_id, p2 AS rec_product_id, round(d / (n1.n * n2.n), 6) AS score,
