@@ -1,10 +1,11 @@
 """MinHash near-dedup: universal hash minima, banding, verification, connected components.
 
 A document's set holds its distinct 5-word shingles (lower-cased in A-Z, words
-cut at ASCII blanks). Documents with equal sets form a class and only its
-smallest id goes on. ``BANDS`` x ``ROWS`` multiply-shift minima per class
-representative are cut into bands; representatives that share a band are
-candidates. Links are confirmed on the full sets.
+cut at ASCII blanks). Documents with equal sets form a class, which gets a number
+and is compared once, by the text of its smallest id. ``BANDS`` x ``ROWS``
+multiply-shift minima per class are cut into bands; classes that share a band are
+candidates. Links are confirmed on the full sets. In the end classes that share an
+id are joined, and components are named after their smallest id.
 
 Candidates are compared in two passes, so that a large group of near copies
 never spells out its pairs:
@@ -29,8 +30,9 @@ refuted by them but never gains similarity.
 Defined cases: a null or empty text, and one of blanks only, has an empty set,
 is linked with nothing and is its own component; a text of fewer words than a
 shingle has one shingle, the whole sequence; rows with equal ids share one
-component, and each keeps its own set size; a null id is kept as a row without
-links; an empty table gives no rows; other columns are ignored.
+component, which all their texts link to others, and each keeps its own set size;
+a null id is kept as a row without links, and its component is null; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -89,13 +91,13 @@ def _band_keys(low: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-SIGNED = "id long, n_shingles long, digest binary, bands array<long>, signature binary"
+SIGNED = "id long, mark long, n_shingles long, digest binary, bands array<long>, signature binary"
 
 
 def _sign(batches):
     hashes = WordHashes()
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        ids, marks, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         sets = [shingle_set(hashes.of(blank_words(t or b"")), SHINGLE) for t in texts]
         full = [s for s in sets if len(s)]
         low = minima(full) if full else np.empty((0, BANDS * ROWS), np.uint64)
@@ -103,11 +105,11 @@ def _sign(batches):
         # one byte of each minimum suffices for the signature: unequal minima agree in it once in 256 times
         short = iter(np.ascontiguousarray((low >> np.uint64(24)).astype(np.uint8)))
         yield pa.RecordBatch.from_arrays([
-            ids, pa.array([len(s) for s in sets], pa.int64()),
+            ids, marks, pa.array([len(s) for s in sets], pa.int64()),
             pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
             pa.array([next(bands) if len(s) else None for s in sets], pa.list_(pa.int64())),
             pa.array([next(short).tobytes() if len(s) else None for s in sets], pa.binary()),
-        ], names=["id", "n_shingles", "digest", "bands", "signature"])
+        ], names=["id", "mark", "n_shingles", "digest", "bands", "signature"])
 
 
 def _confirm(threshold: tuple[int, int]):
@@ -253,12 +255,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: tuple[int, int] = (100, 85)) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row; the threshold (p, q) means p * shared >= q * union."""
     least = SIGNATURE_LEAST * threshold[1] / threshold[0]
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).select(
+        "id", F.xxhash64("text").alias("mark"), "text")
     signed = stored(texts.mapInArrow(_sign, SIGNED), "minhash-signed")
+    # a class is a set; its number is fixed by being written
     classes = stored(signed.filter("digest is not null and id is not null")
-                     .groupBy("digest").agg(F.min("id").alias("rep")), "minhash-classes")
-    signed_reps = signed.join(classes, "digest").filter(F.col("id") == F.col("rep"))
-    rows = signed_reps.select("id", F.explode("bands").alias("band"))
+                     .groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("rep"))
+                     .select("digest", F.col("rep.id").alias("rep"), F.col("rep.mark").alias("rep_mark"),
+                             F.monotonically_increasing_id().alias("node")), "minhash-classes")
+    signed_reps = (signed.join(classes, "digest").filter((F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
+                   .drop("id").withColumnRenamed("node", "id"))
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(id, text) of classes, one row each."""
+        named = classes.join(nodes.select(F.col("id").alias("node")), "node").select("node", "rep", "rep_mark")
+        return (texts.join(named, (F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
+                .select(F.col("node").alias("id"), "text").dropDuplicates(["id"]))
+    rows = signed_reps.dropDuplicates(["id"]).select("id", F.explode("bands").alias("band"))
     buckets = (rows.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("top"), F.count("*").alias("n"))
                .filter(F.col("pivot") < F.col("top")).select("band", "pivot", "n"))
     members = stored(rows.join(stored(buckets, "minhash-buckets"), "band"), "minhash-members")
@@ -269,7 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         pairs = stored(pairs, f"{name}-pairs")
         wanted = stored(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), f"{name}-ids")
-        held = stored(texts.join(wanted, "id", "left_semi"), f"{name}-texts")
+        held = stored(texts_of(wanted), f"{name}-texts")
         both = _attach(_attach(pairs, "v", held, "text"), "u", held, "text")
         return stored(both.select("u", "v", "text_u", "text_v")
                       .mapInArrow(_confirm(threshold), "u long, v long"), f"{name}-links")
@@ -290,15 +303,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     flagged = stored(block_pairs(suspects.join(signatures, "id"), "band", "n", BLOCK_ROWS, carried)
                      .mapInArrow(_flag(least), "band long, id long").distinct(), "minhash-flagged")
     wanted = stored(flagged.select("id").distinct(), "minhash-second-ids")
-    held = stored(texts.join(wanted, "id", "left_semi"), "minhash-second-texts")
+    held = stored(texts_of(wanted), "minhash-second-texts")
     closer = suspects.join(flagged, ["band", "id"], "left_semi").join(signatures, "id").join(held, "id")
     second = (block_pairs(closer, "band", "n", BLOCK_ROWS, [*carried, "text"])
               .mapInArrow(_confirm_units(least, threshold), "u long, v long").distinct())
-    edges = first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second)
-    comps = connected_components(edges)
-
-    out = (signed.select("id", "n_shingles", "digest").join(classes, "digest", "left")
-           .join(comps, F.col("rep") == F.col("node"), "left")
+    # an id with several sets links them
+    mine = stored(signed.filter("digest is not null and id is not null").select("id", "digest").distinct()
+                  .join(classes.select("digest", "node"), "digest").groupBy("id")
+                  .agg(F.min("node").alias("u"), F.max("node").alias("top"), F.collect_set("node").alias("nodes"))
+                  .filter("u < top").select("u", F.explode("nodes").alias("v")).filter("u < v").distinct(), "minhash-ids-of-sets")
+    edges = first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second).union(mine)
+    comps = stored(connected_components(edges), "minhash-components")
+    smallest = (comps.join(classes.select("node", "rep"), "node").groupBy("component")
+                .agg(F.min("rep").alias("component_id")))
+    named = classes.join(comps.join(smallest, "component").select("node", "component_id"), "node", "left").select(
+        "digest", F.coalesce("component_id", "rep").alias("component_id"))
+    out = (signed.select("id", "n_shingles", "digest").join(named, "digest", "left")
            .select(F.col("id").alias(id_col), "n_shingles",
-                   F.coalesce("component", "rep", "id").alias("component_id")))
+                   F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))

@@ -57,3 +57,20 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in rows if r["doc_id"]) == [(2, 2), (4, 2), (4, 2)]
     assert [r["n_shingles"] for r in rows if r["doc_id"] is None] == [1]
     assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_all_texts_of_an_id_link_it(spark):
+    rng = random.Random(6)
+
+    def near(words):
+        w = list(words)
+        w[rng.randrange(len(w))] = "changed"
+        return " ".join(w)
+    a, b = ([f"w{rng.randrange(9999)}" for _ in range(120)] for _ in range(2))
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, " ".join(b)), (5, "on its own words here now"),
+            (None, " ".join(a)), (None, "a b c d e f g")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()]
+        assert sorted(got, key=str) == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False),
+                                               (5, 5, True), (None, None, True), (None, None, True)], key=str)
