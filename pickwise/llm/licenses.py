@@ -20,8 +20,9 @@ Two things are found, both by built-in expressions only:
   which changes no overlap.
 
 Defined cases: a null text is empty; an empty text has no words and no labels;
-a null id is matched like a value; rows with equal ids share their template
-labels; an empty table gives no rows; other columns are ignored.
+a null id is matched like a value; rows with equal or null ids are told apart by
+a digest of their texts, so no text gets the labels of another; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,8 +96,8 @@ def _n_words(words: Column) -> Column:
 
 def phrase_scan(docs: DataFrame, id_col: str, text_col: str,
                 phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """(id, n_words, n_base, first_word, last_word, base array<string>) per row."""
-    words = docs.select(F.col(id_col).alias("id"),
+    """(id, mark, n_words, n_base, first_word, last_word, base array<string>) per row."""
+    words = docs.select(F.col(id_col).alias("id"), text_mark(text_col).alias("mark"),
                         spaced(ascii_lower(F.coalesce(F.col(text_col), F.lit("")))).alias("w"))
     n_words, counts, firsts, lasts, labels = _n_words(F.col("w")), [], [], [], []
     for phrase, label in phrases.items():
@@ -109,11 +110,16 @@ def phrase_scan(docs: DataFrame, id_col: str, text_col: str,
         lasts.append(F.when(there, n_words - behind - len(phrase.split())))
         labels.append(F.when(there, F.lit(label)))
     return words.select(
-        "id", n_words.alias("n_words"), sum(counts[1:], counts[0]).cast("long").alias("n_base"),
+        "id", "mark", n_words.alias("n_words"), sum(counts[1:], counts[0]).cast("long").alias("n_base"),
         F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"),
         F.array_compact(F.array(*labels)).alias("base"))
 
 
+def text_mark(text_col: str) -> Column:
+    """What tells texts of one id apart: a digest of 128 bits."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+
+
 def _tokens(lowered) -> Column:
     return F.split(F.trim(F.regexp_replace(lowered, _GAP, " ")), " ")
 
@@ -127,7 +133,7 @@ def window_size(template: str) -> int:
 
 def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMPLATES,
                      threshold: float = THRESHOLD) -> DataFrame:
-    """(id, block, template, label, containment) of every block that reaches the threshold.
+    """(id, mark, block, template, label, containment) of every block that reaches the threshold.
 
     Lines count up from 0, windows down from -1.
     """
@@ -136,30 +142,30 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMP
             for i, (label, text) in enumerate(templates)]
     need = {i: math.ceil(threshold * len(words) - 1e-9) for i, _, words in sets}
     vocabulary = sorted({w for _, _, words in sets for w in words})
-    lines = docs.select(F.col(id_col).alias("id"),
+    lines = docs.select(F.col(id_col).alias("id"), text_mark(text_col).alias("mark"),
                         F.posexplode(F.split(ascii_lower(F.col(text_col)), "\n")).alias("block", "raw"))
     known = F.array(*map(F.lit, vocabulary))
     window = {i: window_size(text) for i, (_, text) in enumerate(templates)}
     # the words once per row, as a column of its own: inside the lambda they would be cut for every window
     flows = (docs.filter(F.contains(F.col(text_col), F.lit("\n")))
-             .select(F.col(id_col).alias("id"), _tokens(ascii_lower(F.col(text_col))).alias("words")))
+             .select(F.col(id_col).alias("id"), text_mark(text_col).alias("mark"), _tokens(ascii_lower(F.col(text_col))).alias("words")))
 
     def windows(size: int) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - size // 2 - 1), F.lit(size // 2))
         own = F.array(*map(F.lit, sorted({w for i, _, words in sets if window[i] == size for w in words})))
         return F.transform(starts, lambda k: F.struct(
             F.lit(size).alias("size"), F.array_intersect(F.slice("words", k + 1, size), own).alias("b")))
-    passages = (flows.select("id", F.posexplode(F.concat(*map(windows, sorted(set(window.values()))))).alias("at", "w"))
-                .select("id", (-1 - F.col("at")).alias("block"), "w.size", "w.b"))
+    passages = (flows.select("id", "mark", F.posexplode(F.concat(*map(windows, sorted(set(window.values()))))).alias("at", "w"))
+                .select("id", "mark", (-1 - F.col("at")).alias("block"), "w.size", "w.b"))
     blocks = stored(
-        lines.select("id", "block", F.lit(0).alias("size"), F.array_intersect(_tokens("raw"), known).alias("b"))
+        lines.select("id", "mark", "block", F.lit(0).alias("size"), F.array_intersect(_tokens("raw"), known).alias("b"))
         .union(passages).filter(F.size("b") >= min(need.values())), "license-blocks")
     # at most one row per template word
     seen = {r["t"]: r["n"] for r in blocks.select(F.explode("b").alias("t"))
             .groupBy("t").agg(F.count("*").alias("n")).collect()}
     order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}
     rank = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, order[w])])
-    ranked = blocks.select("id", "block", "size", F.array_sort(F.transform("b", lambda w: rank[w])).alias("b"))
+    ranked = blocks.select("id", "mark", "block", "size", F.array_sort(F.transform("b", lambda w: rank[w])).alias("b"))
     prefixes, whole = [], []
     for i, label, words in sets:
         ranks = sorted(order[w] for w in words)
@@ -167,7 +173,7 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMP
         prefixes += [(r, i, need[i], window[i], len(ranks), j) for j, r in enumerate(ranks[:len(ranks) - need[i] + 1])]
     wanted = F.array(*[F.lit(r) for r in sorted({p[0] for p in prefixes})])
     heads = (ranked.filter(F.arrays_overlap("b", wanted))
-             .select("id", "block", "size", "b", F.size("b").alias("nb"), F.posexplode("b").alias("i", "rank")))
+             .select("id", "mark", "block", "size", "b", F.size("b").alias("nb"), F.posexplode("b").alias("i", "rank")))
     prefix = F.broadcast(spark.createDataFrame(  # as long as the templates, not the data
         prefixes, "rank int, template int, need int, window int, nt int, j int"))
     candidates = (heads.join(prefix, "rank").filter((F.col("size") == 0) | (F.col("size") == F.col("window")))
@@ -176,9 +182,9 @@ def template_matches(docs: DataFrame, id_col: str, text_col: str, templates=TEMP
                           + F.least("i", "j") >= F.col("need")))
     full = F.broadcast(spark.createDataFrame(whole, "template int, label string, n int, t array<int>"))
     shared = F.size(F.array_intersect("b", "t"))
-    return (candidates.select("id", "block", "b", "template").distinct()
+    return (candidates.select("id", "mark", "block", "b", "template").distinct()
             .join(full, "template").filter(shared >= F.col("n"))
-            .select("id", "block", "template", "label", (shared / F.size("t")).alias("containment")))
+            .select("id", "mark", "block", "template", "label", (shared / F.size("t")).alias("containment")))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -190,10 +196,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     that reached the threshold, else 0.
     """
     found = (template_matches(docs, id_col, text_col, templates, threshold)
-             .groupBy(F.col("id").alias("_id"))
+             .groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
              .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")))
     base = phrase_scan(docs, id_col, text_col, phrases)
-    out = base.join(found, base["id"].eqNullSafe(found["_id"]), "left")
+    out = base.join(found, base["id"].eqNullSafe(found["_id"]) & (base["mark"] == found["_mark"]), "left")
     every = F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))
     return out.select(
         F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word",

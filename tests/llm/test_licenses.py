@@ -84,3 +84,12 @@ def test_wrapped_headers_are_found(spark):
         assert set(filter(None, r["labels"].split(","))) == labels | base, docs[i]
         assert r["score"] == (1.0 if r["n_base"] else best), docs[i]
         assert i >= len(plain) or plain[i] in labels, docs[i]
+
+
+def test_texts_of_one_id_keep_labels_of_their_own(spark):
+    rows = [(None, "released under the mit license"), (None, "hello world"), (7, "plain"), (7, "licensed under cc by nc 4 0"),
+            (8, ""), (8, None), (8, "this work is licensed under a creative commons\nattribution 4 0 international license")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as mark")
+    got = sorted(((r["doc_id"], r["labels"], r["score"] > 0) for r in licenses.scan_licenses(df).collect()), key=str)
+    assert got == sorted([(None, "mit", True), (None, "", False), (7, "", False), (7, "cc-by,cc-by-nc", True),
+                          (8, "", False), (8, "", False), (8, "cc-by", True)], key=str)
