@@ -154,13 +154,18 @@ def held_out(id_col: str | Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> dict:
-    """Fit on at most ``sample_rows`` labelled rows outside the held-out fold, in a seeded random order."""
+    """Fit on at most ``sample_rows`` labelled ids outside the held-out fold, in a seeded random order.
+
+    An id with several texts gives one of them, by the smallest hash, so at most ``sample_rows`` rows are fitted.
+    """
     known = (labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label")))
     order = F.xxhash64("_id", F.lit(SEED))
     sample = known.withColumn("_order", order).orderBy("_order", "_id").limit(sample_rows)
     picked = (docs.join(F.broadcast(sample), docs[id_col] == F.col("_id"))  # sample_rows rows at most
-              .select("_order", "_label", F.col(text_col).cast("binary")))
+              .groupBy("_order", "_id", "_label")
+              .agg(F.min_by(F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(text_col)).cast("binary").alias("_text"))
+              .select("_order", "_label", "_text"))
 
     def terms(batches):
         codes = _Codes()

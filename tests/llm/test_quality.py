@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -53,3 +55,15 @@ def test_cosine_votes_equal_brute_force():
             continue  # a tie at the edge may fall either way
         w = np.maximum(cosine[order], 1e-6).astype(float) ** quality.SHARPNESS
         assert abs((w * model["labels"][order]).sum() / w.sum() - score) < 1e-4
+
+
+def test_a_hot_id_gives_one_row_to_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda sample: seen.append(len(sample)) or {})
+    good = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.range(2000).select(F.lit(good[0]).cast("long").alias("doc_id"), F.concat(F.lit("t "), "id").alias("text"))
+    docs = docs.union(spark.createDataFrame([(i, f"some text {i}") for i in good[1:]], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in good], "doc_id long, quality int")
+    quality.train(docs, labels, sample_rows=1000)
+    quality.train(docs, labels, sample_rows=2)
+    assert seen == [len(good), 2]
