@@ -17,8 +17,10 @@ Files are reached through ``pyarrow.fs``, by URI.
 
 Defined cases: a null payload is empty; a null id is written as an empty
 record id and read back as null; empty tables give a folder without archives
-and read back as no rows; a payload may hold any bytes, header values may not
-hold line breaks.
+and read back as no rows; a payload may hold any bytes; ids and addresses with line
+breaks or other control characters, or with blanks or angle brackets at an end,
+are written percent-encoded under a header that says so, and read back as they
+were.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import base64
 import hashlib
 import os
 import re
+import urllib.parse
 import uuid
 import zlib
 
@@ -73,6 +76,22 @@ def digest_of(sha: str) -> str:
     return base64.b32encode(bytes.fromhex(sha)).decode() if len(sha) == 40 else sha
 
 
+ENCODED = "X-Percent-Encoded"  # header: names of the headers whose values are percent-encoded
+_AWKWARD = re.compile(r"[\x00-\x1f\x7f]|^[\s<]|[\s>]$")
+
+
+def _header_values(row: dict, names: dict[str, str]) -> tuple[dict[str, str], list[str]]:
+    """Header values by column, and the headers that had to be percent-encoded."""
+    values, encoded = {}, []
+    for column, header in names.items():
+        value = row.get(column) or ""
+        if _AWKWARD.search(value):
+            value = urllib.parse.quote(value, safe="")
+            encoded.append(header.lower())
+        values[column] = value
+    return values, encoded
+
+
 def encode_record(row: dict) -> bytes:
     """One uncompressed record: headers, then the HTTP header and, unless a revisit, the payload."""
     payload = row.get("payload") or b""
@@ -81,13 +100,17 @@ def encode_record(row: dict) -> bytes:
     sha = digest_of(row["payload_digest"]) if revisit else digest(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length or 0}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <{row.get('record_id') or ''}>",
-            f"WARC-Date: {DATE}", f"WARC-Target-URI: {row.get('target_uri') or ''}",
+    value, encoded = _header_values(row, {"record_type": "WARC-Type", "record_id": "WARC-Record-ID",
+                                          "target_uri": "WARC-Target-URI", "refers_to": "WARC-Refers-To"})
+    head = ["WARC/1.1", f"WARC-Type: {value['record_type']}", f"WARC-Record-ID: <{value['record_id']}>",
+            f"WARC-Date: {DATE}", f"WARC-Target-URI: {value['target_uri']}",
             f"WARC-Payload-Digest: sha1:{sha}", "Content-Type: application/http; msgtype=response",
             f"Content-Length: {len(block)}"]
     if revisit:
         head[2:2] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                     f"WARC-Refers-To: <{row.get('refers_to') or ''}>"]
+                     f"WARC-Refers-To: <{value['refers_to']}>"]
+    if encoded:
+        head.append(f"{ENCODED}: {' '.join(encoded)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -143,7 +166,7 @@ class _Members:
 
 
 def _plain(value: str | None) -> str | None:
-    return value.strip("<>") or None if value is not None else None
+    return value.removeprefix("<").removesuffix(">") or None if value is not None else None
 
 
 def decode_records(stream, wanted, want_payload: bool = True):
@@ -154,6 +177,9 @@ def decode_records(stream, wanted, want_payload: bool = True):
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
         fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        for name in fields.get(ENCODED.lower(), "").split():
+            value = fields.get(name, "")
+            fields[name] = f"<{urllib.parse.unquote(value[1:-1])}>" if value[:1] == "<" else urllib.parse.unquote(value)
         row = {"record_type": fields["warc-type"], "record_id": _plain(fields.get("warc-record-id")),
                "target_uri": fields.get("warc-target-uri"), "refers_to": _plain(fields.get("warc-refers-to")),
                "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None}

@@ -64,3 +64,12 @@ def test_min_bytes_and_empty_table(spark, tmp_dir):
     kinds = {r["record_id"][-1]: r["record_type"] for r in warc.with_revisits(pages, "page_id", "html", min_bytes=5).collect()}
     assert kinds == {"1": "response", "2": "response", "3": "revisit", "4": "response"}
     assert warc.read_warc(spark, _write(spark, tmp_dir, [])).count() == 0
+
+
+def test_line_breaks_in_headers_come_back(spark, tmp_dir):
+    odd = ["http://a/\r\n\r\nx", "http://b/%0D%0A?q=1%20", " blank\t", "<angle>", "tab\there", "", None, "http://é/ü", "x\u2028y\x85z"]
+    rows = [(f"id {k}\r\n{k}" if k % 2 else f"<{k}>", "response", u, None, None, None, b"body %d" % k) for k, u in enumerate(odd)]
+    rows.append(("back", "revisit", "http://c/", "id 1\r\n1", "A" * 32, 6, None))
+    warc.write_warc(spark.createDataFrame(rows, warc.SCHEMA).repartition(2), f"{tmp_dir}/w")
+    got = {r["record_id"]: (r["target_uri"], r["refers_to"], r["payload"]) for r in warc.read_warc(spark, f"{tmp_dir}/w").collect()}
+    assert got == {i: (u or "", ref, bytearray(body) if body else None) for i, _, u, ref, _, _, body in rows}
