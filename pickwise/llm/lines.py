@@ -23,6 +23,7 @@ from pickwise.llm.storage import stored
 
 LG_K = 12  # 4096 registers: 1.6 % standard error
 NEAR = 0.25  # estimates within this share of the threshold are counted exactly
+SITE_SHARE, LEAST_SITES = 0.6, 3  # a line found on so large a part of the sites is boilerplate
 BLANKS = " \t\r"
 KEY = ["h1", "h2"]
 
@@ -31,6 +32,12 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
+def sites_needed(docs: DataFrame, site_col: str = "source", share: float = SITE_SHARE, least: int = LEAST_SITES) -> int:
+    """How many sites make a line boilerplate: a share of the distinct sites of ``docs``, ``least`` at least."""
+    sites = docs.agg(F.count_distinct(F.coalesce(F.col(site_col).cast("string"), F.lit("\0")))).first()[0]
+    return max(least, -(-sites * round(share * 100) // 100))
+
+
 def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """(id, mark, pos, h1, h2, site) of every non-blank line; ``mark`` is the text's hash."""
     lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"),

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pickwise.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+from pickwise.llm.lines import LEAST_SITES, SITE_SHARE
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BLANK = r"[^\x20\x09-\x0D]+"
-MIN_SITES = 12
 
 
 def _low(text: str) -> str:
@@ -160,7 +160,8 @@ WITH l AS (
 ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
 boiler AS (
   SELECT key, min({{'d': doc_id, 'p': pos}}) AS first FROM k WHERE key <> ''
-  GROUP BY key HAVING count(DISTINCT site) >= {MIN_SITES}
+  GROUP BY key HAVING count(DISTINCT site) >= (
+    SELECT greatest({LEAST_SITES}, ceil({SITE_SHARE} * count(DISTINCT coalesce(source, chr(0))))) FROM documents)
 ), cut AS (
   SELECT k.doc_id, k.pos, k.line, boiler.key IS NOT NULL AND {{'d': doc_id, 'p': pos}} <> boiler.first AS gone
   FROM k LEFT JOIN boiler USING (key)

@@ -28,8 +28,6 @@ from pickwise.session import delete_on_exit, scratch_path
 
 __all__ = ["QUERIES", "SQL"]
 
-MIN_SITES = 12  # a line found on so many sources is boilerplate
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
@@ -100,7 +98,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return lines.dedup_lines(docs, MIN_SITES).select("doc_id", "n_lines", "n_removed", "text")
+    return lines.dedup_lines(docs, lines.sites_needed(docs)).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,6 +122,10 @@ def repeats(docs, length=200):
     return out
 
 
+def sites_needed(sites):
+    return max(3, math.ceil(len(set(sites)) * 6 / 10))
+
+
 def spread(docs, min_sites):
     """[(id, text, site)] -> {id: (n_lines, n_removed, text)}; ids must differ."""
     sites, first = defaultdict(set), {}

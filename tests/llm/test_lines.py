@@ -41,3 +41,11 @@ def test_a_long_text_of_boilerplate_is_cut_in_linear_time(spark):
     df = spark.createDataFrame([(i, long + f"\nown {i}", f"s{i}") for i in range(3)], "doc_id long, text string, source string")
     out = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, 3).collect()}
     assert out[0].startswith("shared 0\n") and (out[1], out[2]) == ("own 1", "own 2")
+
+
+def test_threshold_follows_the_number_of_sites(spark):
+    def needed(sites):
+        return lines.sites_needed(spark.createDataFrame([(x,) for x in sites], "source string"))
+    for n in (1, 3, 5, 6, 10, 11, 20, 21):
+        assert needed([f"s{i}" for i in range(n)] * 2) == brute.sites_needed(range(n))
+    assert needed([None, "a", None, ""]) == 3 and needed([]) == 3

@@ -2,7 +2,6 @@ from collections import defaultdict
 
 import corpus_pipeline as cp
 from pickwise.llm import quality
-from pickwise.llm.queries import MIN_SITES
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 
@@ -25,7 +24,8 @@ def test_every_stage_equals_brute_force_on_its_input(spark, tmp_dir):
     scores = {r["doc_id"]: r["score"] for r in quality.score(docs.select("doc_id", "text"), model).collect()}
     assert good == {i: r for i, r in start.items() if scores[i] >= 0.5}
 
-    want = brute.spread([(i, r["text"], r["source"]) for i, r in good.items()], MIN_SITES)
+    want = brute.spread([(i, r["text"], r["source"]) for i, r in good.items()],
+                        brute.sites_needed(r["source"] for r in good.values()))
     assert {i: r["text"] for i, r in lines.items()} == {i: w[2] for i, w in want.items()}
 
     groups = brute.minhash([(i, r["text"]) for i, r in lines.items()])
