@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.llm import decontam, lines, minhash, mixing, quality
-from pickwise.llm.queries import MIN_SITES, table
+from pickwise.llm.queries import table
 from pickwise.llm.storage import prepare, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,7 +31,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found on many sources keep their first occurrence only; no document goes."""
     prepare(spark)
-    out = lines.dedup_lines(docs.select(*COLUMNS), MIN_SITES)
+    out = lines.dedup_lines(docs.select(*COLUMNS), lines.sites_needed(docs))
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*COLUMNS)
 
