@@ -17,6 +17,7 @@ from pickwise.llm.queries import table
 from pickwise.llm.storage import prepare, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR = (100, 80)  # 100 * shared shingles >= 80 * all: the stage has no contract of its own, so 0.8 holds
 ORACLE_SQL = None  # a fitted model and a seeded selection have no SQL form
 
 
@@ -37,7 +38,7 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays.
+    """Of each group of near copies (similarity ``NEAR`` or more) the document with the smallest id stays.
 
     Texts of one id are documents of their own, ordered by a hash; equal rows stay
     or go together, and documents without an id all stay.
@@ -45,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     prepare(spark)
     # nodes are texts of an id, by a 64-bit hash, so that another text of the same id is another document
     node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text")))
-    found = minhash.near_duplicates(docs.select(node.alias("doc_id"), "text"))
+    found = minhash.near_duplicates(docs.select(node.alias("doc_id"), "text"), threshold=NEAR)
     found = stored(found.select(F.col("doc_id").alias("_node"), F.col("component_id").alias("_group"))
                    .filter("_node is not null").distinct(), "pipeline-found")
     groups = (found.groupBy("_group").agg(F.min("_node").alias("a"), F.max("_node").alias("b"))
