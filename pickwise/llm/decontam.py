@@ -7,8 +7,9 @@ of fewer), the window's words are hit. Spans are maximal runs of hit words; a
 document whose hit words exceed the coverage limit is contaminated.
 
 The automaton is built on the driver and broadcast, so its size is checked: a
-benchmark of more than ``SHARD_WORDS`` words is split by item into shards that
-are scanned one after the other, and their spans are merged per document.
+benchmark of more than ``SHARD_WORDS`` words is split by item into shards, an
+item of more into pieces that share a window less one word, and the shards are
+scanned one after the other, their spans merged per document.
 
 Defined cases: a null or empty text has no words; an item without words has no
 window; items with equal texts all count; item ids are compared as strings, a
@@ -148,18 +149,26 @@ class SuffixAutomaton:
         return [tuple(s) for s in spans], names
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_words: int):
-    """Lists of (item name, words) of at most ``shard_words`` words each, an item at least."""
+def pieces(words: list[bytes], most: int, window: int) -> list[list[bytes]]:
+    """Words cut into runs of at most ``most`` that share ``window`` - 1 words, so that each window lies in one."""
+    if len(words) <= most:
+        return [words]
+    step = most - window + 1
+    return [words[at:at + most] for at in range(0, len(words) - window + 1, step)]
+
+
+def _shards(benchmark: DataFrame, item_col: str, text_col: str, shard_words: int, window: int):
+    """Lists of (item name, words) of at most ``shard_words`` words each; a longer item is cut into pieces."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.col(text_col).cast("binary").alias("text")).orderBy("item", "text")
     shard, held = [], 0
     for r in items.toLocalIterator():
-        words = alnum_words(bytes(r["text"] or b""))
-        if shard and held + len(words) > shard_words:
-            yield shard
-            shard, held = [], 0
-        shard.append((r["item"], words))
-        held += len(words)
+        for words in pieces(alnum_words(bytes(r["text"] or b"")), max(shard_words, 2 * window), window):
+            if shard and held + len(words) > shard_words:
+                yield shard
+                shard, held = [], 0
+            shard.append((r["item"], words))
+            held += len(words)
     yield shard
 
 
@@ -174,7 +183,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     schema = "id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>, mark binary"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     parts = []
-    for shard in _shards(benchmark, item_col, item_text_col, shard_words):
+    for shard in _shards(benchmark, item_col, item_text_col, shard_words, window):
         shared = spark.sparkContext.broadcast(vars(SuffixAutomaton(shard, window)))
 
         def run(batches, shared=shared):

@@ -46,8 +46,8 @@ def shingles(text):
     return frozenset([tuple(w)]) if len(w) < 5 else frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4))
 
 
-def minhash(docs):
-    """[(id, text)] -> {id: (n_shingles, component)}"""
+def minhash(docs, percent=85):
+    """[(id, text)] -> {id: (n_shingles, component)}, links from this similarity on"""
     sets = {i: shingles(t) for i, t in docs}
     holders = defaultdict(list)
     for i, s in sets.items():
@@ -60,7 +60,7 @@ def minhash(docs):
                 shared[min(ids[a], ids[b]), max(ids[a], ids[b])] += 1
     groups = Sets()
     for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             groups.join(a, b)
     return {i: (len(s), groups.find(i)) for i, s in sets.items()}
 

@@ -76,3 +76,21 @@ def test_a_contaminated_row_leaves_others_of_its_id_alone(spark):
         cut = [tuple(r) for r in decontam.decontaminate(docs, bench, action="cut", shard_words=words).collect()]
         assert sorted(cut, key=str) == sorted(
             [(1, "a"), (1, other), (1, other), (None, "b"), (None, other), (None, None), (2, "")], key=str)
+
+
+def test_a_long_item_is_cut_without_losing_a_window(spark):
+    words = [b"w%d" % (i % 97 + i // 50) for i in range(900)]
+    for most in (26, 27, 100, 888, 899, 900):
+        parts = decontam.pieces(words, most, 13)
+        assert all(13 <= len(p) <= most for p in parts)
+        assert {tuple(p[k:k + 13]) for p in parts for k in range(len(p) - 12)} == {
+            tuple(words[k:k + 13]) for k in range(888)}
+    text = b" ".join(words).decode()
+    cut = [text[200:420], text[3000:3300], " ".join(text.split()[20:34]), "w1 w2 w3 unrelated", text]
+    docs = spark.createDataFrame(list(enumerate(cut)), "doc_id long, text string")
+    items = spark.createDataFrame([("long", text), ("short", "w1 w2 w3")], "item_id string, text string")
+    want = brute.contamination(list(enumerate(cut)), [("long", text), ("short", "w1 w2 w3")])
+    for size in (300, 250_000):
+        got = {r["doc_id"]: (r["n_words"], r["n_hit"], set(r["items"]))
+               for r in decontam.scan(docs, items, shard_words=size).collect()}
+        assert got == want and all(len(r["items"]) == len(set(r["items"])) for r in decontam.scan(docs, items, shard_words=size).collect())

@@ -28,7 +28,7 @@ def test_every_stage_equals_brute_force_on_its_input(spark, tmp_dir):
                         brute.sites_needed(r["source"] for r in good.values()))
     assert {i: r["text"] for i, r in lines.items()} == {i: w[2] for i, w in want.items()}
 
-    groups = brute.minhash([(i, r["text"]) for i, r in lines.items()])
+    groups = brute.minhash([(i, r["text"]) for i, r in lines.items()], 80)
     assert set(unique) == {i for i, (_, c) in groups.items() if i == c}
 
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
