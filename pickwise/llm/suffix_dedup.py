@@ -36,10 +36,14 @@ more of them than ``CROWD``. Anchors of the few that do (the edges of a passage
 that stands in very many documents, with other surroundings in each) leave the
 merge, and the 200-byte strings around them are counted by two 64-bit hashes in
 an aggregation, which no single task has to hold. Equal strings have equal
-anchors, so both places of a match are always counted in the same way.
+anchors, so both places of a match are always counted in the same way. The
+strings with an anchor among their bytes ``CLASS`` j to ``CLASS`` (j + 1) - 1 share
+``CLASS_BYTES`` bytes around it, which are counted first, one row per j: only
+where these occur twice, the strings themselves are.
 
 Defined cases: a null text is empty; texts under 200 bytes lose nothing; rows
-with equal ids are documents of their own, told apart by their texts; a null id
+with equal ids are documents of their own, told apart by a 128-bit digest of their
+texts (inside the search a text goes by the number of its stored row); a null id
 is a value like any other; an empty table gives no rows; other columns are
 ignored. Matches never cross documents; strings are judged on the input.
 """
@@ -61,6 +65,8 @@ RUN_CONTEXTS = 100_000  # contexts sorted at once in a task
 RANGE_CONTEXTS = 40_000  # aimed at in one range of the merge
 CROWD = 40_000  # contexts of one candidate hash that a range takes
 SMALL_GROUP = 12
+CLASS = 19  # places of an anchor in a string that are ruled out together
+CLASS_BYTES = LENGTH - CLASS + 1  # bytes around an anchor that all strings of one class share
 
 
 def _grams(b: np.ndarray) -> np.ndarray:
@@ -236,19 +242,17 @@ def match_group(rights: list[int], lefts: list[bytes]) -> list[tuple[int, int]]:
 
 
 def _anchor_rows(batches):
-    """(id, mark, text) -> (key, id, place) of every anchor; the place holds the mark and the position."""
+    """(row, text) -> (key, row, pos) of every anchor."""
     for batch in batches:
-        keys, ids, places = [], [], []
-        for i, mark, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            if len(text) >= LENGTH:
-                at, key = anchors(text)
-                keys.append(key)
-                ids.append(pa.repeat(pa.scalar(i, pa.int64()), len(at)))
-                places.append(at.astype(np.int64) | (mark << 31))
+        keys, rows, places = [], [], []
+        for row, text in zip(*(batch.column(c).to_pylist() for c in range(2))):
+            at, key = anchors(text)
+            keys.append(key)
+            rows.append(np.full(len(at), row, np.int64))
+            places.append(at.astype(np.int32))
         if keys:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.concat_arrays(ids), pa.array(np.concatenate(places))],
-                names=["key", "id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, rows, places)],
+                                             names=["key", "row", "pos"])
 
 
 def _anchor_contexts(batches):
@@ -262,14 +266,8 @@ def _anchor_contexts(batches):
                                              names=["key", "context"])
 
 
-def windows(text: bytes, positions: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, hash, other hash) of the 200-byte strings with a position among their first ``SPREAD`` bytes."""
-    b, p = np.frombuffer(text, np.uint8), np.array(positions)
-    low, high = np.maximum(p - LEFT, 0), np.minimum(p, len(b) - LENGTH)
-    inside = np.zeros(len(b) + 1, np.int32)
-    np.add.at(inside, low[low <= high], 1)
-    np.add.at(inside, high[low <= high] + 1, -1)
-    starts = np.flatnonzero(np.cumsum(inside))
+def window_hashes(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each of the 200-byte strings from ``starts`` on."""
     grams = _grams(b)
     one, two = np.full(len(starts), 0x51ED270B, np.uint64), np.full(len(starts), 0x2545F491, np.uint64)
     for k in range(0, LENGTH, 8):
@@ -278,22 +276,64 @@ def windows(text: bytes, positions: list[int]) -> tuple[np.ndarray, np.ndarray,
         one ^= one >> np.uint64(32)
         two = (two ^ g) * np.uint64(0x9FB21C651E98DF25)
         two ^= two >> np.uint64(29)
-    return starts, one.view(np.int64), two.view(np.int64)
+    return one.view(np.int64), two.view(np.int64)
+
+
+def _covered_starts(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All starts within the ranges from ``low`` to ``high`` (included); empty ranges count nothing."""
+    inside = np.zeros(n + 1, np.int32)
+    np.add.at(inside, low[low <= high], 1)
+    np.add.at(inside, high[low <= high] + 1, -1)
+    return np.flatnonzero(np.cumsum(inside))
+
+
+def windows(text: bytes, positions: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, hash, other hash) of the 200-byte strings with a position among their first ``SPREAD`` bytes."""
+    b, p = np.frombuffer(text, np.uint8), np.array(positions)
+    starts = _covered_starts(len(b), np.maximum(p - LEFT, 0), np.minimum(p, len(b) - LENGTH))
+    return starts, *window_hashes(b, starts)
+
+
+def class_keys(text: bytes, positions: list[int]) -> list[tuple[int, int, int]]:
+    """(hash, position, class) of the bytes that all strings of a class share, where the text holds such strings."""
+    import xxhash
+    out = []
+    for p in positions:
+        for j in range(SPREAD // CLASS):
+            start = p - CLASS * j  # the shared bytes: from the last start of the class to the end of its first string
+            if start >= 0 and start + CLASS_BYTES <= len(text):
+                out.append((xxhash.xxh3_64_intdigest(text[start:start + CLASS_BYTES], j) - 2**63, p, j))
+    return out
+
+
+def _class_rows(batches):
+    """(row, text, positions) -> (key, row, pos, cls)."""
+    for batch in batches:
+        for row, text, positions in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for at in range(0, len(positions), 20_000):
+                found = class_keys(text, positions[at:at + 20_000])
+                keys, places, classes = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(np.full(len(keys), row, np.int64)),
+                     pa.array(places, pa.int32()), pa.array(classes, pa.int32())], names=["key", "row", "pos", "cls"])
 
 
 def _window_rows(batches):
-    """(id, mark, text, positions) -> (h1, h2, id, mark, start) of the strings around the positions."""
+    """(row, text, spots array<struct<pos, cls>>) -> (h1, h2, row, start) of the strings of these classes."""
     for batch in batches:
-        for i, mark, text, positions in zip(*(batch.column(c).to_pylist() for c in range(4))):
-            starts, one, two = windows(text, positions)
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(one), pa.array(two), pa.repeat(pa.scalar(i, pa.int64()), n),
-                 pa.repeat(pa.scalar(mark, pa.int64()), n), pa.array(starts.astype(np.int32))],
-                names=["h1", "h2", "id", "mark", "start"])
+        for row, text, spots in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            b = np.frombuffer(text, np.uint8)
+            last = np.array([s["pos"] - CLASS * s["cls"] for s in spots])
+            starts = _covered_starts(len(b), np.maximum(last - CLASS + 1, 0), np.minimum(last, len(b) - LENGTH))
+            for at in range(0, len(starts), 200_000):
+                part = starts[at:at + 200_000]
+                one, two = window_hashes(b, part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one), pa.array(two), pa.array(np.full(len(part), row, np.int64)),
+                     pa.array(part.astype(np.int32))], names=["h1", "h2", "row", "start"])
 
 
-RUNS = "run long, part int, blob binary, idx int, id long, mark long, pos int"
+RUNS = "run long, part int, blob binary, idx int, row long, pos int"
 
 
 def _pack(items: list[tuple[bytes, bytes, bool, int]]) -> bytes:
@@ -325,7 +365,7 @@ def _unpack(run: int, blob: bytes):
 
 
 def _sorted_runs(parts: int):
-    """(id, mark, text, positions) -> packed runs by range, and the anchors of each context."""
+    """(row, text, positions) -> packed runs by range, and the anchors of each context."""
     import xxhash
 
     def flush(contexts, owners):
@@ -340,12 +380,12 @@ def _sorted_runs(parts: int):
             part = xxhash.xxh3_64_intdigest(right[:LEAST_RIGHT]) % parts
             by_part.setdefault(part, []).append((right, left, often[k], k))
         for part, items in by_part.items():
-            yield [run], [part], [_pack(items)], [None], [None], [None], [None]
+            yield [run], [part], [_pack(items)], [None], [None], [None]
         n = len(owners)
         yield ([run] * n, [None] * n, [None] * n, [rank[o[0]] for o in owners],
-               [o[1] for o in owners], [o[2] for o in owners], [o[3] for o in owners])
+               [o[1] for o in owners], [o[2] for o in owners])
 
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int32()]
     names = [x.split()[0] for x in RUNS.split(", ")]
 
     def batch_of(columns):
@@ -353,16 +393,16 @@ def _sorted_runs(parts: int):
 
     def run(batches):
         contexts: dict[tuple[bytes, bytes], list[int]] = {}
-        owners: list[tuple[int, int | None, int, int]] = []
+        owners: list[tuple[int, int, int]] = []
         for batch in batches:
-            for i, mark, text, positions in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for row, text, positions in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 back = text[::-1]
                 for p in positions:
                     end = len(text) - p
                     name = text[p:p + LENGTH], back[end:end + LEFT]
                     entry = contexts.setdefault(name, [len(contexts), 0])
                     entry[1] += 1
-                    owners.append((entry[0], i, mark, p))
+                    owners.append((entry[0], row, p))
                 if len(contexts) >= RUN_CONTEXTS or len(owners) >= 4 * RUN_CONTEXTS:
                     yield from map(batch_of, flush(contexts, owners))
                     contexts, owners = {}, []
@@ -414,7 +454,7 @@ def _merge_ranges(batches):
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).select(
-        "id", F.crc32("text").alias("mark"), "text")
+        "id", F.unhex(F.md5("text")).alias("mark"), "text")
 
 
 def _same(a: DataFrame, b: DataFrame):
@@ -432,34 +472,36 @@ def _crowded(counted: DataFrame, texts: DataFrame, crowd: int) -> DataFrame | No
     return None if found.isEmpty() else found
 
 
-def _repeated_windows(texts: DataFrame, busy: DataFrame) -> DataFrame:
-    """(id, mark, start, end) of the 200-byte strings around crowded anchors that occur twice."""
-    held = stored(texts.join(busy, _same(texts, busy)).select(texts["id"], texts["mark"], "text", "crowded"),
-                  "suffix-busy")
-    around = held.mapInArrow(_window_rows, "h1 long, h2 long, id long, mark long, start int")
+def _repeated_windows(held: DataFrame) -> DataFrame:
+    """(row, text, crowded) -> (row, start, end) of the 200-byte strings around crowded anchors that occur twice."""
+    classes = stored(held.mapInArrow(_class_rows, "key long, row long, pos int, cls int"), "suffix-classes")
+    alike = stored(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "suffix-alike")
+    spots = (classes.join(alike, "key", "left_semi").groupBy("row")
+             .agg(F.sort_array(F.collect_set(F.struct("pos", "cls"))).alias("spots")))
+    around = stored(held.select("row", "text").join(spots, "row").select("row", "text", "spots")
+                    .mapInArrow(_window_rows, "h1 long, h2 long, row long, start int"), "suffix-around")
     again = stored(around.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
                    "suffix-windows")
     return (around.join(again, ["h1", "h2"], "left_semi")
-            .select("id", "mark", "start", (F.col("start") + LENGTH).alias("end")))
+            .select("row", "start", (F.col("start") + LENGTH).alias("end")))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    crowd: int = CROWD) -> DataFrame:
-    """(id, mark, n_bytes, sha256, spans array<struct<start, end>>) per row; ``mark`` is the text's crc32."""
-    spark = docs.sparkSession
+    """(id, mark, n_bytes, sha256, spans array<struct<start, end>>) per row; ``mark`` tells texts of one id apart."""
     rows = _keyed(docs, id_col, text_col)
-    hashed = stored(rows.select("id", "mark", F.octet_length("text").alias("n_bytes"),
-                                F.sha2("text", 256).alias("sha256")), "suffix-texts")
-    copied = stored(hashed.filter(F.col("n_bytes") >= LENGTH).groupBy("sha256")
-                    .agg(F.count("*").alias("n"), F.min("id").alias("rep")).filter("n > 1").select("sha256", "rep"),
+    hashed = stored(rows.select("id", "mark", F.octet_length("text").alias("n_bytes"), F.sha2("text", 256).alias("sha256")),
+                    "suffix-texts")
+    copied = stored(hashed.filter(F.col("n_bytes") >= LENGTH).groupBy("mark")
+                    .agg(F.count("*").alias("n"), F.min("id").alias("rep")).filter("n > 1").select("mark", "rep"),
                     "suffix-copied")
-    spare = stored(hashed.join(copied, "sha256").filter(~F.col("id").eqNullSafe(F.col("rep")))
+    spare = stored(hashed.join(copied, "mark").filter(~F.col("id").eqNullSafe(F.col("rep")))
                    .select("id", "mark"), "suffix-spare")
     # written once: the anchors are looked for in it up to three times, without shuffling the texts again
-    texts = stored(rows.filter(F.octet_length("text") >= LENGTH).join(spare, _same(rows, spare), "left_anti"),
-                   "suffix-unique")
+    texts = stored(rows.filter(F.octet_length("text") >= LENGTH).join(spare, _same(rows, spare), "left_anti")
+                   .select(F.monotonically_increasing_id().alias("row"), "mark", "text"), "suffix-unique")
 
-    spots = texts.select("id", "mark", "text").mapInArrow(_anchor_rows, "key long, id long, place long")
+    spots = texts.select("row", "text").mapInArrow(_anchor_rows, "key long, row long, pos int")
     twice = stored(spots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-keys")
     crowded = _crowded(twice, texts, crowd)
     if crowded is None:
@@ -468,38 +510,37 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         keys = stored(twice.join(crowded, "key", "left")
                       .select("key", F.coalesce("crowded", F.lit(False)).alias("crowded")), "suffix-ways")
         wanted = spots.join(keys, "key")
-    pos = F.col("place").bitwiseAND(F.lit(2**31 - 1)).cast("int")
     found = stored(
-        wanted.select("id", F.shiftright("place", 31).alias("mark"), F.when(~F.col("crowded"), pos).alias("pos"),
-                      F.when(F.col("crowded"), pos).alias("crowded"))
-        .groupBy("id", "mark").agg(F.sort_array(F.collect_set("pos")).alias("positions"),
-                                   F.sort_array(F.collect_set("crowded")).alias("crowded")), "suffix-anchors")
+        wanted.select("row", F.when(~F.col("crowded"), F.col("pos")).alias("pos"),
+                      F.when(F.col("crowded"), F.col("pos")).alias("crowded"))
+        .groupBy("row").agg(F.sort_array(F.collect_set("pos")).alias("positions"),
+                            F.sort_array(F.collect_set("crowded")).alias("crowded")), "suffix-anchors")
     n = found.agg(F.sum(F.size("positions"))).first()[0] or 0
     parts = max(1, n // RANGE_CONTEXTS)
-    merged = found.filter(F.size("positions") > 0)
-    runs = stored(texts.join(merged, _same(texts, merged))
-                  .select(texts["id"], texts["mark"], "text", "positions")
+    held = stored(texts.join(found, "row").select("row", "text", "positions", "crowded"), "suffix-held")
+    runs = stored(held.filter(F.size("positions") > 0).select("row", "text", "positions")
                   .mapInArrow(_sorted_runs(parts), RUNS), "suffix-runs")
     matched = stored(runs.filter("blob is not null").select("part", "run", "blob")
                      .repartition(parts, "part").sortWithinPartitions("part", "run")
                      .mapInArrow(_merge_ranges, "run long, idx int, before int, after int"), "suffix-matches")
-    covered = (runs.filter("idx is not null").select("run", "idx", "id", "mark", "pos").join(matched, ["run", "idx"])
-               .select("id", "mark", (F.col("pos") - F.col("before")).alias("start"),
+    covered = (runs.filter("idx is not null").select("run", "idx", "row", "pos").join(matched, ["run", "idx"])
+               .select("row", (F.col("pos") - F.col("before")).alias("start"),
                        (F.col("pos") + F.col("after")).alias("end")))
     if crowded is not None:
-        covered = covered.union(_repeated_windows(texts, found.filter(F.size("crowded") > 0)))
-    pieces = covered.groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("pieces"))
-    spans = stored(pieces.mapInArrow(_joined, SPANS), "suffix-spans")
+        covered = covered.union(_repeated_windows(held.filter(F.size("crowded") > 0).select("row", "text", "crowded")))
+    pieces = covered.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("pieces"))
+    spans = stored(pieces.mapInArrow(_joined, SPANS).join(texts.select("row", "mark"), "row")
+                   .join(copied, "mark", "left_anti").select("mark", "spans"), "suffix-spans")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    out = (hashed.join(copied.select("sha256", F.lit(True).alias("copied")), "sha256", "left")
-           .join(spans.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "spans"),
-                 F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left"))
-    return out.select(F.col("id").alias(id_col), "mark", F.col("n_bytes").cast("long").alias("n_bytes"), "sha256",
+    out = (hashed.join(copied.select("mark", F.lit(True).alias("copied")), "mark", "left")
+           .join(spans, "mark", "left"))  # texts that occur once: one row each
+    return out.select(F.col("id").alias(id_col), "mark", F.col("n_bytes").cast("long").alias("n_bytes"),
+                      "sha256",
                       F.when(F.col("copied"), whole).otherwise(F.coalesce("spans", none)).alias("spans"))
 
 
-SPANS = "id long, mark long, spans array<struct<start:int,end:int>>"
+SPANS = "row long, spans array<struct<start:int,end:int>>"
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -507,7 +548,7 @@ def _joined(batches):
     """Sorted pieces of a document -> maximal spans."""
     for batch in batches:
         out = []
-        for pieces in batch.column(2).to_pylist():
+        for pieces in batch.column(1).to_pylist():
             spans: list[dict] = []
             for p in pieces:
                 if spans and p["start"] <= spans[-1]["end"]:
@@ -515,8 +556,7 @@ def _joined(batches):
                 else:
                     spans.append(dict(p))
             out.append(spans)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, _SPAN)],
-                                         names=["id", "mark", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _SPAN)], names=["row", "spans"])
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -536,4 +576,4 @@ def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_co
                 kept.append(b"".join([*parts, text[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary())],
                                              names=["id", "mark", "kept"])
-    return both.mapInArrow(cut, "id long, mark long, kept binary").withColumnRenamed("id", id_col)
+    return both.mapInArrow(cut, "id long, mark binary, kept binary").withColumnRenamed("id", id_col)

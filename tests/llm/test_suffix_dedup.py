@@ -102,3 +102,36 @@ def test_null_empty_repeated_and_no_rows(spark, tmp_dir):
     want = sorted((i if i is not None else -1, *rest) for i, *rest in brute.repeats(docs))
     assert _dedup(spark, tmp_dir, docs) == want
     assert _dedup(spark, tmp_dir, []) == []
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark, tmp_dir):
+    """A copy of another document does not take other texts of its id out of the search."""
+    rng = random.Random(12)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+    copy, shared = prose(700), prose(300)
+    docs = [(5, copy), (2, copy), (5, prose(150) + shared + prose(80)), (3, prose(90) + shared), (5, prose(400)),
+            (None, shared + prose(50)), (None, prose(500)), (None, copy)]
+    want = sorted((i if i is not None else -1, *rest) for i, *rest in brute.repeats(docs))
+    assert _dedup(spark, tmp_dir, docs) == want
+
+
+def test_class_keys_rule_out_only_strings_that_occur_once():
+    rng = random.Random(3)
+    shared = bytes(rng.choice(b"abcd") for _ in range(420))
+    texts = [bytes(rng.choice(b"abcd") for _ in range(rng.randrange(300))) + shared[k:k + 260] for k in (0, 40, 90)]
+    seen, spots = {}, []
+    for t, text in enumerate(texts):
+        at, _ = suffix_dedup.anchors(text)
+        for key, p, j in suffix_dedup.class_keys(text, at.tolist()):
+            seen.setdefault(key, set()).add((t, p))
+            spots.append((t, p, j, key))
+    left = {(t, s) for t, p, j, key in spots if len(seen[key]) > 1
+            for s in range(p - suffix_dedup.CLASS * (j + 1) + 1, p - suffix_dedup.CLASS * j + 1)}
+    places = {}
+    for t, text in enumerate(texts):
+        for s in range(len(text) - 199):
+            places.setdefault(text[s:s + 200], []).append((t, s))
+    twice = {x for where in places.values() if len(where) > 1 for x in where}
+    assert twice and twice <= left and len(left) < sum(map(len, texts)) / 2
