@@ -268,7 +268,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         """(id, text) of classes, one row each."""
-        named = classes.join(nodes.select(F.col("id").alias("node")), "node").select("node", "rep", "rep_mark")
+        # stored, so that its size is known and the texts need not move where it is small
+        named = stored(classes.join(nodes.select(F.col("id").alias("node")), "node").select("node", "rep", "rep_mark"),
+                       "minhash-named")
         return (texts.join(named, (F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
                 .select(F.col("node").alias("id"), "text").dropDuplicates(["id"]))
     rows = signed_reps.dropDuplicates(["id"]).select("id", F.explode("bands").alias("band"))
