@@ -18,9 +18,12 @@ Plan:
    co-rated pair: one for all users of the block instead of one per user. A
    rating goes only to the units its user needs: once per product block that
    the user touches.
-4. The counts of both paths are summed in one aggregation with map-side
-   combine, scored, and mirrored with a two-row explode; the final top k per
-   product is a window group limit. T moves work between the paths only.
+4. ``item_similarity``: the counts of both paths are summed in one aggregation
+   with map-side combine, scored, and mirrored with a two-row explode. T moves
+   work between the paths only.
+5. ``item_cf_recs`` never shuffles pairs of light users: products are cut into
+   parts, every user's list goes to the parts it touches, and a part counts its
+   pairs and keeps the best k of each product before a window ranks them.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ from pickwise.session import materialize
 HEAVY_USER_PRODUCTS = 2000
 _BLOCK_PRODUCTS = 2048  # a unit holds counts of about 2048 x 2048 products, 32 MB
 _UNIT_ROWS = 4 << 20  # heavy rating rows aimed at in a unit
+_PART_ENTRIES = 32 << 20  # entries of users' lists aimed at in a part of the products, about 400 MB
+_ROUND_PAIRS = 6 << 20  # ordered pairs of products counted at a time in a part, about 200 MB
 
 
 def user_product_counts(ratings: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -246,8 +251,135 @@ def item_similarity(ratings: DataFrame, threshold: float | None = None,
     return scored if threshold is None else scored.filter(F.col("score") > float(threshold))
 
 
+def _baskets(rows: DataFrame, has_heavy: bool) -> DataFrame:
+    """(p, m, n): arrays whose every two entries are co-rated m1 * m2 times: light users, and single pairs of heavy ones."""
+    light = (rows.filter(~F.col("hu") & F.col("user_id").isNotNull()).groupBy("user_id")
+             .agg(F.collect_list(F.struct("product_id", "m", "n")).alias("e"))
+             .select(F.col("e.product_id").alias("p"), F.col("e.m").alias("m"), F.col("e.n").alias("n")))
+    if not has_heavy:
+        return light
+    one = F.lit(1).cast("long")
+    return light.union(_heavy_rows(rows.filter(F.col("user_id").isNotNull())).select(
+        F.array("p1", "p2"), F.array("c", one), F.array("n1", "n2")))
+
+
+def _parts(rows: DataFrame, part_entries: int) -> int:
+    """Parts of the products, a prime: one for each core, and more where a part would get over ``part_entries`` entries."""
+    d = F.col("d").cast("double")
+    users = rows.filter("user_id is not null").groupBy("user_id").agg(F.count("*").alias("d"), F.first("hu").alias("hu"))
+    sizes = [2 ** i for i in range(1, 25)]
+    # a user's d entries go to a part with the chance that it holds one of them
+    light, heavy = F.col("hu") == F.lit(False), F.col("hu")
+    found = users.agg(F.sum(F.when(heavy, d * (d - 1))).alias("heavy"),
+                      *[F.sum(F.when(light, d * (1 - F.pow(F.lit(1 - 1 / s), d)))).alias(f"s{s}") for s in sizes]).first()
+    pairs = found["heavy"] or 0.0
+    if pairs:  # heavy users' pairs are counted before they are sent
+        pairs = min(pairs, float(rows.filter("hu").select("product_id").distinct().count()) ** 2)
+    need = next((s for s in sizes if (found[f"s{s}"] or 0.0) + 2 * pairs / s <= part_entries), sizes[-1])
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, need)
+    while any(parts % f == 0 for f in range(2, math.isqrt(parts) + 1)):
+        parts += 1
+    return parts
+
+
+def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
+    """Rows (part, p, m, n) of one part -> (product_id, rec_product_id, score), the best k of each of its products.
+
+    A task holds its lists and takes its products in rounds of about
+    ``round_pairs`` pairs; in a round, pairs are summed whenever as many wait as
+    were summed before, so memory follows the round's distinct pairs.
+    """
+    chunk = max(1, round_pairs // 4)
+
+    def small(x):
+        return x.astype(np.int32) if len(x) and x.min() >= -2**31 and x.max() < 2**31 else x.astype(np.int64)
+
+    def summed(a, b, c, nn):
+        narrow = min(a.min(), b.min()) >= -2**31 and max(a.max(), b.max()) < 2**31
+        order = np.argsort((a << 32) + (b + 2**31)) if narrow else np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        return a[first], b[first], np.add.reduceat(c[order], first), nn[order][first]
+
+    def outer(p, m, n, start, size, left, row):
+        """The entries ``left`` with the others of their lists, a bounded number of pairs at a time."""
+        each = size[row].astype(np.int64)
+        end = np.cumsum(each)
+        at = 0
+        while at < len(left):
+            to = max(at + 1, int(np.searchsorted(end, (end[at - 1] if at else 0) + chunk, side="right")))
+            e = each[at:to]
+            x = np.repeat(left[at:to], e)
+            y = np.repeat(start[row[at:to]], e) + np.arange(e.sum()) - np.repeat(np.cumsum(e) - e, e)
+            other = p[x] != p[y]
+            x, y = x[other], y[other]
+            yield (p[x].astype(np.int64), p[y].astype(np.int64), m[x].astype(np.int64) * m[y],
+                   n[x].astype(np.float64) * n[y].astype(np.float64))
+            at = to
+
+    def best(found):
+        held, waiting, done = [], 0, 0
+        for pairs in found:
+            held.append(pairs)
+            waiting += len(pairs[0])
+            if waiting >= max(2 * chunk, done):
+                held = [summed(*(np.concatenate(c) for c in zip(*held)))]
+                waiting, done = 0, len(held[0][0])
+        if not sum(len(h[0]) for h in held):
+            return
+        a, b, c, nn = summed(*(np.concatenate(c) for c in zip(*held)))
+        score = c.astype(np.float64) / np.sqrt(nn)
+        order = np.lexsort((b, -score, a))
+        a, b, score = a[order], b[order], score[order]
+        first = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
+        place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
+        keep = np.flatnonzero(place < k)
+        for at in range(0, len(keep), 1 << 16):
+            take = keep[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v[take]).cast(t.type) for v, t in zip((a, b, score), schema)], schema=schema)
+
+    def run(batches):
+        part, held = None, []
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column(0)[0].as_py()
+                held.append([small(np.diff(batch.column(1).offsets.to_numpy())),
+                             *(small(batch.column(c).flatten().to_numpy(zero_copy_only=False)) for c in (1, 2, 3))])
+        if part is None:
+            return
+        columns = list(zip(*held))
+        held = None
+        for i, c in enumerate(columns):  # one column at a time is there twice
+            columns[i] = np.concatenate(c)
+        size, p, m, n = columns
+        start = np.cumsum(size, dtype=np.int64) - size
+        left = np.flatnonzero(p % parts == part)
+        row = np.searchsorted(start, left, side="right") - 1
+        rounds = max(1, -(-int(size[row].sum(dtype=np.int64)) // round_pairs))
+        turn = (p[left] // parts) % rounds
+        for r in range(rounds):
+            now = turn == r
+            yield from best(outer(p, m, n, start, size, left[now], row[now]))
+    return run
+
+
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
-                 heavy_user_products: int = HEAVY_USER_PRODUCTS, dedupe: bool = False) -> DataFrame:
-    """Top-k co-rated products per product: (product_id, rec_product_id, score, rank)."""
-    scored = item_similarity(ratings, None, heavy_user_products, dedupe)
-    return top_k(scored, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)
+                 heavy_user_products: int = HEAVY_USER_PRODUCTS, dedupe: bool = False,
+                 part_entries: int = _PART_ENTRIES, round_pairs: int = _ROUND_PAIRS) -> DataFrame:
+    """Top-k co-rated products per product: (product_id, rec_product_id, score, rank).
+
+    The products are cut into parts. A user's list goes once to every part it
+    touches, where all pairs of the part's products are counted and ranked: what
+    travels are lists and k rows a product, never pairs.
+    """
+    rows, has_heavy = _prepare(ratings, heavy_user_products, dedupe)
+    parts = _parts(rows, part_entries)
+    kind = rows.schema["product_id"].dataType.simpleString()
+    ids = pa.int32() if kind == "int" else pa.int64()
+    arrow = pa.schema([("product_id", ids), ("rec_product_id", ids), ("score", pa.float64())])
+    part = F.transform("p", lambda x: F.pmod(x, F.lit(parts)).cast("int"))
+    sent = _baskets(rows, has_heavy).select(F.explode(F.array_distinct(part)).alias("part"), "p", "m", "n")
+    best = sent.repartitionById(parts, "part").mapInArrow(
+        _part_best(parts, k, arrow, round_pairs), f"product_id {kind}, rec_product_id {kind}, score double")
+    return top_k(best, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)

@@ -150,3 +150,34 @@ def test_a_heavy_rating_goes_to_the_blocks_its_user_touches(spark):
     want = _sims(item_cf.item_similarity(r))
     for t in (1, 5, 20):
         assert _sims(item_cf.item_similarity(r, heavy_user_products=t)) == want
+
+
+def test_topk_in_parts_and_rounds_equals_brute_force_and_shuffles_no_pairs(spark):
+    import random
+    rnd = random.Random(11)
+    pairs = [(rnd.randrange(40), rnd.choice((-7, 2**31 - 1, *range(30)))) for _ in range(900)]
+    pairs += [(99, p) for p in range(30)] * 2 + [(None, 1), (None, 2), (5, None)]
+    r = _ratings(spark, pairs)
+    want = _brute([(u, p) for u, p in pairs if u is not None and p is not None], 5)
+    n = Counter(p for _, p in pairs)  # ratings without a user count for the product, but pair with nothing
+    for heavy, entries, rounds in ((2000, 50, 64), (20, 10, 7), (20, 1 << 20, 1 << 20)):
+        out = item_cf.item_cf_recs(r, k=5, heavy_user_products=heavy, part_entries=entries, round_pairs=rounds)
+        got = sorted(out.collect(), key=lambda x: (x.product_id, x.rank))
+        assert {x.product_id for x in got} == set(want)
+        scores = {(a, b): s for (a, b), s in _sims(item_cf.item_similarity(r, heavy_user_products=heavy)).items()}
+        for p in want:
+            ranked = sorted(((-s, b) for (a, b), s in scores.items() if a == p))[:5]
+            assert [(-x.score, x.rec_product_id) for x in got if x.product_id == p] == ranked
+            assert all(n[x.product_id] for x in got)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "p1" not in plan.split("MapInArrow")[0]  # no pair leaves the task that counts it
+
+
+def test_topk_takes_long_ids(spark):
+    rows = [(u, (1 << 40) + p) for u in range(4) for p in range(u, 9)]
+    r = spark.createDataFrame(rows, "user_id int, product_id long")
+    got = item_cf.item_cf_recs(r, k=3, part_entries=4, round_pairs=5).collect()
+    by = defaultdict(list)
+    for x in sorted(got, key=lambda x: (x.product_id, x.rank)):
+        by[x.product_id].append(x.rec_product_id)
+    assert dict(by) == _brute(rows, 3)
