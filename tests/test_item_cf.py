@@ -181,3 +181,14 @@ def test_topk_takes_long_ids(spark):
     for x in sorted(got, key=lambda x: (x.product_id, x.rank)):
         by[x.product_id].append(x.rec_product_id)
     assert dict(by) == _brute(rows, 3)
+
+
+def test_dedupe_counts_each_user_and_product_once_in_parts(spark):
+    import random
+    rnd = random.Random(13)
+    pairs = [(rnd.randrange(12), rnd.randrange(20)) for _ in range(300)]
+    got = item_cf.item_cf_recs(_ratings(spark, pairs), k=4, heavy_user_products=14, dedupe=True, part_entries=30, round_pairs=9)
+    by = defaultdict(list)
+    for x in sorted(got.collect(), key=lambda x: (x.product_id, x.rank)):
+        by[x.product_id].append(x.rec_product_id)
+    assert dict(by) == _brute(sorted(set(pairs)), 4)
