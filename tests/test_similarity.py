@@ -170,3 +170,24 @@ def test_sparse_vectors_at_the_bounds(spark):
                     if i != j and s > max(t, 0) + 1e-12 and set(a) & set(b):
                         want[i, j] = round(s, 9)
             assert got == want, (t, collapse)
+
+
+def test_rare_dimensions_are_summed_in_their_own_join(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, int(d), float(rng.random())) for i in range(80) for d in rng.choice(60, 12, replace=False)]
+    rows += [(i, 100 + i % 2, 1.0 + i % 3) for i in range(0, 80, 2)]  # dimensions that half of the vectors have
+    dense = np.zeros((80, 102))
+    for i, d, w in rows:
+        dense[i, d] = w
+    unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
+    sims = unit @ unit.T
+    frame = similarity.normalize_sparse(spark.createDataFrame(rows, "id int, dim int, w double")).cache()
+    for t in (0.05, 0.3, 0.6):
+        want = {(a, b): sims[a, b] for a in range(80) for b in range(a + 1, 80) if sims[a, b] > t}
+        for limit in (0, 17, 10 ** 6):  # none rare, some, all
+            got = {(r.x, r.y): r.sim for r in similarity._prefix_pairs(frame, t, limit).collect()}
+            assert set(got) == set(want)
+            assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    # with rare dimensions only, no candidate is looked up again: one join, where there were three
+    plan = similarity._prefix_pairs(frame, 0.3, 10 ** 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
