@@ -35,12 +35,23 @@ RATED = T.StructType([
     T.StructField("bits", T.BinaryType()),
 ])
 
+PART_BITMAPS = 1 << 14  # bitmaps of one task, 64 MB
+
 
 def rated_bitmaps(ratings: DataFrame, *keys: str) -> DataFrame:
-    """(*keys, user_id, part, bits): the products of each user as bitmaps (``bitmap_construct_agg``)."""
+    """(*keys, user_id, part, bits): the products of each user as bitmaps (``bitmap_construct_agg``).
+
+    Rows travel, not bitmaps of 4 KB, which shrink in a shuffle and would be
+    gathered by their small size: without ``keys`` the rows are dealt here, into
+    parts sized by the bitmaps they become; with ``keys`` the caller deals them.
+    """
     placed = ratings.filter(F.col("user_id").isNotNull() & F.col("product_id").isNotNull()).select(
         *keys, "user_id", F.bitmap_bucket_number("product_id").alias("part"),
         F.bitmap_bit_position("product_id").alias("bit"))
+    if not keys:
+        bitmaps = placed.agg(F.approx_count_distinct(F.struct("user_id", "part")).alias("n")).first()["n"]
+        least = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartition(max(least, -(-bitmaps // PART_BITMAPS)), "user_id", "part")
     return placed.groupBy(*keys, "user_id", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 

@@ -101,3 +101,18 @@ def test_batch_recs_equal_brute_force_with_hot_triggers(spark):
     want = _brute_stream(history, batch, sims, 5, 4)
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-12, abs_tol=1e-12) for k in want)
+
+
+def test_rows_are_dealt_before_they_become_bitmaps(spark):
+    rows = spark.createDataFrame([(u, p, 3.0, 0) for u in range(50) for p in (u + 1, u + 2, 40_000 + u)] * 2
+                                 + [(None, 1, 3.0, 0), (1, None, 3.0, 0)], schemas.RATING)
+    bitmaps = realtime.rated_bitmaps(rows)
+    plan = bitmaps._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan  # no bitmap travels, nothing gathers the parts
+    got = {(r.user_id, r.part): sum(bin(b).count("1") for b in r.bits) for r in bitmaps.collect()}
+    want = {}
+    for u in range(50):
+        for p in (u + 1, u + 2, 40_000 + u):
+            part = (p - 1) // 32768 + 1
+            want.setdefault((u, part), set()).add(p)
+    assert sum(got.values()) == sum(map(len, want.values())) == 150 and len(got) == len(want) == 100
