@@ -1,8 +1,8 @@
 """MinHash near-dedup: universal hash minima, banding, verification, connected components.
 
 A document's set holds its distinct 5-word shingles (lower-cased in A-Z, words
-cut at ASCII blanks). Documents with equal sets form a class, which gets a number
-and is compared once, by the text of its smallest id. ``BANDS`` x ``ROWS``
+cut at ASCII blanks). Documents with equal sets form a class, which goes by the number
+of one of its rows and is compared once, by the text of its smallest id. ``BANDS`` x ``ROWS``
 multiply-shift minima per class are cut into bands; classes that share a band are
 candidates. Links are confirmed on the full sets. In the end classes that share an
 id are joined, and components are named after their smallest id.
@@ -42,7 +42,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.llm.blocks import block_pairs, sides, units
@@ -257,28 +257,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = SIGNATURE_LEAST * threshold[1] / threshold[0]
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")).select(
         "id", F.xxhash64("text").alias("mark"), "text")
-    signed = stored(texts.mapInArrow(_sign, SIGNED), "minhash-signed")
-    # a class is a set; its number is fixed by being written
-    classes = stored(signed.filter("digest is not null and id is not null")
-                     .groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("rep"))
-                     .select("digest", F.col("rep.id").alias("rep"), F.col("rep.mark").alias("rep_mark"),
-                             F.monotonically_increasing_id().alias("node")), "minhash-classes")
-    signed_reps = (signed.join(classes, "digest").filter((F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
-                   .drop("id").withColumnRenamed("node", "id"))
+    # rows get a number, fixed by being written; a class is a set and goes by the number of one row of it
+    signed = stored(texts.mapInArrow(_sign, SIGNED).withColumn("row", F.monotonically_increasing_id()), "minhash-signed")
+    named_rows = signed.filter("digest is not null and id is not null")
+    narrow = named_rows.select("digest", "id", "mark", "row")
+    first_row = (narrow.groupBy("digest", "id", "mark").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+                 .groupBy("digest").agg(F.min(F.struct("id", "mark", "row", "copies")).alias("r"), F.sum("copies").alias("n")))
+    classes = stored(first_row.select("digest", F.col("r.id").alias("rep"), F.col("r.mark").alias("rep_mark"),
+                                      F.col("r.row").alias("node"), F.col("r.copies").alias("copies"), "n"), "minhash-classes")
+    # the other rows of a class are left out by their numbers: the wide rows need not move where these are few
+    spare = stored(narrow.join(classes.filter("n > 1").select("digest", "node"), "digest")
+                   .filter("row != node").select("row"), "minhash-spare")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         """(id, text) of classes, one row each."""
         # stored, so that its size is known and the texts need not move where it is small
-        named = stored(classes.join(nodes.select(F.col("id").alias("node")), "node").select("node", "rep", "rep_mark"),
+        named = stored(classes.join(nodes.select(F.col("id").alias("node")), "node").select("node", "rep", "rep_mark", "copies"),
                        "minhash-named")
-        return (texts.join(named, (F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
-                .select(F.col("node").alias("id"), "text").dropDuplicates(["id"]))
-    rows = signed_reps.dropDuplicates(["id"]).select("id", F.explode("bands").alias("band"))
-    buckets = (rows.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("top"), F.count("*").alias("n"))
-               .filter(F.col("pivot") < F.col("top")).select("band", "pivot", "n"))
-    members = stored(rows.join(stored(buckets, "minhash-buckets"), "band"), "minhash-members")
+
+        def found(some: DataFrame) -> DataFrame:
+            return (texts.join(some, (F.col("id") == F.col("rep")) & (F.col("mark") == F.col("rep_mark")))
+                    .select(F.col("node").alias("id"), "text"))
+        again = named.filter("copies > 1")  # rows that come twice, id and text
+        once = found(named.filter("copies = 1"))
+        return once if again.isEmpty() else once.union(found(again).dropDuplicates(["id"]))
+    rows = named_rows.select("row", "bands").join(spare, "row", "left_anti").select(
+        F.col("row").alias("id"), F.explode("bands").alias("band"))
+    bucket = Window.partitionBy("band")
+    members = stored(rows.select("band", "id", F.min("id").over(bucket).alias("pivot"), F.count("*").over(bucket).alias("n"))
+                     .filter("n > 1"), "minhash-members")
     ids = stored(members.select("id").distinct(), "minhash-ids")
-    signatures = stored(signed_reps.select("id", "signature", "bands").join(ids, "id", "left_semi").dropDuplicates(["id"]),
+    signatures = stored(signed.select(F.col("row").alias("id"), "signature", "bands").join(ids, "id", "left_semi"),
                         "minhash-signatures")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:

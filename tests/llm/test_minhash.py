@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from pickwise.llm import minhash
+from pickwise.llm import minhash, storage
 from pickwise.llm.queries import op6_minhash
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -74,3 +74,20 @@ def test_all_texts_of_an_id_link_it(spark):
         got = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()]
         assert sorted(got, key=str) == sorted([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False),
                                                (5, 5, True), (None, None, True), (None, None, True)], key=str)
+
+
+def test_signed_rows_stay_and_band_rows_move_once(spark, monkeypatch):
+    """Rows of bands and signatures went through a join by set and a removal of repeats, twice."""
+    plans = {}
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return storage.stored(df, name)
+    monkeypatch.setattr(minhash, "stored", kept)
+    docs = _near_copies(8, 5, 6)
+    docs += [(100 + i, t) for i, t in docs[:9]] + docs[:4]
+    want = brute.minhash(docs)
+    assert _result(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))) == want
+    moves = {n: [line for line in p.splitlines() if "hashpartitioning(" in line] for n, p in plans.items()}
+    assert len(moves["minhash-members"]) == 1 and "hashpartitioning(band" in moves["minhash-members"][0]
+    assert not any("hashpartitioning(digest" in line for line in moves["minhash-signatures"])
