@@ -264,10 +264,13 @@ def _baskets(rows: DataFrame, has_heavy: bool) -> DataFrame:
 
 
 def _parts(rows: DataFrame, part_entries: int) -> int:
-    """Parts of the products, a prime: one for each core, and more where a part would get over ``part_entries`` entries."""
+    """Parts of the products, a prime: one for each core, and more where a part would get over ``part_entries`` entries.
+
+    Every part more is a copy more of most users' lists, so the number is found in steps of a quarter.
+    """
     d = F.col("d").cast("double")
     users = rows.filter("user_id is not null").groupBy("user_id").agg(F.count("*").alias("d"), F.first("hu").alias("hu"))
-    sizes = [2 ** i for i in range(1, 25)]
+    sizes = sorted({math.ceil(1.25 ** i) for i in range(3, 76)})
     # a user's d entries go to a part with the chance that it holds one of them
     light, heavy = F.col("hu") == F.lit(False), F.col("hu")
     found = users.agg(F.sum(F.when(heavy, d * (d - 1))).alias("heavy"),
@@ -282,6 +285,14 @@ def _parts(rows: DataFrame, part_entries: int) -> int:
     return parts
 
 
+def _narrow(rows: DataFrame, has_heavy: bool) -> tuple[str, str]:
+    """The smallest types that hold every m and every n of the lists; m of heavy users' pairs are sums and stay long."""
+    top = rows.agg(F.max("m").alias("m"), F.max("n").alias("n")).first()
+    kinds = [next(kind for kind, bits in (("byte", 7), ("short", 15), ("int", 31), ("long", 63)) if (x or 0) < 2 ** bits)
+             for x in (top["m"], top["n"])]
+    return "long" if has_heavy else kinds[0], kinds[1]
+
+
 def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
     """Rows (part, p, m, n) of one part -> (product_id, rec_product_id, score), the best k of each of its products.
 
@@ -292,6 +303,8 @@ def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
     chunk = max(1, round_pairs // 4)
 
     def small(x):
+        if x.dtype.itemsize <= 4:
+            return x
         return x.astype(np.int32) if len(x) and x.min() >= -2**31 and x.max() < 2**31 else x.astype(np.int64)
 
     def summed(a, b, c, nn):
@@ -379,7 +392,10 @@ def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION
     ids = pa.int32() if kind == "int" else pa.int64()
     arrow = pa.schema([("product_id", ids), ("rec_product_id", ids), ("score", pa.float64())])
     part = F.transform("p", lambda x: F.pmod(x, F.lit(parts)).cast("int"))
-    sent = _baskets(rows, has_heavy).select(F.explode(F.array_distinct(part)).alias("part"), "p", "m", "n")
+    m, n = _narrow(rows, has_heavy)
+    sent = _baskets(rows, has_heavy).select(
+        F.explode(F.array_distinct(part)).alias("part"), "p", F.col("m").cast(f"array<{m}>").alias("m"),
+        F.col("n").cast(f"array<{n}>").alias("n"))
     best = sent.repartitionById(parts, "part").mapInArrow(
         _part_best(parts, k, arrow, round_pairs), f"product_id {kind}, rec_product_id {kind}, score double")
     return top_k(best, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)
