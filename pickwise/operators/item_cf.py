@@ -263,18 +263,21 @@ def _baskets(rows: DataFrame, has_heavy: bool) -> DataFrame:
         F.array("p1", "p2"), F.array("c", one), F.array("n1", "n2")))
 
 
-def _parts(rows: DataFrame, part_entries: int) -> int:
+def _parts(rows: DataFrame, part_entries: int) -> tuple[int, str, str]:
     """Parts of the products, a prime: one for each core, and more where a part would get over ``part_entries`` entries.
 
-    Every part more is a copy more of most users' lists, so the number is found in steps of a quarter.
+    Every part more is a copy more of most users' lists, so the number is found in steps of a quarter. With it come
+    the smallest types that hold every m and every n of the lists.
     """
     d = F.col("d").cast("double")
-    users = rows.filter("user_id is not null").groupBy("user_id").agg(F.count("*").alias("d"), F.first("hu").alias("hu"))
+    users = rows.filter("user_id is not null").groupBy("user_id").agg(F.count("*").alias("d"), F.first("hu").alias("hu"),
+                                                                        F.max("m").alias("m"), F.max("n").alias("n"))
     sizes = sorted({math.ceil(1.25 ** i) for i in range(3, 76)})
     # a user's d entries go to a part with the chance that it holds one of them
     light, heavy = F.col("hu") == F.lit(False), F.col("hu")
     found = users.agg(F.sum(F.when(heavy, d * (d - 1))).alias("heavy"),
-                      *[F.sum(F.when(light, d * (1 - F.pow(F.lit(1 - 1 / s), d)))).alias(f"s{s}") for s in sizes]).first()
+                      *[F.sum(F.when(light, d * (1 - F.pow(F.lit(1 - 1 / s), d)))).alias(f"s{s}") for s in sizes],
+                      F.max("m").alias("m"), F.max("n").alias("n")).first()
     pairs = found["heavy"] or 0.0
     if pairs:  # heavy users' pairs are counted before they are sent
         pairs = min(pairs, float(rows.filter("hu").select("product_id").distinct().count()) ** 2)
@@ -282,15 +285,9 @@ def _parts(rows: DataFrame, part_entries: int) -> int:
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, need)
     while any(parts % f == 0 for f in range(2, math.isqrt(parts) + 1)):
         parts += 1
-    return parts
-
-
-def _narrow(rows: DataFrame, has_heavy: bool) -> tuple[str, str]:
-    """The smallest types that hold every m and every n of the lists; m of heavy users' pairs are sums and stay long."""
-    top = rows.agg(F.max("m").alias("m"), F.max("n").alias("n")).first()
-    kinds = [next(kind for kind, bits in (("byte", 7), ("short", 15), ("int", 31), ("long", 63)) if (x or 0) < 2 ** bits)
-             for x in (top["m"], top["n"])]
-    return "long" if has_heavy else kinds[0], kinds[1]
+    m, n = (next(kind for kind, bits in (("byte", 7), ("short", 15), ("int", 31), ("long", 63)) if (found[x] or 0) < 2 ** bits)
+            for x in ("m", "n"))
+    return parts, "long" if pairs else m, n  # m of heavy users' pairs are sums
 
 
 def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
@@ -387,12 +384,11 @@ def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION
     travels are lists and k rows a product, never pairs.
     """
     rows, has_heavy = _prepare(ratings, heavy_user_products, dedupe)
-    parts = _parts(rows, part_entries)
+    parts, m, n = _parts(rows, part_entries)
     kind = rows.schema["product_id"].dataType.simpleString()
     ids = pa.int32() if kind == "int" else pa.int64()
     arrow = pa.schema([("product_id", ids), ("rec_product_id", ids), ("score", pa.float64())])
     part = F.transform("p", lambda x: F.pmod(x, F.lit(parts)).cast("int"))
-    m, n = _narrow(rows, has_heavy)
     sent = _baskets(rows, has_heavy).select(
         F.explode(F.array_distinct(part)).alias("part"), "p", F.col("m").cast(f"array<{m}>").alias("m"),
         F.col("n").cast(f"array<{n}>").alias("n"))

@@ -195,10 +195,11 @@ def test_dedupe_counts_each_user_and_product_once_in_parts(spark):
 
 
 def test_lists_travel_in_narrow_types_to_few_parts(spark):
-    rows, heavy = item_cf._prepare(_ratings(spark, [(u, (u * 7 + i) % 90) for u in range(200) for i in range(20)]), 2000)
-    assert item_cf._narrow(rows, heavy) == ("byte", "byte") and item_cf._narrow(rows, True) == ("long", "byte")
+    ratings = _ratings(spark, [(u, (u * 7 + i) % 90) for u in range(200) for i in range(20)])
+    rows, _ = item_cf._prepare(ratings, 2000)
     # 19 parts get 4000 * (1 - (18 / 19) ** 20) = 2644 entries each, 15 would get 2994
-    assert not heavy and item_cf._parts(rows, 2900) == max(19, item_cf._parts(rows, 4000))
+    assert item_cf._parts(rows, 2900) == (max(19, item_cf._parts(rows, 4000)[0]), "byte", "byte")
+    assert item_cf._parts(item_cf._prepare(ratings, 5)[0], 1 << 20)[1:] == ("long", "byte")
     # 100 * 100 and sums past one and two bytes
     pairs = [(u, p) for u in range(5) for p, times in ((1, 100), (2, 100), (3, 127), (4, 1)) for _ in range(times)]
     for more in ([], [(9, 1)] * 200 + [(9, 4)]):
