@@ -31,6 +31,9 @@ takes part in the search. A context that occurs often in a task is sent once,
 and its anchors stay behind, so that a passage found in every document costs
 each task one context for every anchor in it.
 
+The texts are moved once, into buckets by row number. What the search finds by
+row is dealt to the same buckets, so neither the search nor the cut shuffles texts.
+
 A merge range holds all contexts of a candidate hash, so the hash must not have
 more of them than ``CROWD``. Anchors of the few that do (the edges of a passage
 that stands in very many documents, with other surroundings in each) leave the
@@ -51,13 +54,14 @@ ignored. Matches never cross documents; strings are judged on the input.
 from __future__ import annotations
 
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.storage import stored
+from pickwise.llm.storage import stored, stored_in_buckets
 
 LENGTH, SPREAD = 200, 152
 LEFT, LEAST_RIGHT = SPREAD - 1, LENGTH - SPREAD + 1  # 151 bytes before an anchor, 49 from it on
@@ -65,6 +69,8 @@ RUN_CONTEXTS = 100_000  # contexts sorted at once in a task
 RANGE_CONTEXTS = 40_000  # aimed at in one range of the merge
 CROWD = 40_000  # contexts of one candidate hash that a range takes
 SMALL_GROUP = 12
+BUCKET_BYTES = 16 << 20  # of texts aimed at in one bucket of the stored rows, and in those of small tables
+SMALL_BUCKET_BYTES = 1 << 20
 CLASS = 19  # places of an anchor in a string that are ruled out together
 CLASS_BYTES = LENGTH - CLASS + 1  # bytes around an anchor that all strings of one class share
 
@@ -472,13 +478,14 @@ def _crowded(counted: DataFrame, texts: DataFrame, crowd: int) -> DataFrame | No
     return None if found.isEmpty() else found
 
 
-def _repeated_windows(held: DataFrame) -> DataFrame:
-    """(row, text, crowded) -> (row, start, end) of the 200-byte strings around crowded anchors that occur twice."""
+def _repeated_windows(docs: Texts, crowded: DataFrame) -> DataFrame:
+    """(row, crowded) -> (row, start, end) of the 200-byte strings around crowded anchors that occur twice."""
+    held = docs.rows.join(docs.dealt(crowded), "row").select("row", "text", "crowded")
     classes = stored(held.mapInArrow(_class_rows, "key long, row long, pos int, cls int"), "suffix-classes")
     alike = stored(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "suffix-alike")
     spots = (classes.join(alike, "key", "left_semi").groupBy("row")
              .agg(F.sort_array(F.collect_set(F.struct("pos", "cls"))).alias("spots")))
-    around = stored(held.select("row", "text").join(spots, "row").select("row", "text", "spots")
+    around = stored(docs.rows.join(docs.dealt(spots), "row").select("row", "text", "spots")
                     .mapInArrow(_window_rows, "h1 long, h2 long, row long, start int"), "suffix-around")
     again = stored(around.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
                    "suffix-windows")
@@ -486,20 +493,40 @@ def _repeated_windows(held: DataFrame) -> DataFrame:
             .select("row", "start", (F.col("start") + LENGTH).alias("end")))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   crowd: int = CROWD) -> DataFrame:
-    """(id, mark, n_bytes, sha256, spans array<struct<start, end>>) per row; ``mark`` tells texts of one id apart."""
+class Texts(NamedTuple):
+    """The documents' rows (row, id, mark, text), written once in buckets by ``row``."""
+    rows: DataFrame
+    buckets: int
+
+    def dealt(self, side: DataFrame) -> DataFrame:
+        """A narrow table with ``row``, dealt like the texts; joined on ``row``, it is hashed and no text moves."""
+        return side.repartition(self.buckets, "row").hint("shuffle_hash")
+
+
+def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Texts:
     rows = _keyed(docs, id_col, text_col)
-    hashed = stored(rows.select("id", "mark", F.octet_length("text").alias("n_bytes"), F.sha2("text", 256).alias("sha256")),
-                    "suffix-texts")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    buckets = max(1, -(-size // BUCKET_BYTES), min(cores, -(-size // SMALL_BUCKET_BYTES)))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "id", "mark", "text")
+    return Texts(stored_in_buckets(numbered, "suffix-rows", "row", buckets), buckets)
+
+
+def repeated_spans(docs: DataFrame | Texts, id_col: str = "doc_id", text_col: str = "text",
+                   crowd: int = CROWD) -> DataFrame:
+    """(id, mark, n_bytes, sha256, spans array<struct<start, end>>, row) per row.
+
+    ``mark`` tells texts of one id apart; ``row`` is the number in the stored texts.
+    """
+    docs = docs if isinstance(docs, Texts) else store_texts(docs, id_col, text_col)
+    hashed = stored(docs.rows.select("row", "id", "mark", F.octet_length("text").alias("n_bytes"),
+                                     F.sha2("text", 256).alias("sha256")), "suffix-texts")
     copied = stored(hashed.filter(F.col("n_bytes") >= LENGTH).groupBy("mark")
-                    .agg(F.count("*").alias("n"), F.min("id").alias("rep")).filter("n > 1").select("mark", "rep"),
+                    .agg(F.count("*").alias("n"), F.min("row").alias("rep")).filter("n > 1").select("mark", "rep"),
                     "suffix-copied")
-    spare = stored(hashed.join(copied, "mark").filter(~F.col("id").eqNullSafe(F.col("rep")))
-                   .select("id", "mark"), "suffix-spare")
-    # written once: the anchors are looked for in it up to three times, without shuffling the texts again
-    texts = stored(rows.filter(F.octet_length("text") >= LENGTH).join(spare, _same(rows, spare), "left_anti")
-                   .select(F.monotonically_increasing_id().alias("row"), "mark", "text"), "suffix-unique")
+    spare = stored(hashed.join(copied, "mark").filter(F.col("row") != F.col("rep")).select("row"), "suffix-spare")
+    # the anchors are looked for up to three times, without shuffling the texts again
+    texts = docs.rows.filter(F.octet_length("text") >= LENGTH).join(docs.dealt(spare), "row", "left_anti")
 
     spots = texts.select("row", "text").mapInArrow(_anchor_rows, "key long, row long, pos int")
     twice = stored(spots.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-keys")
@@ -517,8 +544,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                             F.sort_array(F.collect_set("crowded")).alias("crowded")), "suffix-anchors")
     n = found.agg(F.sum(F.size("positions"))).first()[0] or 0
     parts = max(1, n // RANGE_CONTEXTS)
-    held = stored(texts.join(found, "row").select("row", "text", "positions", "crowded"), "suffix-held")
-    runs = stored(held.filter(F.size("positions") > 0).select("row", "text", "positions")
+    # no text moves, so the texts are read again rather than written with their positions
+    held = docs.rows.join(docs.dealt(found.filter(F.size("positions") > 0).select("row", "positions")), "row")
+    runs = stored(held.select("row", "text", "positions")
                   .mapInArrow(_sorted_runs(parts), RUNS), "suffix-runs")
     matched = stored(runs.filter("blob is not null").select("part", "run", "blob")
                      .repartition(parts, "part").sortWithinPartitions("part", "run")
@@ -527,17 +555,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .select("row", (F.col("pos") - F.col("before")).alias("start"),
                        (F.col("pos") + F.col("after")).alias("end")))
     if crowded is not None:
-        covered = covered.union(_repeated_windows(held.filter(F.size("crowded") > 0).select("row", "text", "crowded")))
+        around = found.filter(F.size("crowded") > 0).select("row", "crowded")
+        covered = covered.union(_repeated_windows(docs, around))
     pieces = covered.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("pieces"))
-    spans = stored(pieces.mapInArrow(_joined, SPANS).join(texts.select("row", "mark"), "row")
-                   .join(copied, "mark", "left_anti").select("mark", "spans"), "suffix-spans")
+    spans = stored(pieces.mapInArrow(_joined, SPANS), "suffix-spans")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<start:int,end:int>>")
     out = (hashed.join(copied.select("mark", F.lit(True).alias("copied")), "mark", "left")
-           .join(spans, "mark", "left"))  # texts that occur once: one row each
+           .join(spans, "row", "left"))  # what the search found for a copied text is not needed: it goes whole
     return out.select(F.col("id").alias(id_col), "mark", F.col("n_bytes").cast("long").alias("n_bytes"),
                       "sha256",
-                      F.when(F.col("copied"), whole).otherwise(F.coalesce("spans", none)).alias("spans"))
+                      F.when(F.col("copied"), whole).otherwise(F.coalesce("spans", none)).alias("spans"), "row")
 
 
 SPANS = "row long, spans array<struct<start:int,end:int>>"
@@ -559,21 +587,31 @@ def _joined(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, _SPAN)], names=["row", "spans"])
 
 
-def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, mark, kept binary) of the documents that have spans: the bytes outside them, concatenated."""
-    rows = _keyed(docs, id_col, text_col)
-    hit = spans.filter(F.size("spans") > 0).select(F.col(id_col).alias("id"), "mark", "spans")
-    both = rows.join(hit.dropDuplicates(["id", "mark"]), _same(rows, hit)).select(rows["id"], rows["mark"], "text", "spans")
+def cut_spans(docs: DataFrame | Texts, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, mark, kept binary) of the documents that have spans: the bytes outside them, concatenated.
+
+    Of stored texts the result has ``row`` in place of the id and mark, and no text moves.
+    """
+    hit = spans.filter(F.size("spans") > 0)
+    if isinstance(docs, Texts):
+        name = ["row"]
+        both = docs.rows.select("row", "text").join(docs.dealt(hit.select("row", "spans")), "row")
+    else:
+        name = ["id", "mark"]
+        rows = _keyed(docs, id_col, text_col)
+        hit = hit.select(F.col(id_col).alias("id"), "mark", "spans").dropDuplicates(name)
+        both = rows.join(hit, _same(rows, hit)).select(rows["id"], rows["mark"], "text", "spans")
 
     def cut(batches):
         for batch in batches:
             kept = []
-            for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 at, parts = 0, []
                 for s in spans:
                     parts.append(text[at:s["start"]])
                     at = s["end"]
                 kept.append(b"".join([*parts, text[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary())],
-                                             names=["id", "mark", "kept"])
-    return both.mapInArrow(cut, "id long, mark binary, kept binary").withColumnRenamed("id", id_col)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in name), pa.array(kept, pa.binary())],
+                                             names=[*name, "kept"])
+    types = "row long" if name == ["row"] else "id long, mark binary"
+    return both.mapInArrow(cut, f"{types}, kept binary").withColumnRenamed("id", id_col)

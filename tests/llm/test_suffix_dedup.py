@@ -1,4 +1,5 @@
 import random
+import re
 from functools import partial
 
 import pytest
@@ -135,3 +136,38 @@ def test_class_keys_rule_out_only_strings_that_occur_once():
             places.setdefault(text[s:s + 200], []).append((t, s))
     twice = {x for where in places.values() if len(where) > 1 for x in where}
     assert twice and twice <= left and len(left) < sum(map(len, texts)) / 2
+
+
+def test_texts_are_shuffled_only_to_be_stored(spark, tmp_dir, monkeypatch):
+    """With nothing broadcast, neither the search nor the cut sends texts through an exchange."""
+    plans = []
+
+    def exchanged(df):
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        plans.append(re.findall(r"\) Exchange[^\n]*\nInput \[\d+\]: \[(.*)\]", plan))
+
+    def stored(df, name):
+        exchanged(df)
+        return kept(df, name)
+    kept = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    rng = random.Random(8)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared, copy = prose(300), prose(500)
+    docs = [(i, prose(rng.randrange(100, 400)) + shared) for i in range(30)] + [(40, copy), (41, copy), (42, None)]
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for crowd in (suffix_dedup.CROWD, 0):
+            monkeypatch.setattr(suffix_dedup, "repeated_spans", partial(suffix_dedup.repeated_spans, crowd=crowd))
+            df = op8_suffix_dedup(spark, path)
+            exchanged(df)
+            assert _result(df) == sorted(brute.repeats(docs))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sum(map(len, plans)) > 10
+    assert not [columns for plan in plans for columns in plan if re.search(r"\btext#", columns)]
