@@ -23,7 +23,8 @@ Plan:
    work between the paths only.
 5. ``item_cf_recs`` never shuffles pairs of light users: products are cut into
    parts, every user's list goes to the parts it touches, and a part counts its
-   pairs and keeps the best k of each product before a window ranks them.
+   pairs and keeps the best k of each product before a window ranks them. Many
+   lists are sent to one group of parts after the other.
 """
 
 from __future__ import annotations
@@ -38,12 +39,13 @@ from pyspark.sql import functions as F
 from pickwise import schemas
 from pickwise.functions.columns import cooccurrence_sim
 from pickwise.operators.topk import top_k
-from pickwise.session import materialize
+from pickwise.session import materialize, shuffles_released
 
 HEAVY_USER_PRODUCTS = 2000
 _BLOCK_PRODUCTS = 2048  # a unit holds counts of about 2048 x 2048 products, 32 MB
 _UNIT_ROWS = 4 << 20  # heavy rating rows aimed at in a unit
 _PART_ENTRIES = 32 << 20  # entries of users' lists aimed at in a part of the products, about 400 MB
+_GROUP_ENTRIES = 1 << 29  # entries sent to a group of parts before the next group starts, about 2 GB of shuffle
 _ROUND_PAIRS = 6 << 20  # ordered pairs of products counted at a time in a part, about 200 MB
 
 
@@ -264,10 +266,15 @@ def _baskets(rows: DataFrame, has_heavy: bool) -> DataFrame:
 
 
 def _parts(rows: DataFrame, part_entries: int) -> tuple[int, str, str]:
+    """The parts and types of :func:`_dealt`."""
+    return _dealt(rows, part_entries)[:3]
+
+
+def _dealt(rows: DataFrame, part_entries: int) -> tuple[int, str, str, float]:
     """Parts of the products, a prime: one for each core, and more where a part would get over ``part_entries`` entries.
 
     Every part more is a copy more of most users' lists, so the number is found in steps of a quarter. With it come
-    the smallest types that hold every m and every n of the lists.
+    the smallest types that hold every m and every n of the lists, and about how many entries all parts get.
     """
     d = F.col("d").cast("double")
     users = rows.filter("user_id is not null").groupBy("user_id").agg(F.count("*").alias("d"), F.first("hu").alias("hu"),
@@ -287,7 +294,8 @@ def _parts(rows: DataFrame, part_entries: int) -> tuple[int, str, str]:
         parts += 1
     m, n = (next(kind for kind, bits in (("byte", 7), ("short", 15), ("int", 31), ("long", 63)) if (found[x] or 0) < 2 ** bits)
             for x in ("m", "n"))
-    return parts, "long" if pairs else m, n  # m of heavy users' pairs are sums
+    sent = parts * (found[f"s{next((s for s in sizes if s >= parts), sizes[-1])}"] or 0.0) + 2 * pairs
+    return parts, "long" if pairs else m, n, sent  # m of heavy users' pairs are sums
 
 
 def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
@@ -376,22 +384,38 @@ def _part_best(parts: int, k: int, schema: pa.Schema, round_pairs: int):
 
 def item_cf_recs(ratings: DataFrame, k: int = schemas.ITEM_CF_MAX_RECOMMENDATION,
                  heavy_user_products: int = HEAVY_USER_PRODUCTS, dedupe: bool = False,
-                 part_entries: int = _PART_ENTRIES, round_pairs: int = _ROUND_PAIRS) -> DataFrame:
+                 part_entries: int = _PART_ENTRIES, round_pairs: int = _ROUND_PAIRS,
+                 group_entries: int = _GROUP_ENTRIES) -> DataFrame:
     """Top-k co-rated products per product: (product_id, rec_product_id, score, rank).
 
     The products are cut into parts. A user's list goes once to every part it
     touches, where all pairs of the part's products are counted and ranked: what
-    travels are lists and k rows a product, never pairs.
+    travels are lists and k rows a product, never pairs. Where the lists sent come
+    to more than ``group_entries``, they are written once and the parts work in
+    groups, one after the other, so that the disks hold the lists of one group.
     """
-    rows, has_heavy = _prepare(ratings, heavy_user_products, dedupe)
-    parts, m, n = _parts(rows, part_entries)
-    kind = rows.schema["product_id"].dataType.simpleString()
-    ids = pa.int32() if kind == "int" else pa.int64()
-    arrow = pa.schema([("product_id", ids), ("rec_product_id", ids), ("score", pa.float64())])
-    part = F.transform("p", lambda x: F.pmod(x, F.lit(parts)).cast("int"))
-    sent = _baskets(rows, has_heavy).select(
-        F.explode(F.array_distinct(part)).alias("part"), "p", F.col("m").cast(f"array<{m}>").alias("m"),
-        F.col("n").cast(f"array<{n}>").alias("n"))
-    best = sent.repartitionById(parts, "part").mapInArrow(
-        _part_best(parts, k, arrow, round_pairs), f"product_id {kind}, rec_product_id {kind}, score double")
+    spark = ratings.sparkSession
+    with shuffles_released(spark):
+        rows, has_heavy = _prepare(ratings, heavy_user_products, dedupe)
+        parts, m, n, entries = _dealt(rows, part_entries)
+        groups = min(math.ceil(entries / group_entries), parts // spark.sparkContext.defaultParallelism)
+        lists = _baskets(rows, has_heavy).select("p", F.col("m").cast(f"array<{m}>").alias("m"), F.col("n").cast(f"array<{n}>").alias("n"))
+        kind = rows.schema["product_id"].dataType.simpleString()
+        ids = pa.int32() if kind == "int" else pa.int64()
+        arrow = pa.schema([("product_id", ids), ("rec_product_id", ids), ("score", pa.float64())])
+        part = F.array_distinct(F.transform("p", lambda x: F.pmod(x, F.lit(parts)).cast("int")))
+
+        def counted(lists: DataFrame, part: F.Column, groups: int) -> DataFrame:
+            sent = lists.select(F.explode(part).alias("part"), "p", "m", "n")
+            return sent.repartitionById(-(-parts // groups), F.expr(f"part div {groups}").cast("int")).mapInArrow(
+                _part_best(parts, k, arrow, round_pairs), f"product_id {kind}, rec_product_id {kind}, score double")
+        if groups > 1:
+            lists = materialize(lists, "user-lists")
+            best = None
+            for group in range(groups):
+                mine = F.filter(part, lambda x: F.pmod(x, F.lit(groups)) == group)
+                found = materialize(counted(lists, mine, groups), "part-best")
+                best = found if best is None else best.unionByName(found)
+        else:
+            best = counted(lists, part, 1)
     return top_k(best, ["product_id"], [F.desc("score"), F.asc("rec_product_id")], k)

@@ -206,3 +206,13 @@ def test_lists_travel_in_narrow_types_to_few_parts(spark):
         r = _ratings(spark, pairs + more)
         got = {(x.product_id, x.rec_product_id): x.score for x in item_cf.item_cf_recs(r, k=5).collect()}
         assert got == _sims(item_cf.item_similarity(r))
+
+
+def test_groups_of_parts_list_the_same_and_are_done_one_by_one(spark):
+    ratings = _ratings(spark, [(u, (7 * u + 13 * i) % 90) for u in range(60) for i in range(12)] + [(1, 5), (1, 5), (None, 3)])
+    for heavy, dedupe in ((2000, True), (5, False)):  # light users, and heavy ones
+        want = [tuple(r) for r in item_cf.item_cf_recs(ratings, 10, heavy, dedupe).collect()]
+        found = item_cf.item_cf_recs(ratings, 10, heavy, dedupe, part_entries=400, group_entries=4000)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan and plan.count("Relation [") > 1  # every group was counted and written
+        assert sorted(tuple(r) for r in found.collect()) == sorted(want) and len(want) > 300
