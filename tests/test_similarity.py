@@ -199,3 +199,23 @@ def test_few_large_blocks_copy_vectors_seldom():
     # 1,200,000 vectors of rank 50: 29 copies of each were 14 GB of shuffle
     blocks = similarity.choose_blocks(1_200_000, 50, parallelism=12)
     assert blocks <= 8 and 2 * math.ceil(1_200_000 / blocks) * 50 * 8 <= 192 << 20
+
+
+def test_rare_dimensions_in_groups_of_ids_give_the_same_pairs(spark):
+    rows = [(i, (i * 7 + j * j) % 40, 1.0 + (i + j) % 3) for i in range(60) for j in range(5)]  # about 1,000 pairs
+    for more in ([], [(i, 100, 2.0) for i in range(60)]):  # without and with a frequent dimension
+        unit = similarity.normalize_sparse(spark.createDataFrame(rows + more, "id int, dim int, w double"))
+        want = {(r.x, r.y): round(r.sim, 9) for r in similarity._prefix_pairs(unit, 0.3, 20).collect()}
+        found = similarity._prefix_pairs(unit, 0.3, 20, pairs=400)
+        # every group was summed and written: nothing is left to join where all dimensions are rare
+        assert more or "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+        got = found.collect()
+        assert {(r.x, r.y): round(r.sim, 9) for r in got} == want and len(got) == len(want) > 50
+
+
+def test_shuffles_leave_the_disks_and_the_setting_returns(spark):
+    from pickwise import session
+    before = spark.conf.get(session._RELEASE, None)
+    with session.shuffles_released(spark):
+        assert spark.conf.get(session._RELEASE) == "true"
+    assert spark.conf.get(session._RELEASE, None) == before
